@@ -26,7 +26,7 @@ from tidemark.operators.schema import Field, TableSchema, evolve
 
 CELL = "cell"
 DELETED = "_deleted"
-ORDER_TYPES = {"_file_no": "bigint", "_pos": "bigint", "_row": "int", "_seq": "int"}
+ORDER_TYPES = {"_file_no": T.LongType(), "_pos": T.LongType(), "_row": T.IntegerType(), "_seq": T.IntegerType()}
 
 
 @dataclass
@@ -144,10 +144,10 @@ class Target:
     def _struct(self, commit: Commit) -> T.StructType:
         struct = T.StructType(list(commit.schema.struct().fields))
         if commit.keep_positions:
-            for name, ddl in ORDER_TYPES.items():
-                struct = struct.add(name, ddl)
-            struct = struct.add(DELETED, "boolean")
-        return struct.add(CELL, "int")
+            for name, dtype in ORDER_TYPES.items():
+                struct = struct.add(name, dtype)
+            struct = struct.add(DELETED, T.BooleanType())
+        return struct.add(CELL, T.IntegerType())
 
     def _rows(self, commit: Commit, cells: dict[int, list[tuple[str | None, int]]], whole: bool) -> DataFrame:
         """Rows of the given cells. A version that is wholly live is read as one folder."""
@@ -161,7 +161,7 @@ class Target:
         struct = self._struct(commit)
         if not paths:
             return self.spark.createDataFrame([], struct)
-        reader = self.spark.read.schema(struct.add("v", "bigint")).option("basePath", f"{self.path}/data")
+        reader = self.spark.read.schema(struct.add("v", T.LongType())).option("basePath", f"{self.path}/data")
         return reader.parquet(*paths).drop("v")
 
     @staticmethod
