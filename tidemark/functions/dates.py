@@ -6,6 +6,8 @@ epoch values fall on a day only with respect to a zone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,19 +28,39 @@ _DASHED_WITH_FRACTION = (
     r"(?: \d{2}(?::\d{2}(?::\d{2}(?:,\d{3}|\.\d{1,9})?)?)?|T\d{2}:\d{2}:\d{2}\.\d{3}Z)?\z"
 )
 
+# The same dashed and compact forms with every field in range and no leap day: their day is plain to see.
+_PLAIN_DAY = (
+    r"(?!0000)\d{4}{dash}(?:(?:0[13578]|1[02]){dash}(?:0[1-9]|[12]\d|3[01])"
+    r"|(?:0[469]|11){dash}(?:0[1-9]|[12]\d|30)|02{dash}(?:0[1-9]|1\d|2[0-8]))"
+)
+_PLAIN_CLOCK = r"(?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d{fraction})?)?"
+_PLAIN_DASHED = (
+    r"\A" + _PLAIN_DAY.replace("{dash}", "-") + r"(?: " + _PLAIN_CLOCK.replace("{fraction}", r"(?:,\d{3})?")
+    + r"|T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d\.\d{3}Z)?\z"
+)
+_PLAIN_COMPACT = r"\A" + _PLAIN_DAY.replace("{dash}", "") + r"\z"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _apart(value: Column, rule: Callable[[Column], Column]) -> Column:
+    """Evaluate a long rule outside of the generated row loop, with its input computed once.
+
+    Inlined, such a rule makes the loop's method too big for the JIT compiler, and then every row is slow.
+    """
+    return F.transform(F.array(value), rule)[0]
+
+
+def _is_epoch(text: Column) -> Column:
+    return F.length(text).isin(10, 13) & text.rlike(_EPOCH)
+
+
 def _epoch_ms(text: Column) -> Column:
-    """Epoch milliseconds of numeric text, NULL for any other text."""
-    size = F.length(text)
+    """Epoch milliseconds of epoch text."""
     number = text.try_cast("bigint")
-    return (
-        F.when((size == 10) & text.rlike(_EPOCH), number * 1000)
-        .when((size == 13) & text.rlike(_EPOCH), number)
-    )
+    return F.when(F.length(text) == 10, number * 1000).otherwise(number)
 
 
 def _field(text: Column, compact_at: int | None, dashed_at: int, size: int = 2) -> Column:
@@ -78,24 +100,35 @@ def parse_loose(c: Column | str, extended: bool = False) -> Column:
     local time. ``extended`` also takes a dotted fraction of a second.
     """
     text = _col(c)
-    milli = F.when(F.length(text) >= 23, F.rpad(F.regexp_extract(text, r"[.,](\d{1,9})Z?\z", 1), 6, "0"))
-    if extended:
-        milli = F.rpad(F.regexp_extract(text, r"[.,](\d{1,9})Z?\z", 1), 6, "0")
-    micros = F.coalesce(milli.try_cast("int"), F.lit(0))
-    seconds = F.pmod(_second_of_day(text), F.lit(86400)).cast("decimal(18,6)") + micros / F.lit(1000000).cast(
-        "decimal(18,6)"
-    )
-    local = _calendar_day(text).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-    epoch = _epoch_ms(text)
-    return F.when(epoch.isNotNull(), F.timestamp_millis(epoch)).when(
-        _is_calendar_text(text, extended), local.cast("timestamp")
+    # Completed to a full timestamp text: the tail of a midnight template stands in for what is missing.
+    spaced = F.translate(text, "T,Z", " .")
+    dashed = F.concat(spaced, F.expr("'0000-00-00 00:00:00'").substr(F.length(spaced) + 1, F.lit(19)))
+    return (
+        F.when((F.length(text) >= 10) & text.rlike(_PLAIN_DASHED), dashed.try_cast("timestamp"))
+        .when(_is_epoch(text), F.timestamp_millis(_epoch_ms(text)))
+        .when((F.length(text) == 8) & text.rlike(_PLAIN_COMPACT), _dash(text).try_cast("timestamp"))
+        .when(_is_calendar_text(text, extended), _apart(text, _roll_over))
     )
 
 
+def _dash(compact: Column) -> Column:
+    return F.concat_ws("-", F.substring(compact, 1, 4), F.substring(compact, 5, 2), F.substring(compact, 7, 2))
+
+
+def _roll_over(text: Column) -> Column:
+    """A timestamp from calendar text whose fields may be out of range."""
+    fraction = F.rpad(F.regexp_extract(text, r"[.,](\d{1,9})Z?\z", 1), 6, "0")
+    micros = F.coalesce(fraction.try_cast("bigint"), F.lit(0))
+    seconds = F.pmod(_second_of_day(text), F.lit(86400)).cast("bigint")
+    clock = ((seconds * 1_000_000 + micros) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    local = _calendar_day(text).cast("timestamp_ntz") + F.make_dt_interval(secs=clock)
+    return local.cast("timestamp")
+
+
 def can_parse_loose(c: Column | str) -> Column:
     """S-04. NULL text counts as parseable: it parses to NULL."""
     text = _col(c)
-    return text.isNull() | (_epoch_ms(text).isNotNull()) | _is_calendar_text(text, False)
+    return text.isNull() | _is_epoch(text) | _is_calendar_text(text, False)
 
 
 def format_loose(c: Column | str, pattern: str) -> Column:
@@ -106,14 +139,18 @@ def format_loose(c: Column | str, pattern: str) -> Column:
 def day_bucket(c: Column | str, default: str | None = DEFAULT_DAY, extended: bool = False) -> Column:
     """S-01: the day of loose time text, ``default`` for NULL and for text that fits no form.
 
-    Works on days only, which is cheaper than formatting a timestamp.
+    Text whose fields are all in range is cut, not parsed; only the rest goes through calendar arithmetic.
+    The text is used several times: pass a column, not an expression that is dear to compute.
     """
     text = _col(c)
-    epoch = _epoch_ms(text)
-    day = F.when(epoch.isNotNull(), F.timestamp_millis(epoch).cast("date")).when(
-        _is_calendar_text(text, extended), _calendar_day(text)
+    size = F.length(text)
+    return F.coalesce(
+        F.when((size >= 10) & text.rlike(_PLAIN_DASHED), F.substring(text, 1, 10))
+        .when(_is_epoch(text), F.timestamp_millis(_epoch_ms(text)).cast("date").cast("string"))
+        .when((size == 8) & text.rlike(_PLAIN_COMPACT), _dash(text))
+        .when(_is_calendar_text(text, extended), _apart(text, lambda t: _apart(_calendar_day(t), _day_text))),
+        F.lit(default),
     )
-    return F.coalesce(_day_text(day), F.lit(default))
 
 
 def reformat(c: Column | str, source: str, target: str) -> Column:

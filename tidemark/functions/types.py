@@ -131,6 +131,47 @@ def _get(image: Column | str, names: tuple[str, ...], ddl: str, strict: bool) ->
     return values[0] if len(values) == 1 else F.coalesce(*values)
 
 
+def is_encoded(dtype: T.DataType, source_type: str = "") -> bool:
+    """Does the log write this type in a form of its own, so that it is read as text first?"""
+    if isinstance(storage_type(dtype), T.StringType):
+        return bool(source_type) and split_type(source_type)[0] == "time"
+    return isinstance(dtype, (T.DateType, T.TimestampNTZType, T.BinaryType, T.BooleanType, T.ArrayType))
+
+
+def decode_text(text: Column, dtype: T.DataType, source_type: str = "", strict: bool = True) -> Column:
+    """Undo the log's encoding: days for DATE, milli- or microseconds for DATETIME, base64 for binary, 0 and 1
+    for BOOLEAN, comma lists for SET, microseconds for TIME. The text is used more than once."""
+    cast = (lambda t: text.cast(t)) if strict else (lambda t: text.try_cast(t))
+    number = text.try_cast("bigint")
+    is_number = text.rlike(r"\A-?\d+\z")
+    if isinstance(dtype, T.DateType):
+        days = F.date_add(F.lit("1970-01-01").cast("date"), number.cast("int"))
+        return F.when(is_number, days).otherwise(cast("date"))
+    if isinstance(dtype, T.TimestampNTZType):
+        _, args, _ = split_type(source_type) if source_type else ("", [], False)
+        per_second = 1_000_000 if args and args[0] > 3 else 1_000
+        seconds = (number / F.lit(per_second).cast("decimal(7,0)")).cast("decimal(18,6)")
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+        return F.when(is_number, epoch).otherwise(cast("timestamp_ntz"))
+    if isinstance(dtype, T.BinaryType):
+        return F.unbase64(text)
+    if isinstance(dtype, T.BooleanType):
+        return F.when(is_number, number != 0).otherwise(cast("boolean"))
+    if isinstance(dtype, T.ArrayType):
+        return F.when(text == "", F.array().cast(dtype)).otherwise(F.split(text, ","))
+    second = F.floor(F.abs(number) / 1_000_000)
+    clock = F.format_string("%02d:%02d:%02d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
+    return F.when(is_number, F.concat(F.when(number < 0, "-").otherwise(""), clock)).otherwise(text)
+
+
+def stored_value(
+    image: Column | str, names: tuple[str, ...], dtype: T.DataType, source_type: str = "", strict: bool = True
+) -> Column:
+    """First half of :func:`typed_value`: the text of an encoded field, or the value itself."""
+    ddl = "string" if is_encoded(dtype, source_type) else storage_type(dtype).simpleString()
+    return _get(image, names, ddl, strict)
+
+
 def typed_value(
     image: Column | str,
     names: str | tuple[str, ...],
@@ -140,45 +181,11 @@ def typed_value(
 ) -> Column:
     """S-16: one field of a row image in its target type.
 
-    ``strict`` fails on text that does not convert; otherwise such a value is NULL. Log encodings are
-    undone here: days for DATE, milli- or microseconds for DATETIME, base64 for binary, microseconds
-    for TIME, comma lists for SET.
+    ``strict`` fails on text that does not convert; otherwise such a value is NULL.
     """
     names = (names,) if isinstance(names, str) else tuple(names)
-    dtype = storage_type(dtype)
-    kind, args, _ = split_type(source_type) if source_type else ("", [], False)
-    text = _get(image, names, "string", strict)
-
-    def number(ddl: str = "bigint") -> Column:
-        return _get(image, names, ddl, strict=False)
-
-    cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
-    is_number = text.rlike(r"\A-?\d+\z")
-
-    if isinstance(dtype, T.DateType):
-        days = F.date_add(F.lit("1970-01-01").cast("date"), number("int"))
-        return F.when(is_number, days).otherwise(cast(text, "date"))
-    if isinstance(dtype, T.TimestampNTZType):
-        per_second = 1_000_000 if args and args[0] > 3 else 1_000
-        micros = number() * (1_000_000 // per_second)
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-            secs=(micros / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
-        )
-        return F.when(is_number, epoch).otherwise(cast(text, "timestamp_ntz"))
-    if isinstance(dtype, T.BinaryType):
-        return F.unbase64(text)
-    if isinstance(dtype, T.BooleanType):
-        return F.when(is_number, number() != 0).otherwise(cast(text, "boolean"))
-    if isinstance(dtype, T.ArrayType):
-        return F.when(text == "", F.array().cast(dtype)).otherwise(F.split(text, ","))
-    if isinstance(dtype, T.StringType):
-        if kind == "time":
-            second = F.floor(F.abs(number()) / 1_000_000)
-            clock = F.format_string("%02d:%02d:%02d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
-            clock = F.concat(F.when(number() < 0, "-").otherwise(""), clock)
-            return F.when(is_number, clock).otherwise(text)
-        return text
-    return _get(image, names, dtype.simpleString(), strict)
+    value = stored_value(image, names, dtype, source_type, strict)
+    return decode_text(value, dtype, source_type, strict) if is_encoded(dtype, source_type) else value
 
 
 def present(image: Column | str) -> Column:

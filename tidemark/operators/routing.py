@@ -103,7 +103,9 @@ def require_routed(changes: DataFrame, routes: Sequence[Route]) -> DataFrame:
     for r in routes:
         matched = matched | r.matches()
     message = F.concat(F.lit("cannot find a target for table "), F.concat_ws(".", "db", "tbl"))
-    return changes.withColumn("tbl", F.when(matched, F.col("tbl")).otherwise(F.raise_error(message).cast("string")))
+    # In a generator, so that no later filter or pruning can drop the check.
+    row = F.when(matched, F.struct("*")).otherwise(F.raise_error(message))
+    return changes.select(F.inline(F.array(row)))
 
 
 def unrouted(changes: DataFrame, routes: Sequence[Route]) -> DataFrame:

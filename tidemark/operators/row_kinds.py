@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import DEFAULT_DAY, day_bucket
 from tidemark.functions.metadata import metadata_columns
-from tidemark.functions.types import present, raw_value, typed_value
+from tidemark.functions.types import decode_text, is_encoded, present, raw_value, stored_value
 from tidemark.operators.schema import Field, TableSchema
 
 UPSERT, DELETE = "U", "D"
@@ -70,22 +70,37 @@ def to_row_kinds(changes: DataFrame, p: Projection) -> DataFrame:
     halves = changes.select(
         "db", "tbl", "src_schema", "ts_ms",
         F.col("file_no").alias("_file_no"), F.col("pos").alias("_pos"), F.col("row").alias("_row"),
-        F.inline(F.array_compact(F.array(*image_of))),
-    )
-    return halves.select(*target_columns(p, "_image"), KIND, *ORDER)
+        F.inline(F.array(*image_of)),
+    ).where(F.col(KIND).isNotNull())
+    return project_image(halves, p, "_image", [KIND, *ORDER])
 
 
-def target_columns(p: Projection, image: str) -> list[Column]:
-    """The target's columns from one row image, in the target's order."""
-    derived = dict(zip(p.metadata.values(), metadata_columns(p.metadata)))
-    if p.day:
-        text = raw_value(image, *p.day_field().names)
-        derived[p.day.name] = day_bucket(text, p.day.default, p.day.extended).alias(p.day.name)
-    return [
-        derived[f.name] if f.name in derived
-        else typed_value(image, f.names, f.dtype, f.source_type, p.strict).alias(f.name)
-        for f in p.schema.fields
+def project_image(changes: DataFrame, p: Projection, image: str, keep: Sequence[str] = ()) -> DataFrame:
+    """S-05, S-15: the target's columns from one row image, in the target's order.
+
+    Two steps, so that a field which takes several looks (a loose time, an encoded date) is read from the image
+    once.
+    """
+    first = [
+        stored_value(image, f.names, f.dtype, f.source_type, p.strict).alias(f.name) for f in p.image_fields()
     ]
+    derived = {}
+    for column, name in zip(metadata_columns(p.metadata), p.metadata.values()):
+        first.append(column)
+        derived[name] = F.col(name)
+    if p.day:
+        first.append(raw_value(image, *p.day_field().names).alias("_day_text"))
+        derived[p.day.name] = day_bucket("_day_text", p.day.default, p.day.extended).alias(p.day.name)
+    step = changes.select(*first, *keep)
+
+    def final(f: Field) -> Column:
+        if f.name in derived:
+            return derived[f.name]
+        if is_encoded(f.dtype, f.source_type):
+            return decode_text(F.col(f.name), f.dtype, f.source_type, p.strict).alias(f.name)
+        return F.col(f.name)
+
+    return step.select(*[final(f) for f in p.schema.fields], *keep)
 
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:

@@ -67,9 +67,10 @@ def f09_unnamed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some entries lose their table name; they are set apart, the rest goes on."""
     log = event_log(spark, sf_dir)
     hole = F.regexp_replace("value", r'"table":"[^"]*"', '"table":null')
-    decoded = decode(log.select(F.when(F.col("event_id") % 13 == 0, hole).otherwise(F.col("value")).alias("value")))
+    decoded = decode(log.select(F.when(F.col("event_id") % 13 == 0, hole).otherwise(F.col("value")).alias("value")),
+                     strict=False)
     counted = unnamed(decoded).select(F.lit(1).alias("u"), F.lit(0).alias("n")).unionByName(
-        row_changes(decoded, strict=False).select(F.lit(0).alias("u"), F.lit(1).alias("n"))
+        row_changes(decoded).select(F.lit(0).alias("u"), F.lit(1).alias("n"))
     )
     return counted.agg(F.sum("u").alias("unnamed"), F.sum("n").alias("named"))
 

@@ -10,7 +10,7 @@ from tidemark.functions import dates
 from tidemark.functions.metadata import metadata_columns
 from tidemark.functions.names import fold_columns, spellings
 from tidemark.functions.types import spark_type, typed_value
-from tidemark.operators.row_kinds import target_columns, to_row_kinds
+from tidemark.operators.row_kinds import project_image, to_row_kinds
 from tidemark.queries.eventlog import LOG, loose_events, projection
 from tidemark.queries.log import changes
 from tidemark.queries.registry import query, table
@@ -132,7 +132,7 @@ def s09_metadata_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("s15_target_rows", f"""WITH {LOG} SELECT k, v1, val, dt FROM log WHERE NOT gone""")
 def s15_target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images in target column order: source columns, then the computed day."""
-    rows = changes(spark, sf_dir).where("op <> 'd'").select(*target_columns(projection(day=True), "after"))
+    rows = project_image(changes(spark, sf_dir).where("op <> 'd'"), projection(day=True), "after")
     return rows.select("k", "v1", "val", "dt")
 
 

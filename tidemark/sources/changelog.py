@@ -48,42 +48,51 @@ def read_log_stream(
 
 def file_number(file: Column) -> Column:
     """Log files sort by their number, so the count may outgrow its zero padding. Snapshot rows sort first."""
-    return F.coalesce(F.regexp_extract(file, r"(\d+)\z", 1).try_cast("bigint"), F.lit(0).cast("bigint"))
-
-
-def decode(log: DataFrame, value: str = "value") -> DataFrame:
-    """R-04: one row per log entry, images as VARIANT (exact decimals), position and origin as columns."""
-    source = "e.payload.source."
-    parsed = log.select(F.from_json(value, ENVELOPE).alias("e"))
-    return parsed.select(
-        F.col(source + "db").alias("db"),
-        F.col(source + "table").alias("tbl"),
-        F.col("e.payload.op").alias("op"),
-        F.col("e.payload.before").alias("before"),
-        F.col("e.payload.after").alias("after"),
-        F.col(source + "schema").alias("src_schema"),
-        F.col(source + "ts_ms").alias("ts_ms"),
-        F.col(source + "file").alias("file"),
-        file_number(F.col(source + "file")).alias("file_no"),
-        F.coalesce(F.col(source + "pos"), F.lit(0)).alias("pos"),
-        F.coalesce(F.col(source + "row"), F.lit(0)).alias("row"),
-        F.col(source + "gtid").alias("gtid"),
-        F.col("e.payload.historyRecord").alias("history"),
+    return F.coalesce(F.substring_index(file, ".", -1).try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def decode(log: DataFrame, value: str = "value", strict: bool = True) -> DataFrame:
+    """R-04: one row per log entry, images as VARIANT (exact decimals), position and origin as columns.
+
+    The parse sits in a one-row generator: through a plain projection Spark would push later filters
+    below it and parse each entry once more per condition. In strict mode a row change without database or
+    table name fails the job (F-09); the check sits in the generator too, ahead of every filter.
+    """
+    entry = F.array(F.from_json(value, ENVELOPE).getField("payload"))
+    if strict:
+        problem = F.raise_error(F.lit("cannot sync a change whose database or table name is unknown"))
+        entry = F.transform(entry, lambda p: F.when(_named(p), p).otherwise(problem))
+    return log.select(F.inline(entry)).select(
+        F.col("source.db").alias("db"),
+        F.col("source.table").alias("tbl"),
+        "op",
+        "before",
+        "after",
+        F.col("source.schema").alias("src_schema"),
+        F.col("source.ts_ms").alias("ts_ms"),
+        F.col("source.file").alias("file"),
+        file_number(F.col("source.file")).alias("file_no"),
+        F.coalesce("source.pos", F.lit(0)).alias("pos"),
+        F.coalesce("source.row", F.lit(0)).alias("row"),
+        F.col("source.gtid").alias("gtid"),
+        F.col("historyRecord").alias("history"),
     )
 
 
-def row_changes(decoded: DataFrame, strict: bool = True) -> DataFrame:
-    """Row changes only. In strict mode an entry without database or table name fails the job (F-09)."""
-    rows = decoded.where(F.col("history").isNull()).drop("history")
+def _named(payload: Column) -> Column:
+    """Row changes need both names; schema changes may concern a whole database."""
+    source = payload["source"]
+    return payload["historyRecord"].isNotNull() | (source["db"].isNotNull() & source["table"].isNotNull())
+
+
+def row_changes(decoded: DataFrame) -> DataFrame:
+    """Row changes only. Entries without names, which a lenient decode lets through, are left out."""
     named = F.col("db").isNotNull() & F.col("tbl").isNotNull()
-    if not strict:
-        return rows.where(named)
-    problem = F.raise_error(F.lit("cannot sync a change whose database or table name is unknown"))
-    return rows.withColumn("db", F.when(named, F.col("db")).otherwise(problem.cast("string")))
+    return decoded.where(F.col("history").isNull() & named).drop("history")
 
 
 def unnamed(decoded: DataFrame) -> DataFrame:
-    """F-09: the entries that :func:`row_changes` rejects."""
+    """F-09: the entries of a lenient decode that a strict one rejects."""
     return decoded.where(F.col("history").isNull() & (F.col("db").isNull() | F.col("tbl").isNull()))
 
 
