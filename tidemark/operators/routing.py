@@ -13,6 +13,8 @@ from tidemark.functions.types import present
 
 # Above this many routes a row is not tested against each regex; the distinct names are.
 LITERAL_ROUTES = 32
+# A map of at most this many (table, target) rows is small enough for every executor.
+MAP_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -83,17 +85,23 @@ def matched_targets(routes: Sequence[Route], db: Column | str = "db", tbl: Colum
     return F.array_distinct(F.array_compact(F.array(*hits)))
 
 
-def route(changes: DataFrame, routes: Sequence[Route], literal_limit: int = LITERAL_ROUTES) -> DataFrame:
+def route(
+    changes: DataFrame, routes: Sequence[Route], literal_limit: int = LITERAL_ROUTES, map_limit: int = MAP_ROWS
+) -> DataFrame:
     """F-07: a copy of each change per target, in column ``target``.
 
-    A few routes are literal regexes in the row projection. Many routes are resolved once per distinct
-    source table; that map has one row per table and joins back (Spark broadcasts it if small, and splits
-    skewed tables if not).
+    A few routes are literal regexes in the row projection. Many routes are resolved once per distinct source
+    table: the names are counted first, and only a map within ``map_limit`` rows is broadcast. A larger one joins
+    as Spark sees fit, with skewed tables split at run time.
     """
     if len(routes) <= literal_limit:
         return changes.select("*", F.explode(matched_targets(routes)).alias("target"))
     names = changes.select("db", "tbl").distinct()
     table_map = names.select("db", "tbl", F.explode(matched_targets(routes)).alias("target"))
+    rows = table_map.limit(map_limit + 1).collect()
+    if len(rows) <= map_limit:
+        small = changes.sparkSession.createDataFrame(rows, "db string, tbl string, target string")
+        return changes.join(F.broadcast(small), ["db", "tbl"])
     return changes.join(table_map, ["db", "tbl"])
 
 

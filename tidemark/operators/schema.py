@@ -78,12 +78,17 @@ def merge(a: TableSchema, b: TableSchema, what: str = "") -> TableSchema:
         wide = new if dtype != old.dtype else old
         fields[new.name] = replace(
             old, dtype=dtype, source_type=wide.source_type, nullable=old.nullable or new.nullable,
-            spellings=tuple(dict.fromkeys(old.names + new.names)),
+            spellings=_spellings(old, new),
         )
     key = a.primary_key if a.primary_key == b.primary_key else []
     return TableSchema(list(fields.values()), list(key), dict(a.options), a.comment)
 
 
+def _spellings(old: Field, new: Field) -> tuple[str, ...]:
+    both = tuple(dict.fromkeys(old.names + new.names))
+    return old.spellings if both == old.names else both
+
+
 def merge_all(schemas: Iterable[TableSchema], what: str = "") -> TableSchema:
     """C-01 over any number of sources."""
     merged: TableSchema | None = None
@@ -211,8 +216,7 @@ def evolve(target: TableSchema, changed: Sequence[Field]) -> TableSchema:
         if dtype is None:
             raise IncompatibleSchema(f"column {new.name}: cannot change {old.dtype} to {new.dtype}")
         source_type = new.source_type if dtype != old.dtype else old.source_type
-        spellings = tuple(dict.fromkeys(old.names + new.names))
-        fields[new.name] = replace(old, dtype=dtype, source_type=source_type, spellings=spellings)
+        fields[new.name] = replace(old, dtype=dtype, source_type=source_type, spellings=_spellings(old, new))
     return replace(target, fields=list(fields.values()))
 
 

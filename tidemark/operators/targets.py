@@ -2,8 +2,8 @@
 
 Layout of a target folder::
 
-    data/v=<n>/<day>=<value>/cell=<bucket>/*.parquet    rows that commit n wrote
-    commits/<n>.json                                    schema, live cells, last batch of each job
+    data/__version=<n>/<day>=<value>/__cell=<bucket>/*.parquet    rows that commit n wrote
+    commits/<n>.json                                              schema, live cells, last batch of each job
 
 A cell is one hash bucket of one day. A commit rewrites the cells its keys fall in and keeps the others by
 reference, so the cost of a batch follows the cells touched. Commit files hold one short entry per live
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tidemark.operators.row_kinds import DELETE, KIND, ORDER, UPSERT, latest_per_key
 from tidemark.operators.schema import Field, TableSchema, evolve
 
-CELL = "cell"
+VERSION, CELL = "__version", "__cell"
 DELETED = "_deleted"
 ORDER_TYPES = {"_file_no": T.LongType(), "_pos": T.LongType(), "_row": T.IntegerType(), "_seq": T.IntegerType()}
 
@@ -113,6 +113,9 @@ class Target:
         """C-14, C-15: a new empty target. The bucket count is fixed and must be positive."""
         if buckets is None or int(buckets) <= 0:
             raise ValueError(f"only targets with a fixed number of buckets are supported: {self.path}")
+        taken = {VERSION, CELL, DELETED, KIND, *ORDER} & set(schema.names)
+        if taken:
+            raise ValueError(f"column names {sorted(taken)} are reserved")
         if not schema.primary_key:
             raise ValueError(f"a target needs a primary key: {self.path}")
         if day is not None and day not in schema.primary_key:
@@ -153,7 +156,7 @@ class Target:
         """Rows of the given cells. A version that is wholly live is read as one folder."""
         paths = []
         for version, live in cells.items():
-            folder = f"{self.path}/data/v={version}"
+            folder = f"{self.path}/data/{VERSION}={version}"
             if whole and len(live) == commit.written.get(version):
                 paths.append(folder)
             else:
@@ -161,8 +164,8 @@ class Target:
         struct = self._struct(commit)
         if not paths:
             return self.spark.createDataFrame([], struct)
-        reader = self.spark.read.schema(struct.add("v", T.LongType())).option("basePath", f"{self.path}/data")
-        return reader.parquet(*paths).drop("v")
+        reader = self.spark.read.schema(struct.add(VERSION, T.LongType())).option("basePath", f"{self.path}/data")
+        return reader.parquet(*paths).drop(VERSION)
 
     @staticmethod
     def _cell_path(day: str | None, value: str | None, bucket: int) -> str:
@@ -219,7 +222,7 @@ class Target:
             by = [commit.day, CELL] if commit.day else [CELL]
             out = merged.select(*[f.name for f in self._struct(commit).fields])
             out = rebalance(out, by, parallelism)
-            out.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/data/v={version}")
+            out.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/data/{VERSION}={version}")
             self._commit(self._next(commit, touched, version, self._written(commit, version), batch))
         finally:
             latest.unpersist()
@@ -273,7 +276,7 @@ class Target:
 
     def _written(self, commit: Commit, version: int) -> list[tuple[str | None, int]]:
         depth = "/*=*/*=*" if commit.day else "/*=*"
-        fs, path = self._fs(f"{self.path}/data/v={version}{depth}")
+        fs, path = self._fs(f"{self.path}/data/{VERSION}={version}{depth}")
         out = []
         for status in fs.globStatus(path) or []:
             at = status.getPath()
@@ -308,7 +311,7 @@ class Target:
         """Delete the data folders that the current commit no longer refers to. Run when no reader is on an
         older commit."""
         commit = self.current()
-        fs, path = self._fs(f"{self.path}/data/v=*")
+        fs, path = self._fs(f"{self.path}/data/{VERSION}=*")
         dropped = 0
         for status in fs.globStatus(path) or []:
             version = int(status.getPath().getName().partition("=")[2])

@@ -32,13 +32,16 @@ def d01_missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.missing_days(orders, "o_orderdate", "1996-01-01", "1996-12-31", by=["o_custkey"])
 
 
-@query("d01_missing_days_overall", """WITH days AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
-      miss AS (SELECT d FROM days WHERE d NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F')),
-      isl AS (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS g FROM miss)
-    SELECT min(d) AS start_day, max(d) AS end_day FROM isl GROUP BY g""")
-def d01_missing_days_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderpriority = '5-LOW' and o_orderstatus = 'F'")
-    return calendar.missing_days(orders, "o_orderdate", "1995-01-01", "2001-12-31")
+@query("d01_missing_days_by_status", """WITH days AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
+      kinds AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders),
+      have AS (SELECT DISTINCT o_orderpriority, o_orderstatus, CAST(o_orderdate AS DATE) AS d FROM orders),
+      miss AS (SELECT * FROM kinds, days EXCEPT SELECT * FROM have),
+      isl AS (SELECT *, d - CAST(row_number() OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY d) AS INTEGER) AS g FROM miss)
+    SELECT o_orderpriority, o_orderstatus, min(d) AS start_day, max(d) AS end_day FROM isl GROUP BY o_orderpriority, o_orderstatus, g""")
+def d01_missing_days_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    by = ["o_orderpriority", "o_orderstatus"]
+    return calendar.missing_days(orders, "o_orderdate", "1995-01-01", "2001-12-31", by)
 
 
 @query("d02_days", f"""WITH {BOUNDS}, d AS (SELECT o_custkey, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day FROM b)

@@ -137,8 +137,8 @@ def source_struct(event: Column, user: Column, at: Column) -> Column:
 
 
 def ddl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schema change entries: each fiftieth event alters its table, with a growing length and a new column."""
-    ev = table(spark, sf_dir, "events").where("event_id % 50 = 25")
+    """Schema change entries: each signup alters its table, with a changing length and a new column."""
+    ev = table(spark, sf_dir, "events").where("event_type = 'signup'")
     event = F.col("event_id")
 
     def column(name: Column | str, kind: str, position: int, length: Column | None = None) -> Column:

@@ -71,7 +71,7 @@ def r04_before_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("r05_schema_changes", f"""WITH {LOG},
-    alters AS (SELECT * FROM log WHERE event_id % 50 = 25),
+    alters AS (SELECT * FROM log WHERE v1 = 'signup'),
     cols AS (
       SELECT tbl, event_id, 'k' AS "column", 'BIGINT' AS type, NULL AS length, 1 AS position, false AS nullable FROM alters
       UNION ALL SELECT tbl, event_id, 'v1', 'VARCHAR', 10 + (event_id // 50) % 20, 2, true FROM alters

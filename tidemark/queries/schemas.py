@@ -61,7 +61,7 @@ def c04_fit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("tbl", "column", F.col("column").isin(bad).alias("misfit"), "images")
 
 
-@query("c08_schema_after_changes", f"""WITH {LOG}, alters AS (SELECT * FROM log WHERE event_id % 50 = 25)
+@query("c08_schema_after_changes", f"""WITH {LOG}, alters AS (SELECT * FROM log WHERE v1 = 'signup')
     SELECT 'v1' AS "column", 'varchar(' || max(greatest(20, 10 + (event_id // 50) % 20)) || ')' AS type FROM alters
     UNION ALL SELECT DISTINCT 'extra_' || (event_id % 7), 'int' FROM alters
     UNION ALL SELECT * FROM (VALUES ('k', 'bigint'), ('val', 'double'), ('add_time', 'varchar(30)')) v""")

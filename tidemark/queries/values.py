@@ -78,13 +78,13 @@ def s04_parseable(spark: SparkSession, sf_dir: str) -> DataFrame:
         UNION ALL SELECT 'D', pdt FROM p WHERE pe IS NOT NULL AND NOT pg)
     SELECT kind, dt, count(*) AS rows FROM halves GROUP BY 1, 2""")
 def s05_computed_on_every_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every time text of this log differs from the one before, so each update deletes in its old day."""
+    """Days on both halves of each change, the old row's and the new one's."""
     rows = to_row_kinds(_distinct_times(changes(spark, sf_dir, "full")), projection(day=True))
     return rows.groupBy(F.col("_kind").alias("kind"), "dt").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _distinct_times(c: DataFrame) -> DataFrame:
-    """Drop updates whose time text did not change: their delete half is left out by design."""
+    """Add a delete for updates whose time text did not change, since their delete half is left out by design."""
     same = F.col("op").eqNullSafe("u") & typed_value("before", "add_time", T.StringType()).eqNullSafe(
         typed_value("after", "add_time", T.StringType())
     )
