@@ -241,3 +241,21 @@ def test_one_query_per_target(spark, tmp_path, log):
     for q in start_divided(plan, _stream(spark, tmp_path / "log"), str(tmp_path / "cp"), interval=None):
         q.awaitTermination()
     assert held(plan, "tall") == [(1, "one"), (2, "two")] and held(plan, "ta") == [(1, "Spruce")]
+
+
+def test_initial_mode_loads_the_snapshot_then_the_log(spark, tmp_path, log):
+    text = spec(tmp_path, ("topic", "topic", None), metadata={"BINLOG_TIME": "at"}, mode="initial")
+    plan = prepare(spark, text, {("ods", "topic"): source()}, keep_positions=True)
+    table = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v1 string")
+    assert plan.load_snapshot(table, "ods", "topic") == ["lake.topic"]
+    assert plan.load_snapshot(table, "ods", "topic") == []
+    log.update("topic", {"k": 2, "v1": "b"}, {"k": 2, "v1": "bb"})
+    plan.run_batch(log.frame(), 0, start=plan.pipeline.start)
+    assert held(plan, "topic") == [(1, "a", "1970-01-01 00:00:00"), (2, "bb", "2024-09-13 14:57:46")]
+
+
+def test_uncached_batch_and_one_writer(spark, tmp_path, log):
+    plan = prepare(spark, spec(tmp_path, *FULL), {("ods", "t1"): source(), ("ods", "ta"): source()}, cache_batch=False, writers=1)
+    log.insert("t1", k=1, v1="one")
+    assert plan.run_batch(log.frame(), 0).written == ["lake.t1", "lake.tall"]
+    assert held(plan, "tall") == [(1, "one")]

@@ -48,7 +48,7 @@ def _image(spark, text):
     ("1679616000123456", "DATETIME(6)", dt.datetime(2023, 3, 24, 0, 0, 0, 123456)), ("-1", "DATETIME", dt.datetime(1969, 12, 31, 23, 59, 59, 999000)),
     ("1", "TINYINT(1)", True), ("0", "BIT(1)", False), ("true", "BOOLEAN", True), ('"a,b"', "SET('a','b')", ["a", "b"]), ('""', "SET('a')", []),
     ("36610000000", "TIME", "10:10:10"), ('"AQI="', "BLOB", bytearray(b"\x01\x02")), ('"x"', "VARCHAR(10)", "x"),
-    ("-36610000000", "TIME", "-10:10:10"), ("null", "INT", None), ("2023", "YEAR", 2023),
+    ('"2023-03-23T07:00:10Z"', "TIMESTAMP", dt.datetime(2023, 3, 23, 7, 0, 10)), ("-36610000000", "TIME", "-10:10:10"), ("null", "INT", None), ("2023", "YEAR", 2023),
 ])
 def test_log_encodings(spark, value, kind, want):
     df = _image(spark, f'{{"c": {value}}}')

@@ -202,34 +202,40 @@ class Target:
         unique = business if locate_moves else key
         columns = commit.schema.names
         latest = latest_per_key(rows.select(*columns, KIND, *ORDER), unique)
-        latest = latest.withColumn(CELL, bucket_of(business, commit.buckets)).persist(StorageLevel.MEMORY_AND_DISK)
-        moved = None
+        latest = latest.withColumn(CELL, bucket_of(business, commit.buckets))
+        if not commit.cells:
+            # First load: there is nothing to merge with, so the rows stream through once.
+            self._write(commit, self._merge(commit, latest, {}, key), set(), parallelism, batch)
+            return True
+        cached = [latest.persist(StorageLevel.MEMORY_AND_DISK)]
         try:
+            changes = latest
             if locate_moves and commit.day:
-                moved = self._old_places(commit, latest, business).persist(StorageLevel.MEMORY_AND_DISK)
-                changes = latest.unionByName(moved)
-            else:
-                changes = latest
+                cached.append(self._old_places(commit, latest, business).persist(StorageLevel.MEMORY_AND_DISK))
+                changes = latest.unionByName(cached[1])
             touched = self._touched(commit, changes)
             if not touched:
-                self._commit(self._next(commit, {}, commit.version + 1, [], batch))
+                self._commit(self._next(commit, touched, commit.version + 1, [], batch))
                 return True
             old_cells = {
                 v: hit for v, live in commit.cells.items() if (hit := [c for c in live if tuple(c) in touched])
             }
-            merged = self._merge(commit, changes, old_cells, key)
-            version = commit.version + 1
-            by = [commit.day, CELL] if commit.day else [CELL]
-            out = merged.select(*[f.name for f in self._struct(commit).fields])
-            out = rebalance(out, by, parallelism)
-            out.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/data/{VERSION}={version}")
-            self._commit(self._next(commit, touched, version, self._written(commit, version), batch))
+            self._write(commit, self._merge(commit, changes, old_cells, key), touched, parallelism, batch)
         finally:
-            latest.unpersist()
-            if moved is not None:
-                moved.unpersist()
+            for df in cached:
+                df.unpersist()
         return True
 
+    def _write(
+        self, commit: Commit, merged: DataFrame, touched: set, parallelism: int | None, batch: tuple[str, int] | None
+    ) -> None:
+        """Write the next version's cells, then commit it."""
+        version = commit.version + 1
+        by = [commit.day, CELL] if commit.day else [CELL]
+        out = rebalance(merged.select(*[f.name for f in self._struct(commit).fields]), by, parallelism)
+        out.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/data/{VERSION}={version}")
+        self._commit(self._next(commit, touched, version, self._written(commit, version), batch))
+
     def _touched(self, commit: Commit, changes: DataFrame) -> set[tuple[str | None, int]]:
         """Cells that the changes fall in: at most days times buckets entries."""
         day = F.col(commit.day) if commit.day else F.lit(None).cast("string")
@@ -241,10 +247,8 @@ class Target:
         """Old rows whose key did not change, and the changes. The change side is one row per key."""
         if commit.keep_positions:
             changes = changes.withColumn(DELETED, F.col(KIND) == DELETE)
-        else:
-            changes = changes.where(F.col(KIND) == UPSERT) if not old_cells else changes
         if not old_cells:
-            return changes
+            return changes if commit.keep_positions else changes.where(F.col(KIND) == UPSERT)
         old = self._rows(commit, old_cells, whole=False)
         o, c = old.alias("o"), changes.alias("c")
         same = F.lit(True)

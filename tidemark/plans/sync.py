@@ -20,6 +20,7 @@ from tidemark.operators.schema import TableSchema, accept, build_target, changed
 from tidemark.operators.targets import Target
 from tidemark.plans.spec import Pair, Pipeline
 from tidemark.sources.changelog import decode, row_changes, schema_changes, source_filter
+from tidemark.sources.discovery import snapshot_changes
 from tidemark.sources.offsets import Start
 
 # Up to this many source tables, a target's rows are picked by exact name; beyond it by its regexes.
@@ -50,6 +51,7 @@ class SyncPlan:
     strict_routes: bool = True
     locate_moves: bool = False
     parallelism: int | None = None
+    cache_batch: bool = True
     writers: int = 4
     include: str | None = None
     exclude: str | None = None
@@ -152,9 +154,15 @@ class SyncPlan:
     def run_batch(
         self, log: DataFrame, batch: int = 0, job: str = "batch", start: Start | None = None
     ) -> BatchReport:
-        """W-02: schema changes first, then the rows of every target, from one decoded and cached batch."""
+        """W-02: schema changes first, then the rows of every target, from one decoded and cached batch.
+
+        Turn ``cache_batch`` off for a bulk load whose decoded form would not fit the executors' disks; each
+        target then decodes the log for itself.
+        """
         report = BatchReport(batch)
-        decoded = self.select(log, start).persist(StorageLevel.MEMORY_AND_DISK)
+        decoded = self.select(log, start)
+        if self.cache_batch:
+            decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             report.evolved = self._evolve(decoded)
             changes = row_changes(decoded)
@@ -176,6 +184,21 @@ class SyncPlan:
             decoded.unpersist()
         return report
 
+    def load_snapshot(self, table: DataFrame, db: str, tbl: str, job: str = "snapshot") -> list[str]:
+        """R-07: the snapshot half of start mode ``initial``. The log is synced after it, from its start on.
+
+        Each target takes a table's snapshot once. Wall-clock columns that are instants should be read in the
+        server's zone first (R-16).
+        """
+        rows = snapshot_changes(table, db, tbl)
+        done = []
+        for target, pairs in self.pipeline.by_target().items():
+            if target in self.targets and any(self.matching({(db, tbl): TableSchema()}, p) for p in pairs):
+                kinds = to_row_kinds(rows, self.projection(target))
+                if self.targets[target].upsert(kinds, (f"{job}:{db}.{tbl}", 0), self.parallelism):
+                    done.append(target)
+        return done
+
     def run_target(self, log: DataFrame, target: str, batch: int, start: Start | None = None) -> bool:
         """W-03: one batch of one target, with the schema changes that reach it."""
         decoded = self.select(log, start).persist(StorageLevel.MEMORY_AND_DISK)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.schema import (
-    Field, TableSchema, build_target, changed_fields, evolve, infer_fields, merge_shards, problems, union_shards,
+    Field, TableSchema, build_target, changed_fields, evolve, infer_fields, merge_all, merge_shards, problems, union_shards,
 )
 from tidemark.queries.eventlog import LOG, ddl_log, schema
 from tidemark.queries.log import changes
@@ -30,6 +30,24 @@ def _shards(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return first, second
 
 
+@query("c01_merge_sources", """SELECT o_orderkey AS k, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority,
+      CASE WHEN o_orderstatus = 'O' THEN o_totalprice END AS price, CASE WHEN o_orderstatus = 'P' THEN o_custkey END AS customer
+    FROM orders""")
+def c01_merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sources of one target: types and columns differ, the target takes them all."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    parts = [
+        orders.where("o_orderstatus = 'F'").select(key.cast("int").alias("k"), F.col("o_orderpriority").alias("priority")),
+        orders.where("o_orderstatus = 'O'").select(
+            key.alias("k"), F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("price")
+        ),
+        orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("customer"), key.cast("int").alias("k")),
+    ]
+    merged = merge_all([_schema_of(p, ["k"]) for p in parts], "lake.orders")
+    return union_shards(parts, merged)
+
+
 @query("c03_merge_shards", """SELECT CAST(o_orderkey AS BIGINT) AS k, o_orderpriority AS v1,
       CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS v2 FROM orders""")
 def c03_merge_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

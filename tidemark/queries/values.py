@@ -10,7 +10,8 @@ from tidemark.functions import dates
 from tidemark.functions.metadata import metadata_columns
 from tidemark.functions.names import fold_columns, spellings
 from tidemark.functions.types import spark_type, typed_value
-from tidemark.operators.row_kinds import project_image, to_row_kinds
+from tidemark.operators.row_kinds import Projection, project_image, to_row_kinds
+from tidemark.operators.schema import Field, TableSchema
 from tidemark.queries.eventlog import LOG, loose_events, projection
 from tidemark.queries.log import changes
 from tidemark.queries.registry import query, table
@@ -153,19 +154,20 @@ def s16_typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", "l_linestatus", "l_returnflag").alias("set"),
         (F.col("l_linenumber").cast("bigint") * 3_600_000_000).alias("clock"),
     )
-    c = li.select("l_orderkey", F.parse_json(F.to_json(image)).alias("after"))
-
-    def read(name: str, source_type: str) -> F.Column:
-        return typed_value("after", name, spark_type(source_type), source_type)
-
-    clock = F.split(read("clock", "time"), ":")
-    seconds = clock[0].cast("bigint") * 3600 + clock[1].cast("bigint") * 60 + clock[2].cast("bigint")
-    return c.select(
-        "l_orderkey", read("i", "int").cast("bigint").alias("line"), read("d", "decimal(20,2)").cast("double").alias("price"),
-        read("day", "date").cast("string").alias("ship_day"),
-        F.unix_micros(read("at", "datetime(3)").cast("timestamp")).alias("shipped_us"),
-        read("bit", "bit(1)").alias("returned"), read("set", "set('F','O','R')")[0].alias("first_status"),
-        seconds.alias("clock_seconds"),
+    types = {
+        "i": "int", "d": "decimal(20,2)", "day": "date", "at": "datetime(3)", "bit": "bit(1)", "set": "set('F','O','R')",
+        "clock": "time",
+    }
+    fields = [Field(name, spark_type(kind), True, kind) for name, kind in types.items()]
+    c = li.select("l_orderkey", F.inline(F.array(F.struct(F.parse_json(F.to_json(image)).alias("after")))))
+    typed = project_image(c, Projection(TableSchema(fields)), "after", ["l_orderkey"])
+    clock = typed.withColumn("hms", F.split("clock", ":"))
+    part = [F.col("hms")[i].cast("bigint") for i in range(3)]
+    return clock.select(
+        "l_orderkey", F.col("i").cast("bigint").alias("line"), F.col("d").cast("double").alias("price"),
+        F.col("day").cast("string").alias("ship_day"), F.unix_micros(F.col("at").cast("timestamp")).alias("shipped_us"),
+        F.col("bit").alias("returned"), F.col("set")[0].alias("first_status"),
+        (part[0] * 3600 + part[1] * 60 + part[2]).alias("clock_seconds"),
     )
 
 

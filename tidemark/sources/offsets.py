@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 MODES = ("initial", "earliest-offset", "latest-offset", "specific-offset", "timestamp")
@@ -63,23 +63,24 @@ class Start:
                 return replace(self, mode="earliest-offset")
             return replace(self, file_no=last["file_no"], pos=last["pos"], row=last["row"])
         if self.mode == "specific-offset" and self.skip_events:
-            ahead = (
-                log_at_start.where(self._from_offset())
-                .select("file_no", "pos").distinct()
-                .orderBy("file_no", "pos")
-                .limit(self.skip_events + 1)
-                .agg(F.max(F.struct("file_no", "pos")).alias("p"), F.count(F.lit(1)).alias("n"))
-                .first()
-            )
-            if not ahead["n"]:
+            ahead = log_at_start.where(self._from_offset())
+            found = None
+            if self.file_no is not None:
+                # The events to skip mostly lie in the first log file, which keeps the search small.
+                found = self._skip_in(ahead.where(F.col("file_no") == self.file_no))
+            if found is None or found["n"] <= self.skip_events:
+                found = self._skip_in(ahead)
+            if not found["n"]:
                 return self
-            beyond = 0 if ahead["n"] > self.skip_events else 1
-            return replace(
-                self, file_no=ahead["p"]["file_no"], pos=ahead["p"]["pos"] + beyond, gtid_set=self.gtid_set,
-                skip_events=0,
-            )
+            beyond = 0 if found["n"] > self.skip_events else 1
+            return replace(self, file_no=found["p"]["file_no"], pos=found["p"]["pos"] + beyond, skip_events=0)
         return self
 
+    def _skip_in(self, ahead: DataFrame) -> Row:
+        """The last of the ``skip_events + 1`` smallest positions, and how many there are."""
+        first = ahead.select("file_no", "pos").distinct().orderBy("file_no", "pos").limit(self.skip_events + 1)
+        return first.agg(F.max(F.struct("file_no", "pos")).alias("p"), F.count(F.lit(1)).alias("n")).first()
+
     def _from_offset(self) -> Column:
         keep = F.lit(True)
         if self.file_no is not None and self.pos is not None:
