@@ -159,9 +159,19 @@ def decode_text(text: Column, dtype: T.DataType, source_type: str = "", strict:
         return F.when(is_number, number != 0).otherwise(cast("boolean"))
     if isinstance(dtype, T.ArrayType):
         return F.when(text == "", F.array().cast(dtype)).otherwise(F.split(text, ","))
-    second = F.floor(F.abs(number) / 1_000_000)
-    clock = F.format_string("%02d:%02d:%02d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
-    return F.when(is_number, F.concat(F.when(number < 0, "-").otherwise(""), clock)).otherwise(text)
+    return F.when(is_number, _clock(number)).otherwise(text)
+
+
+def _clock(micros: Column) -> Column:
+    """``[-]HH:mm:ss`` of a span in microseconds."""
+
+    def two_digits(c: Column) -> Column:
+        return F.lpad(c.cast("string"), F.greatest(F.lit(2), F.length(c.cast("string"))), "0")
+
+    second = (F.abs(micros) - F.abs(micros) % 1_000_000) / 1_000_000
+    hour, rest = F.floor(second / 3600), (second % 3600).cast("int")
+    clock = F.concat_ws(":", two_digits(hour), F.lpad(F.floor(rest / 60).cast("string"), 2, "0"), F.lpad((rest % 60).cast("string"), 2, "0"))
+    return F.concat(F.when(micros < 0, "-").otherwise(""), clock)
 
 
 def stored_value(

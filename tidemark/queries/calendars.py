@@ -10,14 +10,14 @@ from tidemark.queries.registry import query, table
 
 
 def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First and last order day of each customer."""
-    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+    """First and last order day of each priority and status."""
+    return table(spark, sf_dir, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(
         F.min("o_orderdate").cast("date").alias("s"), F.max("o_orderdate").cast("date").alias("e")
     )
 
 
-BOUNDS = """b AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e
-    FROM orders GROUP BY o_custkey)"""
+BOUNDS = """b AS (SELECT o_orderpriority, o_orderstatus, CAST(min(o_orderdate) AS DATE) AS s,
+    CAST(max(o_orderdate) AS DATE) AS e FROM orders GROUP BY o_orderpriority, o_orderstatus)"""
 
 
 @query("d01_missing_days", """WITH have AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders
@@ -44,17 +44,18 @@ def d01_missing_days_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.missing_days(orders, "o_orderdate", "1995-01-01", "2001-12-31", by)
 
 
-@query("d02_days", f"""WITH {BOUNDS}, d AS (SELECT o_custkey, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day FROM b)
-    SELECT day, count(*) AS customers FROM d GROUP BY day""")
+@query("d02_days", f"""WITH {BOUNDS}, d AS (SELECT b.*, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day FROM b)
+    SELECT o_orderpriority, o_orderstatus, day FROM d""")
 def d02_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = calendar.days_between(_bounds(spark, sf_dir), "s", "e")
-    return days.groupBy("day").agg(F.count(F.lit(1)).alias("customers"))
+    return calendar.days_between(_bounds(spark, sf_dir), "s", "e").select("o_orderpriority", "o_orderstatus", "day")
 
 
-@query("d03_windows", f"""WITH {BOUNDS}, w AS (SELECT o_custkey, e, CAST(unnest(generate_series(s, e, INTERVAL 31 DAY)) AS DATE) AS window_start FROM b)
-    SELECT o_custkey, window_start, CAST(least(window_start + 30, e) AS DATE) AS window_end FROM w""")
+@query("d03_windows", f"""WITH {BOUNDS}, w AS (SELECT b.*, CAST(unnest(generate_series(s, e, INTERVAL 31 DAY)) AS DATE) AS window_start FROM b)
+    SELECT o_orderpriority, o_orderstatus, window_start, CAST(least(window_start + 30, e) AS DATE) AS window_end FROM w""")
 def d03_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar.windows(_bounds(spark, sf_dir), "s", "e", 30).select("o_custkey", "window_start", "window_end")
+    return calendar.windows(_bounds(spark, sf_dir), "s", "e", 30).select(
+        "o_orderpriority", "o_orderstatus", "window_start", "window_end"
+    )
 
 
 @query("d04_retention", """SELECT o_orderstatus, count(*) AS kept FROM orders

@@ -122,8 +122,10 @@ def w04_bucket_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("w07_partition_move", PT_ALL_DT)
 def w07_partition_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored by day, in two batches: a row whose time changes leaves its old day."""
-    target = Target(spark, work_dir(spark, "w07")).create(schema(day=True), buckets=2, day="dt")
-    for number, part in enumerate(slices(event_log(spark, sf_dir, "full"), 2)):
+    folder = work_dir(spark, "w07")
+    target = Target(spark, f"{folder}/target").create(schema(day=True), buckets=2, day="dt")
+    event_log(spark, sf_dir, "full").write.parquet(f"{folder}/log")
+    for number, part in enumerate(slices(spark.read.parquet(f"{folder}/log"), 2)):
         target.upsert(to_row_kinds(_only_all(row_changes(decode(part))), projection(day=True)), ("w07", number))
     return target.read().select("k", "v1", "val", "dt")
 
@@ -215,7 +217,8 @@ def w03_one_query_per_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w09_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drain half the log, stop, let the rest arrive, start again from the checkpoint."""
     folder = work_dir(spark, "w09")
-    for part in slices(event_log(spark, sf_dir, "full"), 2):
+    event_log(spark, sf_dir, "full").write.parquet(f"{folder}/source")
+    for part in slices(spark.read.parquet(f"{folder}/source"), 2):
         _write_log([part], f"{folder}/log")
         sync = plan(spark, folder)
         log = read_log_stream(spark, f"{folder}/log")
