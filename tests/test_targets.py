@@ -35,16 +35,16 @@ def random_history(log, steps, seed, full=True):
     return sorted((r["k"], r["v"], r["at"], r["at"]) for r in live.values())
 
 
-@pytest.mark.parametrize("keep_positions", [False, True])
+@pytest.mark.parametrize("keep_positions, order", [(False, (0, 1, 2)), (True, (0, 1, 2)), (True, (2, 0, 1))])
 @pytest.mark.parametrize("locate", [False, True])
-def test_random_histories_in_batches(spark, tmp_path, new_log, keep_positions, locate):
+def test_random_histories_in_batches(spark, tmp_path, new_log, keep_positions, order, locate):
     log = new_log()
     target = Target(spark, str(tmp_path)).create(DAY_SCHEMA, 3, "dt", keep_positions)
     want = random_history(log, 60, seed=7, full=not locate)
     entries = log.entries
-    for number in range(3):
+    for number in order:
         log.entries = entries[number * 20:(number + 1) * 20]
-        target.upsert(changes(log, BY_DAY), ("job", number), locate_moves=locate)
+        target.upsert(changes(log, BY_DAY), locate_moves=locate)
         assert target.placement().where("not in_place").count() == 0
     assert rows(target.read()) == sorted(want, key=str)
 

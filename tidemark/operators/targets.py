@@ -211,8 +211,12 @@ class Target:
         try:
             changes = latest
             if locate_moves and commit.day:
-                cached.append(self._old_places(commit, latest, business).persist(StorageLevel.MEMORY_AND_DISK))
-                changes = latest.unionByName(cached[1])
+                old = self._old_keys(commit, latest, business)
+                if commit.keep_positions:
+                    changes = _not_older(latest, old, business)
+                moved = self._old_places(commit, changes, old, business)
+                cached.append(moved.persist(StorageLevel.MEMORY_AND_DISK))
+                changes = changes.unionByName(moved)
             touched = self._touched(commit, changes)
             if not touched:
                 self._commit(self._next(commit, touched, commit.version + 1, [], batch))
@@ -251,28 +255,27 @@ class Target:
             return changes if commit.keep_positions else changes.where(F.col(KIND) == UPSERT)
         old = self._rows(commit, old_cells, whole=False)
         o, c = old.alias("o"), changes.alias("c")
-        same = F.lit(True)
-        for k in key:
-            same = same & F.col(f"o.{k}").eqNullSafe(F.col(f"c.{k}"))
         if commit.keep_positions:
-            later = F.struct(*[F.col(f"o.{n}") for n in ORDER]) > F.struct(*[F.col(f"c.{n}") for n in ORDER])
-            fresh = c.join(o, same & later, "left_anti")
-            f = fresh.alias("c")
-            kept = o.join(f, same, "left_anti")
+            fresh = _not_older(changes, old, key)
+            kept = o.join(fresh.alias("c"), _same(key), "left_anti")
             return kept.unionByName(fresh.drop(KIND))
-        kept = o.join(c, same, "left_anti")
+        kept = o.join(c, _same(key), "left_anti")
         upserts = changes.where(F.col(KIND) == UPSERT).drop(KIND, *ORDER)
         return kept.unionByName(upserts)
 
-    def _old_places(self, commit: Commit, latest: DataFrame, business: list[str]) -> DataFrame:
-        """Deletes for rows of the same business key in other days. Reads keys only, in touched buckets only."""
+    def _old_keys(self, commit: Commit, latest: DataFrame, business: list[str]) -> DataFrame:
+        """Keys, days and, where kept, positions of stored rows in the touched buckets of all days."""
         buckets = {r[0] for r in latest.select(CELL).distinct().collect()}
         cells = {
             v: hit for v, live in commit.cells.items() if (hit := [c for c in live if c[1] in buckets])
         }
-        old = self._rows(commit, cells, whole=False).select(F.col(commit.day).alias("_old_day"), *business)
+        kept = ORDER if commit.keep_positions else ()
+        return self._rows(commit, cells, whole=False).select(F.col(commit.day).alias("_old_day"), *business, *kept)
+
+    def _old_places(self, commit: Commit, changes: DataFrame, old: DataFrame, business: list[str]) -> DataFrame:
+        """Deletes for stored rows of the same business key in other days, at the position of the change."""
         elsewhere = (F.col(KIND) == DELETE) | ~F.col("_old_day").eqNullSafe(F.col(commit.day))
-        found = latest.join(old, business).where(elsewhere)
+        found = changes.join(old.drop(*ORDER), business).where(elsewhere)
         return found.select(
             *[F.col("_old_day").alias(commit.day) if n == commit.day else F.col(n) for n in commit.schema.names],
             F.lit(DELETE).alias(KIND), *ORDER, CELL,
@@ -324,6 +327,20 @@ class Target:
         return dropped
 
 
+def _same(key: Sequence[str]) -> Column:
+    """Rows ``o`` and ``c`` have the same key."""
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(f"o.{k}").eqNullSafe(F.col(f"c.{k}"))
+    return same
+
+
+def _not_older(changes: DataFrame, old: DataFrame, key: Sequence[str]) -> DataFrame:
+    """T-05: the changes that no stored row of their key is newer than."""
+    later = F.struct(*[F.col(f"o.{n}") for n in ORDER]) > F.struct(*[F.col(f"c.{n}") for n in ORDER])
+    return changes.alias("c").join(old.alias("o"), _same(key) & later, "left_anti")
+
+
 def bucket_of(key: Sequence[str], buckets: int) -> Column:
     """W-04: bucket of a key. Hashes text, so a key column that widens keeps its bucket."""
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key]), F.lit(buckets)).cast("int")
