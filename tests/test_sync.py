@@ -259,3 +259,16 @@ def test_uncached_batch_and_one_writer(spark, tmp_path, log):
     log.insert("t1", k=1, v1="one")
     assert plan.run_batch(log.frame(), 0).written == ["lake.t1", "lake.tall"]
     assert held(plan, "tall") == [(1, "one")]
+
+
+def test_continuous_run(spark, tmp_path, log):
+    plan = prepare(spark, spec(tmp_path / "lake", ("t1", "x", None)), {("ods", "t1"): source()})
+    _drop(tmp_path / "log", "a", log.insert("t1", k=1, v1="one"))
+    query = start_sync(plan, _stream(spark, tmp_path / "log"), str(tmp_path / "cp"), interval="1 second")
+    try:
+        query.processAllAvailable()
+        _drop(tmp_path / "log", "b", log.insert("t1", k=2, v1="two"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert held(plan, "x") == [(1, "one"), (2, "two")]

@@ -5,7 +5,7 @@ Batch and streaming runs share every step here.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
@@ -74,8 +74,7 @@ class SyncPlan:
         exist and fit its merged sources, unless missing ones are to be created."""
         plan = cls(spark, pipeline, {}, **settings)
         routed: set[tuple[str, str]] = set()
-        for pair in pipeline.pairs:
-            matched = plan.matching(sources, pair)
+        for pair, matched in zip(pipeline.pairs, plan.matching(sources)):
             routed |= set(matched)
             if not matched:
                 raise ValueError(f"no source table matches {pair.source}")
@@ -102,12 +101,13 @@ class SyncPlan:
         plan.seen = {(d, t) for d, t, _ in plan.monitored}
         return plan
 
-    def matching(self, sources: Mapping[tuple[str, str], TableSchema], pair: Pair) -> list[tuple[str, str]]:
-        """Source tables of a pair. Names are matched by Spark, in the regex dialect of the row path."""
-        if not sources:
-            return []
+    def matching(self, sources: Iterable[tuple[str, str]]) -> list[list[tuple[str, str]]]:
+        """Source tables of each pair. Spark matches the names, in the regex dialect of the row path."""
+        pairs = self.pipeline.pairs
         names = self.spark.createDataFrame(sorted(sources), "db string, tbl string")
-        return [(r.db, r.tbl) for r in names.where(pair.route.matches()).sort("db", "tbl").collect()]
+        hits = F.array(*[p.route.matches() for p in pairs]).alias("hits")
+        found = sorted(names.select("db", "tbl", hits).collect())
+        return [[(r.db, r.tbl) for r in found if r.hits[i]] for i in range(len(pairs))]
 
     def expected(
         self, pair: Pair, sources: Mapping[tuple[str, str], TableSchema], options: Mapping[str, str] | None = None
@@ -191,12 +191,12 @@ class SyncPlan:
         server's zone first (R-16).
         """
         rows = snapshot_changes(table, db, tbl)
+        hits = zip(self.pipeline.pairs, self.matching([(db, tbl)]))
         done = []
-        for target, pairs in self.pipeline.by_target().items():
-            if target in self.targets and any(self.matching({(db, tbl): TableSchema()}, p) for p in pairs):
-                kinds = to_row_kinds(rows, self.projection(target))
-                if self.targets[target].upsert(kinds, (f"{job}:{db}.{tbl}", 0), self.parallelism):
-                    done.append(target)
+        for target in dict.fromkeys(p.target for p, found in hits if found and p.target in self.targets):
+            kinds = to_row_kinds(rows, self.projection(target))
+            if self.targets[target].upsert(kinds, (f"{job}:{db}.{tbl}", 0), self.parallelism):
+                done.append(target)
         return done
 
     def run_target(self, log: DataFrame, target: str, batch: int, start: Start | None = None) -> bool:

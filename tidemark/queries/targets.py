@@ -192,12 +192,14 @@ def _write_log(parts: list[DataFrame], folder: str) -> None:
 
 @query("t02_stream_drain", PER_TARGET)
 def t02_stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as a stream of files, drained in several micro-batches into three targets. File order within
+    """The log as a stream of files, drained in three micro-batches into three targets. File order within
     the folder does not matter, since the targets keep positions."""
     folder = work_dir(spark, "t02")
-    _write_log([event_log(spark, sf_dir, "full")], f"{folder}/log")
+    source = event_log(spark, sf_dir, "full")
+    _write_log([source], f"{folder}/log")
     sync = plan(spark, folder, keep_positions=True)
-    log = read_log_stream(spark, f"{folder}/log", options={"maxFilesPerTrigger": "16"})
+    a_third = -(-source.rdd.getNumPartitions() // 3)
+    log = read_log_stream(spark, f"{folder}/log", options={"maxFilesPerTrigger": str(a_third)})
     start_sync(sync, log, f"{folder}/checkpoint", interval=None).awaitTermination()
     return _per_target(sync)
 
