@@ -224,6 +224,9 @@ class Target:
             old_cells = {
                 v: hit for v, live in commit.cells.items() if (hit := [c for c in live if tuple(c) in touched])
             }
+            if commit.keep_positions and old_cells:
+                changes = _not_older(changes, self._rows(commit, old_cells, whole=False), key)
+                cached.append(changes.persist(StorageLevel.MEMORY_AND_DISK))
             self._write(commit, self._merge(commit, changes, old_cells, key), touched, parallelism, batch)
         finally:
             for df in cached:
@@ -255,11 +258,9 @@ class Target:
             return changes if commit.keep_positions else changes.where(F.col(KIND) == UPSERT)
         old = self._rows(commit, old_cells, whole=False)
         o, c = old.alias("o"), changes.alias("c")
-        if commit.keep_positions:
-            fresh = _not_older(changes, old, key)
-            kept = o.join(fresh.alias("c"), _same(key), "left_anti")
-            return kept.unionByName(fresh.drop(KIND))
         kept = o.join(c, _same(key), "left_anti")
+        if commit.keep_positions:
+            return kept.unionByName(changes.drop(KIND))
         upserts = changes.where(F.col(KIND) == UPSERT).drop(KIND, *ORDER)
         return kept.unionByName(upserts)
 
@@ -336,9 +337,14 @@ def _same(key: Sequence[str]) -> Column:
 
 
 def _not_older(changes: DataFrame, old: DataFrame, key: Sequence[str]) -> DataFrame:
-    """T-05: the changes that no stored row of their key is newer than."""
+    """T-05: the changes that no stored row of their key is newer than.
+
+    The stale ones are found from the stored side, so that the changes, the small side, can be broadcast.
+    """
     later = F.struct(*[F.col(f"o.{n}") for n in ORDER]) > F.struct(*[F.col(f"c.{n}") for n in ORDER])
-    return changes.alias("c").join(old.alias("o"), _same(key) & later, "left_anti")
+    c = changes.select(*key, *ORDER).alias("c")
+    stale = old.select(*key, *ORDER).alias("o").join(c, _same(key) & later).select(*[F.col(f"c.{k}") for k in key])
+    return changes.alias("c").join(stale.alias("o"), _same(key), "left_anti")
 
 
 def bucket_of(key: Sequence[str], buckets: int) -> Column:
