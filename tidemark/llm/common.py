@@ -96,3 +96,20 @@ def _state(edges: DataFrame) -> tuple:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def drop_rows(docs: DataFrame, keys: dict[str, Column], dropped: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``keys`` are in ``dropped``, and one row for each of those in ``repeated``.
+
+    ``keys`` names the key columns of both tables and says how to derive them from a row of ``docs``; NULL equals NULL.
+    Texts move only where these tables are too large to broadcast.
+    """
+    marked = docs.select(*[docs[c] for c in docs.columns], *[e.alias(f"_key_{k}") for k, e in keys.items()])
+    pairs = [(f"_key_{k}", k) for k in keys]
+    kept = marked.join(small(dropped), null_safe(marked, dropped, pairs), "left_anti")
+    if again := repeated.count():
+        on = null_safe(kept, repeated, pairs)
+        many = kept.join(small(repeated, again), on, "left_semi")
+        once = many.groupBy(*[p for p, _ in pairs]).agg(F.first(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+        return kept.join(small(repeated, again), on, "left_anti").select(*docs.columns).unionByName(once)
+    return kept.select(*docs.columns)
