@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, decontaminate, exact_dedup, near_dedup, rules
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,12 +15,36 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.judge(read(spark, sf_dir, "documents"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it contains."""
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("tid")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.judge(read(spark, sf_dir, "documents")).drop("tid")
+
+
 def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), RANKS)
 
 
 QUERIES: dict[str, Query] = {
+    "op2_exact_dedup": op2_exact_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op10_byte_level_bpe": op10_byte_level_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.ORACLE,
+    "op6_minhash_near_dedup": near_dedup.ORACLE,
+}
