@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, near_dedup, rules
+from tidemark.llm import bpe, decontaminate, exact_dedup, near_dedup, rules, sharding, site_style, toxicity, urls
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.judge(read(spark, sf_dir, "documents"))
 
@@ -32,19 +36,36 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.judge(read(spark, sf_dir, "documents")).drop("tid")
 
 
+def op7_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extract(read(spark, sf_dir, "pages"))
+
+
+def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.judge(read(spark, sf_dir, "documents"))
+
+
+def op9_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), RANKS)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_reputation": op1_url_reputation,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_site_style_tree": op7_site_style_tree,
+    "op8_hilbert_sharding": op8_hilbert_sharding,
+    "op9_boosted_toxicity": op9_boosted_toxicity,
     "op10_byte_level_bpe": op10_byte_level_bpe,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_url_reputation": urls.ORACLE,
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op6_minhash_near_dedup": near_dedup.ORACLE,
 }
