@@ -104,12 +104,13 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     """Words and beginnings that many texts with label 1 have and hardly any with label 0. ``rows``: ``_label, text``."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,40}"), F.lit(0)))
     heads = [F.array_distinct(F.transform("_words", lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))) for n in HEADS]
+    rows = rows.dropDuplicates(["text"])
     each = rows.withColumn("_words", words).select("_label", F.explode(F.array_distinct(F.concat("_words", *heads))).alias("entry"))
     one, zero = F.sum("_label"), F.sum(1 - F.col("_label"))
     counted = each.groupBy("entry").agg(one.alias("one"), zero.alias("zero"))
     totals = rows.agg(F.coalesce(F.sum("_label"), F.lit(0)), F.coalesce(F.sum(1 - F.col("_label")), F.lit(0))).first()
+    least = max(4.0, totals[0] / 60)  # texts; fewer may be copies of one another
     odds = F.log((F.col("one") + 0.5) / (totals[0] + 1)) - F.log((F.col("zero") + 0.5) / (totals[1] + 1))
-    least = max(3.0, totals[0] / 400)
     picked = counted.where(F.col("one") >= least).withColumn("odds", odds).where("odds > 2.5")
     best = picked.orderBy(F.desc(F.col("odds") * F.sqrt("one")), "entry").limit(ENTRIES).collect()  # at most ENTRIES
     heads = sorted({r["entry"][:-1] for r in best if r["entry"].endswith("*")})
@@ -168,8 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
     if grow.select("_label").distinct().count() < 2:
         grow = packed
     boost = GBTClassifier(
-        labelCol="_label", featuresCol="_features", predictionCol="_prediction", probabilityCol="_probability",
-        rawPredictionCol="_raw", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.2, seed=SEED)
+        labelCol="_label", featuresCol="_features", predictionCol="_prediction", maxIter=ROUNDS, maxDepth=DEPTH,
+        stepSize=0.2, seed=SEED).setProbabilityCol("_probability").setRawPredictionCol("_raw")
     trees = boost.fit(grow.coalesce(4))
     check = trees.transform(packed.where("_part = 0")).select("_label", vector_to_array("_probability")[1].alias("_margin"))
     if check.select("_label").distinct().count() < 2:
