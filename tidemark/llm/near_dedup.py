@@ -8,8 +8,9 @@ comparing, so a group of thousands of near copies costs one comparison a member
 confirmed on full sets, after bounds on sizes and on the agreement of 96 minwise values have cut what cannot link.
 
 Recall: a pair at the threshold shares a node of the first level in all but 0.15^16 of cases; a pair that only meets in
-large nodes meets again in all but 0.0005 of cases at each further level. What is still large after the last level is
-compared exhaustively across components, so nothing is capped.
+large nodes meets again in all but 0.0005 of cases at each further level, where nodes are also split by size into
+overlapping steps. What is still large after the last level is compared exhaustively across components, so nothing is
+capped.
 
 A NULL text counts as empty; without words a document has an empty set and links with nothing. Repeated rows, also with
 one id for different texts, are told apart by their sets. A NULL id is never the smallest of a component with another
@@ -28,18 +29,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, drop_rows, small, stored
+from tidemark.llm.common import drop_rows, small, stored
+from tidemark.llm.linking import Linking, agreement
 
 WORDS = 5
 VALUES = 96
-#: Branches of each level and tokens on each branch. The first level has one token on a path; a large node goes on.
-LEVELS = [(16, 1), (8, 3), (16, 6)]
-SMALL = 16  # classes that a node may have to be compared exhaustively
+_rng = np.random.default_rng(85)
+#: The minwise values on each branch of each level: 16 branches of one, 8 of three, 16 of six, 48 of twelve.
+LEVELS = [[tuple(range(b * d, b * d + d)) for b in range(n)] for n, d in ((16, 1), (8, 3), (16, 6))]
+LEVELS.append([tuple(_rng.permutation(VALUES)[:12].tolist()) for _ in range(48)])
 #: Of 96 minwise values, a pair at 0.85 agrees in 81.6 on average; fewer than 64 are five standard deviations below.
 AGREE = 64
 SEGMENT = 4 << 20
 
-_rng = np.random.default_rng(85)
 _MUL = _rng.integers(0, 1 << 32, VALUES, np.uint32) | np.uint32(1)
 _ADD = _rng.integers(0, 1 << 32, VALUES, np.uint32)
 _ROLL = _rng.integers(0, 1 << 63, WORDS, np.uint64) | np.uint64(1)
@@ -124,11 +126,13 @@ def _lists(keys: list[bytes], items: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), lists], ["key", "items"])
 
 
-class Join:
+class Join(Linking):
     """One run of the join over a table."""
 
+    name, levels = "near", LEVELS
+
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, percent: int):
-        self.percent = percent
+        self.percent, self.shrink = percent, percent / 100
         text = F.coalesce(docs[text_col], F.lit(""))
         self.texts = docs.select(F.xxhash64(text).alias("tid"), text.cast("binary").alias("data"))
         kind = docs.schema[id_col].dataType.simpleString()
@@ -139,77 +143,21 @@ class Join:
             F.min("doc_id").alias("least_id"), F.min("tid").alias("tid"), F.first("n").alias("n"),
             F.first("sig").alias("sig"), F.first("brief").alias("brief"))
         self.classes = stored(grouped, "near-classes")
-        self.links: DataFrame | None = None
-
-    def nodes(self, level: int, classes: DataFrame) -> DataFrame:
-        """Members of the nodes of a level that have two classes or more, with the node's size and hub."""
-        branches, depth = LEVELS[level]
-        paths = [F.xxhash64(F.lit(b), *[F.col("sig")[b * depth + k] for k in range(depth)]) for b in range(branches)]
-        walked = classes.select("key", "n", *([c for c in ("component",) if c in classes.columns]), F.explode(F.array(*paths)).alias("path"))
-        sizes = walked.groupBy("path").agg(F.count("*").alias("members"), F.min(F.struct("key", "n")).alias("hub")).where("members > 1")
-        return stored(walked.join(sizes, "path"), f"near-nodes-{level}")
-
-    def pairs(self, nodes: DataFrame, last: bool) -> DataFrame:
-        """Distinct pairs to compare: all of small nodes, hub and member of large ones, all across components at last."""
-        known = "component" in nodes.columns
-        few = nodes if last else nodes.where(F.col("members") <= SMALL)
-        keep = ["path", "key", "n", *(["component"] if known else [])]
-        a = few.select(*[F.col(c).alias(f"{c}_a") for c in keep])
-        b = few.select(*[F.col(c).alias(f"{c}_b") for c in keep])
-        on = (F.col("path_a") == F.col("path_b")) & (F.col("key_a") < F.col("key_b"))
-        if known:
-            on &= F.col("component_a") != F.col("component_b")
-        found = a.join(b, on & self._sizes_fit("n_a", "n_b")).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-        if not last:
-            many = nodes.where((F.col("members") > SMALL) & (F.col("key") != F.col("hub.key")))
-            many = many.where(self._sizes_fit("n", "hub.n"))
-            found = found.unionByName(many.select(F.col("hub.key").alias("a"), F.col("key").alias("b")))
-        return found.distinct()
-
-    def _sizes_fit(self, x: str, y: str):
-        return 100 * F.least(x, y) >= self.percent * F.greatest(x, y)
 
     def confirm(self, pairs: DataFrame, name: str) -> DataFrame:
         """Links among the pairs, on full sets."""
-        brief = self.classes.select("key", "brief")
-        a, b = (brief.select(F.col("key").alias(k), F.col("brief").alias(f"brief_{k}")) for k in "ab")
-        same = F.aggregate(F.zip_with("brief_a", "brief_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
-        likely = stored(pairs.join(a, "a").join(b, "b").where(same >= AGREE).select("a", "b"), f"near-likely-{name}")
-        wanted = likely.select(F.col("a").alias("key")).unionByName(likely.select(F.col("b").alias("key"))).distinct()
-        tids = stored(self.classes.join(wanted, "key", "left_semi").select("tid"), f"near-wanted-{name}")
+        a, b = (self.classes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "tid", "brief")]) for x in "ab")
+        fit = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
+        both = pairs.join(a, F.col("a") == F.col("key_a")).join(b, (F.col("b") == F.col("key_b")) & fit)
+        likely = stored(both.where(agreement("brief_a", "brief_b") >= AGREE).select("a", "b", "tid_a", "tid_b"), f"near-likely-{name}")
+        tids = stored(likely.select(F.explode(F.array("tid_a", "tid_b")).alias("tid")).distinct(), f"near-wanted-{name}")
         data = self.texts.join(small(tids), "tid", "left_semi").select("data")
-        sets = stored(data.mapInArrow(_sets, "key binary, items array<bigint>").dropDuplicates(["key"]), f"near-sets-{name}")
-        a, b = (sets.select(F.col("key").alias(k), F.col("items").alias(f"items_{k}")) for k in "ab")
-        both = likely.join(a, "a").join(b, "b")
+        sets = data.mapInArrow(_sets, "key binary, items array<bigint>").dropDuplicates(["key"])
+        a, b = (sets.select(F.col("key").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab")
+        both = likely.select("a", "b").join(a, "a").join(b, "b")
         met = both.select("a", "b", F.size(F.array_intersect("items_a", "items_b")).alias("met"), (F.size("items_a") + F.size("items_b")).alias("sum"))
         return stored(met.where(F.expr(f"100 * met >= {self.percent} * (sum - met)")).select("a", "b"), f"near-links-{name}")
 
-    def run(self) -> DataFrame:
-        """``key`` and ``component`` of every class that links with another class."""
-        classes = self.classes
-        for level in range(len(LEVELS)):
-            nodes = self.nodes(level, classes)
-            links = self.confirm(self.pairs(nodes, False), str(level))
-            self.links = links if self.links is None else self.links.unionByName(links)
-            known = components(self.links, f"near-components-{level}")
-            large = nodes.where(F.col("members") > SMALL).select("path", "key")
-            large = self.with_component(large, known)
-            torn = large.groupBy("path").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-            open_keys = large.join(torn, "path", "left_semi").select("key").distinct()
-            classes = stored(self.with_component(self.classes.join(open_keys, "key", "left_semi"), known), f"near-open-{level}")
-            if classes.isEmpty():
-                return known
-        rest = self.with_component(nodes.where(F.col("members") > SMALL).drop("component"), known)
-        links = self.confirm(self.pairs(rest, True), "rest")
-        self.links = self.links.unionByName(links)
-        return components(self.links, "near-components-rest")
-
-    @staticmethod
-    def with_component(keyed: DataFrame, known: DataFrame) -> DataFrame:
-        kept = [c for c in keyed.columns if c != "component"]
-        return keyed.select(*kept).join(known.withColumnRenamed("node", "key"), "key", "left").select(
-            *kept, F.coalesce("component", "key").alias("component"))
-
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, and ``tid``, a hash of the text.
