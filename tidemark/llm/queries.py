@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, near_dedup, rules, sharding, site_style, toxicity, urls
+from tidemark.llm import bpe, decontaminate, exact_dedup, line_dedup, near_dedup, rules, sharding, site_style, toxicity, urls
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("tid")
 
 
+def op4_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.judge(read(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_fuzzy_line_dedup": op4_fuzzy_line_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_site_style_tree": op7_site_style_tree,
