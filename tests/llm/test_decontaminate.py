@@ -76,8 +76,8 @@ def test_index_finds_every_fingerprint_within_the_radius(words):
         near = int(prints[rng.randrange(50)])
         for b in rng.sample(range(64), rng.randint(0, 22)):
             near ^= 1 << b
-        near = np.uint64(near)
-        assert index.within(20, near).tolist() == np.flatnonzero(np.bitwise_count(prints ^ near) <= d.RADIUS).tolist()
+        near = np.array([near], np.uint64)
+        assert index.within(20, near)[1].tolist() == np.flatnonzero(np.bitwise_count(prints ^ near) <= d.RADIUS).tolist()
 
 
 def test_empty_tables(spark):

@@ -36,7 +36,8 @@ RADIUS = 18
 BLOCKS = 8
 NEAR = RADIUS // BLOCKS
 LEAST = 0.8
-ITEMS_BYTES = 8 << 20  # of item text in one pass over the documents
+STRETCH = 4096  # window starts whose fingerprints are made at a time
+ITEMS_BYTES = 4 << 20  # of item text in one pass over the documents
 WORD = re.compile(r"[^\W_]+")
 
 _ROLL = np.random.default_rng(3).integers(0, 1 << 63, WORDS, np.uint64) | np.uint64(1)
@@ -78,6 +79,19 @@ def similarity(a: Counter, b: Counter) -> float:
     return met / (a.total() + b.total() - met)
 
 
+def _numbered(numbers: np.ndarray) -> np.ndarray:
+    """A value for every run of five word numbers."""
+    mixed = np.zeros(len(numbers) - WORDS + 1, np.uint64)
+    for k in range(WORDS):
+        mixed += numbers[k : len(mixed) + k] * _ROLL[k]
+    return mixed
+
+
+def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted table."""
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
+
+
 class Index:
     """Items of one block, by their size in words."""
 
@@ -86,7 +100,7 @@ class Index:
         self.vocabulary: dict[str, int] = {}
         self.by_size: dict[int, list[tuple[object, Counter]]] = defaultdict(list)
         self.whole: dict[tuple[str, ...], list[object]] = defaultdict(list)
-        runs, prints = [], defaultdict(list)
+        runs, numbered, prints = [], [], defaultdict(list)
         for item, text in items:
             found = words(text)
             if not found:
@@ -98,32 +112,34 @@ class Index:
                 self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
             hashes = shingles(found)
             runs.append(hashes)
+            numbered.append(_numbered(np.array([self.vocabulary[w] for w in found], np.uint64)))
             prints[len(found)].append(fingerprints(signs(hashes).sum(0, keepdims=True))[0])
             self.by_size[len(found)].append((item, Counter(hashes.tolist())))
         self.runs = np.unique(np.concatenate(runs)) if runs else np.zeros(0, np.uint64)
+        self.numbered = np.unique(np.concatenate(numbered)) if runs else self.runs
         self.prints = {size: np.array(p, np.uint64) for size, p in prints.items()}
         self.blocks = {size: self._blocks(p) for size, p in self.prints.items()}
         self.need = {size: ceil(2 * least / (1 + least) * (size - WORDS + 1) - 1e-9) for size in prints}
         self.fewest = min(self.need.values(), default=0)
 
     @staticmethod
-    def _blocks(prints: np.ndarray) -> list[dict[int, np.ndarray]]:
-        """For each block, the items by every block value within two bits of theirs."""
-        tables = []
-        for value in prints.view(np.uint8).reshape(-1, BLOCKS).T:  # eight blocks of eight bits
-            table = defaultdict(list)
-            for item, own in enumerate(value.tolist()):
-                for flip in _FLIPS:
-                    table[own ^ flip].append(item)
-            tables.append({k: np.array(v) for k, v in table.items()})
-        return tables
-
-    def within(self, size: int, fingerprint: np.uint64) -> np.ndarray:
-        """Items of a size whose fingerprints differ in at most RADIUS bits: all of them, by the index."""
-        tables, none = self.blocks[size], np.zeros(0, np.int64)
-        parts = [t.get(v, none) for t, v in zip(tables, np.array([fingerprint]).view(np.uint8).tolist())]
-        found = np.unique(np.concatenate(parts)).astype(np.int64)
-        return found[np.bitwise_count(self.prints[size][found] ^ fingerprint) <= RADIUS]
+    def _blocks(prints: np.ndarray) -> np.ndarray:
+        """For each block and block value, the items (a mask) whose own value is within two bits of it."""
+        table = np.zeros((BLOCKS, 256, len(prints)), bool)
+        for block, value in enumerate(prints.view(np.uint8).reshape(-1, BLOCKS).T):  # eight blocks of eight bits
+            for flip in _FLIPS:
+                table[block, value ^ np.uint8(flip), np.arange(len(prints))] = True
+        return table
+
+    def within(self, size: int, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a fingerprint and an item of a size that differ in at most RADIUS bits: all of them, by the index."""
+        table, values = self.blocks[size], found.view(np.uint8).reshape(-1, BLOCKS)
+        near = table[0][values[:, 0]]
+        for block in range(1, BLOCKS):
+            near |= table[block][values[:, block]]
+        which, items = np.nonzero(near)
+        fits = np.bitwise_count(self.prints[size][items] ^ found[which]) <= RADIUS
+        return which[fits], items[fits]
 
     def matches(self, text: str | None) -> list[tuple[object, float, int]]:
         """Items in a text, with the best similarity and the first word of its window."""
@@ -131,36 +147,43 @@ class Index:
         out = [(item, 1.0, 0) for item in self.whole.get(tuple(found), ())] if len(found) < WORDS else []
         if not len(self.runs) or len(found) < WORDS:
             return out
-        known = np.fromiter(map(self.vocabulary.get, found, repeat(0)), np.int32, len(found)) > 0
-        inside = np.concatenate([[0], np.cumsum(known)])
-        if (inside[WORDS:] - inside[:-WORDS] == WORDS).sum() < self.fewest:
+        known = np.fromiter(map(self.vocabulary.get, found, repeat(0)), np.uint64, len(found))
+        inside = np.concatenate([[0], np.cumsum(known > 0)])
+        whole = inside[WORDS:] - inside[:-WORDS] == WORDS  # runs of words that items have: few of them are an item's run
+        if whole.sum() < self.fewest or _among(_numbered(known)[whole], self.numbered).sum() < self.fewest:
             return out
         hashes = shingles(found)
-        spots = np.searchsorted(self.runs, hashes)
-        hit = self.runs[np.minimum(spots, len(self.runs) - 1)] == hashes
-        if hit.sum() < self.fewest:
-            return out
+        hit = _among(hashes, self.runs)
         hits = np.concatenate([[0], np.cumsum(hit)])
         best: dict[object, tuple[float, int]] = {}
+        starts = {}
         for size, need in self.need.items():
             width = size - WORDS + 1
-            if width > len(hashes):
-                continue
-            starts = np.flatnonzero(hits[width:] - hits[:-width] >= need)
-            for at in starts.tolist():
-                window = hashes[at : at + width]
-                print_ = fingerprints(signs(window).sum(0, keepdims=True))[0]
-                near = self.within(size, print_)
-                if len(near):
-                    own = Counter(window.tolist())
-                    for k in near.tolist():
-                        item, weights = self.by_size[size][k]
-                        alike = similarity(own, weights)
-                        if alike >= self.least and alike > best.get(item, (0.0, 0))[0]:
-                            best[item] = (alike, at)
+            if width <= len(hashes):
+                starts[size] = np.flatnonzero(hits[width:] - hits[:-width] >= need)
+        widest, lo = max(starts, default=0), min((int(s[0]) for s in starts.values() if len(s)), default=None)
+        while lo is not None:
+            hi = lo + STRETCH
+            sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(signs(hashes[lo : hi + widest]), 0, np.int32)])
+            for size, every in starts.items():
+                own, width = every[(every >= lo) & (every < hi)], size - WORDS + 1
+                if len(own):
+                    self._verify(size, hashes, own, fingerprints(sums[own - lo + width] - sums[own - lo]), best)
+            lo = min((int(s[s >= hi][0]) for s in starts.values() if len(s) and s[-1] >= hi), default=None)
         return out + [(item, alike, at) for item, (alike, at) in best.items()]
 
 
+    def _verify(self, size: int, hashes: np.ndarray, starts: np.ndarray, prints: np.ndarray, best: dict) -> None:
+        """Exact similarity of the windows whose fingerprints are near an item's; keeps the best per item."""
+        for k, i in zip(*(x.tolist() for x in self.within(size, prints))):
+            item, weights = self.by_size[size][i]
+            if best.get(item, (0.0, 0))[0] < 1.0:
+                at = int(starts[k])
+                alike = similarity(Counter(hashes[at : at + size - WORDS + 1].tolist()), weights)
+                if alike >= self.least and alike > best.get(item, (0.0, 0))[0]:
+                    best[item] = (alike, at)
+
+
 def _blocks_of(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[object, str | None]]]:
     """Items in blocks of bounded size."""
     block, size = [], 0
