@@ -234,12 +234,11 @@ def test_stream_equals_batch_and_survives_a_restart(spark, tmp_path, log):
     assert [r.evolved for r in seen if r.evolved] == [["lake.tall"]]
 
 
-def test_one_query_per_target(spark, tmp_path, log):
+def test_a_writer_for_each_target_from_one_read(spark, tmp_path, log):
     plan = prepare(spark, spec(tmp_path / "lake", *FULL), {("ods", "t1"): source(), ("ods", "ta"): source()})
     log.insert("t1", k=1, v1="one").insert("ta", k=1, v1="Spruce").insert("t2", k=2, v1="two")
     _drop(tmp_path / "log", "a", log)
-    for q in start_divided(plan, _stream(spark, tmp_path / "log"), str(tmp_path / "cp"), interval=None):
-        q.awaitTermination()
+    start_divided(plan, _stream(spark, tmp_path / "log"), str(tmp_path / "cp"), interval=None).awaitTermination()
     assert held(plan, "tall") == [(1, "one"), (2, "two")] and held(plan, "ta") == [(1, "Spruce")]
 
 
@@ -272,3 +271,56 @@ def test_continuous_run(spark, tmp_path, log):
     finally:
         query.stop()
     assert held(plan, "x") == [(1, "one"), (2, "two")]
+
+
+def test_runs_without_a_number_all_count_and_numbered_ones_once(spark, tmp_path, log):
+    plan = prepare(spark, spec(tmp_path, *FULL), {("ods", "t1"): source(), ("ods", "ta"): source()})
+    assert plan.run_batch(log.insert("t1", k=1, v1="a").frame()).written == ["lake.t1", "lake.tall"]
+    assert plan.run_batch(log.insert("t1", k=2, v1="b").frame()).written == ["lake.t1", "lake.tall"]
+    assert plan.run_batch(log.insert("t1", k=3, v1="c").frame(), 0, "s").written == ["lake.t1", "lake.tall"]
+    assert plan.run_batch(log.insert("t1", k=4, v1="d").frame(), 0, "s").written == []
+    assert [r[0] for r in held(plan, "t1")] == [1, 2, 3]
+
+
+def test_a_stream_with_a_new_checkpoint_drops_nothing(spark, tmp_path, log):
+    sources = {("ods", "t1"): source(), ("ods", "ta"): source()}
+    for k, name in enumerate("ab"):
+        log.insert("t1", k=k, v1=name)
+        _drop(tmp_path / f"log-{name}", name, log)
+        plan = prepare(spark, spec(tmp_path / "lake", *FULL), sources)
+        start_sync(plan, _stream(spark, tmp_path / f"log-{name}"), str(tmp_path / f"cp-{name}"), interval=None).awaitTermination()
+    assert held(plan, "t1") == [(0, "a"), (1, "b")]
+
+
+def test_the_spec_decides_start_sink_and_zone(spark, tmp_path, log):
+    body = json.loads(spec(tmp_path, ("t1", "t1", None)))
+    at = log.insert("t1", k=1, v1="old").insert("t1", k=2, v1="new").pos
+    body["sourceConfig"] = {"scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": str(1726239466000 + at), "server-time-zone": "Asia/Shanghai"}
+    body["sinkConfig"] = {"bucket": "3", "sink.parallelism": "2"}
+    extra = Field("at", T.TimestampType(), True, "timestamp")
+    plan = SyncPlan.prepare(spark, parse_spec(json.dumps(body)), {("ods", "t1"): source(extra)}, create_missing=True)
+    assert plan.targets["lake.t1"].current().buckets == 3 and plan.parallelism == 2
+    plan.run_batch(log.frame())
+    assert held(plan, "t1", "k", "v1") == [(2, "new")]
+    table = spark.sql("SELECT 3 AS k, 'snap' AS v1, timestamp_ntz'2024-01-02 07:00:00' AS at")
+    plan.load_snapshot(table, "ods", "t1")
+    assert str(plan.targets["lake.t1"].read().where("k = 3").select("at").first()[0].isoformat()).startswith("2024-01-01T23:00")
+
+
+def test_a_start_that_depends_on_the_log_is_resolved_first(spark, tmp_path, log):
+    plan = prepare(spark, spec(tmp_path, *FULL, mode="latest-offset"), {("ods", "t1"): source(), ("ods", "ta"): source()})
+    so_far = log.insert("t1", k=1, v1="a").frame()
+    with pytest.raises(ValueError, match="resolve the start"):
+        plan.run_batch(so_far)
+    plan.resolve_start(so_far)
+    plan.run_batch(so_far.unionByName(log.insert("t1", k=2, v1="b").frame()))
+    assert held(plan, "t1") == [(2, "b")]
+
+
+def test_many_pairs_are_one_match_per_row(spark):
+    from tidemark.sources.changelog import source_filter
+
+    df = spark.createDataFrame([("ods", "t7"), ("ods", "t7x"), ("x", "t7"), ("ods", None)], "db string, tbl string")
+    kept = source_filter(df, "ods", [f"t{i}" for i in range(500)])
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 2
+    assert sorted(map(str, kept.collect())) == ["Row(db='ods', tbl='t7')", "Row(db='ods', tbl=None)"]

@@ -1,6 +1,8 @@
+import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import rows
@@ -102,7 +104,9 @@ def test_only_touched_cells_are_rewritten(spark, tmp_path, log):
     before = target.current()
     target.upsert(changes(log.insert("t", k=99, v="z", at="2024-01-01"), BY_DAY))
     after = target.current()
-    assert len(after.cells[2]) == 1 and len(after.cells[1]) == len(before.cells[1]) - 1
+    (first, old), (second, new) = sorted(after.cells.items())
+    assert first in before.cells and second.startswith("2-")
+    assert len(new) == 1 and len(old) == len(before.cells[first]) - 1
     assert target.read().count() == 21
 
 
@@ -143,3 +147,47 @@ def test_an_entry_is_parsed_once(spark, log):
     df = row_changes(decode(log.frame())).where("tbl = 't' and db = 'ods' and op <> 'd'")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_a_writer_that_loses_leaves_the_rows_of_the_winner(spark, tmp_path, log, monkeypatch):
+    target = Target(spark, str(tmp_path)).create(DAY_SCHEMA, 1, "dt")
+    before = target.current()
+    target.upsert(changes(log.insert("t", k=1, v="won", at="2024-01-01"), BY_DAY))
+    late = Target(spark, str(tmp_path))
+    monkeypatch.setattr(late, "current", lambda: before)
+    with pytest.raises(RuntimeError, match="another writer"):
+        late.upsert(changes(log.insert("t", k=2, v="lost", at="2024-01-01"), BY_DAY))
+    assert [(r.k, r.v) for r in target.read().collect()] == [(1, "won")]
+    assert target.drop_unused_files() == 1
+    assert [(r.k, r.v) for r in target.read().collect()] == [(1, "won")]
+
+
+@pytest.mark.parametrize("day", [None, "2024-01-01 00:00", "a/b", ""])
+def test_days_that_cannot_name_a_folder_are_refused(spark, tmp_path, log, day):
+    target = Target(spark, str(tmp_path)).create(DAY_SCHEMA, 1, "dt")
+    for _ in range(2):
+        rows = changes(log.insert("t", k=1, v="a", at="2024-01-01"), BY_DAY)
+        with pytest.raises(ValueError, match="cannot store rows of the days"):
+            target.upsert(rows.withColumn("dt", F.lit(day).cast("string")))
+        assert target.read().count() == 0
+        target.upsert(changes(log.insert("t", k=2, v="b", at="2024-01-02"), BY_DAY))
+        target.upsert(changes(log.delete("t", k=2, v="b", at="2024-01-02"), BY_DAY))
+
+
+def test_day_of_typed_columns_in_another_zone(spark, log):
+    from tidemark.functions.types import spark_type
+    from tidemark.operators.row_kinds import DayColumn, Projection, project_image
+    from tidemark.operators.schema import Field, TableSchema
+
+    kinds = ["date", "datetime", "datetime(6)", "timestamp", "varchar(40)"]
+    values = [19439, 1679601600000, 1679601600000000, "2023-03-23T20:00:00Z", "2023-03-23T20:00:00.5Z"]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        days = []
+        for kind, value in zip(kinds, values):
+            fields = [Field("c", spark_type(kind), True, kind), Field("dt", spark_type("varchar(10)"))]
+            row = spark.sql(f"SELECT parse_json('{json.dumps({'c': value})}') AS after")
+            days.append(project_image(row, Projection(TableSchema(fields), DayColumn("c")), "after").first()["dt"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert days == ["2023-03-23", "2023-03-23", "2023-03-23", "2023-03-24", "1970-01-01"]

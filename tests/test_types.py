@@ -73,3 +73,12 @@ def test_widening():
     assert widens(T.FloatType(), T.DoubleType()) and not widens(T.IntegerType(), T.StringType())
     assert widest(T.DecimalType(8, 3), T.DecimalType(10, 0)) == T.DecimalType(13, 3)
     assert widest(T.IntegerType(), T.StringType()) is None
+
+
+def test_clock_keeps_the_fraction_of_its_type(spark):
+    from tidemark.functions.types import decode_text, spark_type
+
+    text = spark.createDataFrame([("36803012345",), ("-1000001",)], "t string")
+    for kind, want in [("time", ["10:13:23", "-00:00:01"]), ("time(3)", ["10:13:23.012", "-00:00:01.000"]), ("time(6)", ["10:13:23.012345", "-00:00:01.000001"])]:
+        got = text.select(decode_text(F.col("t"), spark_type(kind), kind).alias("c"))
+        assert [r.c for r in got.collect()] == want

@@ -159,11 +159,12 @@ def decode_text(text: Column, dtype: T.DataType, source_type: str = "", strict:
         return F.when(is_number, number != 0).otherwise(cast("boolean"))
     if isinstance(dtype, T.ArrayType):
         return F.when(text == "", F.array().cast(dtype)).otherwise(F.split(text, ","))
-    return F.when(is_number, _clock(number)).otherwise(text)
+    _, args, _ = split_type(source_type) if source_type else ("", [], False)
+    return F.when(is_number, _clock(number, args[0] if args else 0)).otherwise(text)
 
 
-def _clock(micros: Column) -> Column:
-    """``[-]HH:mm:ss`` of a span in microseconds."""
+def _clock(micros: Column, digits: int = 0) -> Column:
+    """``[-]HH:mm:ss`` of a span in microseconds, with as many digits of its fraction as the type has."""
 
     def two_digits(c: Column) -> Column:
         return F.lpad(c.cast("string"), F.greatest(F.lit(2), F.length(c.cast("string"))), "0")
@@ -171,7 +172,11 @@ def _clock(micros: Column) -> Column:
     second = (F.abs(micros) - F.abs(micros) % 1_000_000) / 1_000_000
     hour, rest = F.floor(second / 3600), (second % 3600).cast("int")
     clock = F.concat_ws(":", two_digits(hour), F.lpad(F.floor(rest / 60).cast("string"), 2, "0"), F.lpad((rest % 60).cast("string"), 2, "0"))
-    return F.concat(F.when(micros < 0, "-").otherwise(""), clock)
+    parts = [F.when(micros < 0, "-").otherwise(""), clock]
+    if digits:
+        fraction = F.lpad((F.abs(micros) % 1_000_000).cast("string"), 6, "0")
+        parts += [F.lit("."), F.substring(fraction, 1, digits)]
+    return F.concat(*parts)
 
 
 def stored_value(

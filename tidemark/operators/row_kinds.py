@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.dates import DEFAULT_DAY, day_bucket
 from tidemark.functions.metadata import metadata_columns
@@ -90,7 +91,7 @@ def project_image(changes: DataFrame, p: Projection, image: str, keep: Sequence[
         derived[name] = F.col(name)
     if p.day:
         first.append(raw_value(image, *p.day_field().names).alias("_day_text"))
-        derived[p.day.name] = day_bucket("_day_text", p.day.default, p.day.extended).alias(p.day.name)
+        derived[p.day.name] = day_of(F.col("_day_text"), p).alias(p.day.name)
     step = changes.select(*first, *keep)
 
     def final(f: Field) -> Column:
@@ -103,6 +104,22 @@ def project_image(changes: DataFrame, p: Projection, image: str, keep: Sequence[
     return step.select(*[final(f) for f in p.schema.fields], *keep)
 
 
+def day_of(text: Column, p: Projection) -> Column:
+    """S-01: the day of the target's day source.
+
+    A date or a time of a typed source column is decoded first and its own day taken; an instant falls on a day of
+    the session zone. Text and integers go by the rules of loose time text.
+    """
+    source = p.day_field()
+    if isinstance(source.dtype, (T.DateType, T.TimestampNTZType)):
+        value = decode_text(text, source.dtype, source.source_type, strict=False)
+    elif isinstance(source.dtype, T.TimestampType):
+        value = text.try_cast("timestamp")
+    else:
+        return day_bucket(text, p.day.default, p.day.extended)
+    return F.coalesce(value.cast("date").cast("string"), F.lit(p.day.default))
+
+
 def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
     """The last change of each key by log position.
 

@@ -2,8 +2,11 @@
 
 Layout of a target folder::
 
-    data/__version=<n>/<day>=<value>/__cell=<bucket>/*.parquet    rows that commit n wrote
-    commits/<n>.json                                              schema, live cells, last batch of each job
+    data/__version=<n>-<attempt>/<day>=<value>/__cell=<bucket>/*.parquet    rows that a writer of commit n wrote
+    commits/<n>.json                                  schema, live cells, last batch of each stream
+
+Every write has a folder of its own, which only its commit names. Of two writers of one version the second to
+commit fails, and the rows of the first are untouched.
 
 A cell is one hash bucket of one day. A commit rewrites the cells its keys fall in and keeps the others by
 reference, so the cost of a batch follows the cells touched. Commit files hold one short entry per live
@@ -13,6 +16,8 @@ cell, never per row or file. Readers see a commit once its file has its final na
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
@@ -26,6 +31,8 @@ from tidemark.operators.schema import Field, TableSchema, evolve
 
 VERSION, CELL = "__version", "__cell"
 DELETED = "_deleted"
+#: Text that Spark takes over into a folder name unchanged.
+PLAIN_DAY = re.compile(r"""[^\x00-\x1f\x7f"#%'*/:=?\\{\[\]^]+""")
 ORDER_TYPES = {"_file_no": T.LongType(), "_pos": T.LongType(), "_row": T.IntegerType(), "_seq": T.IntegerType()}
 
 
@@ -38,9 +45,9 @@ class Commit:
     day: str | None
     buckets: int
     keep_positions: bool = False
-    # version -> live cells of it, as [day, bucket]; and how many cells that version wrote at first
-    cells: dict[int, list[tuple[str | None, int]]] = field(default_factory=dict)
-    written: dict[int, int] = field(default_factory=dict)
+    # write -> live cells of it, as [day, bucket]; and how many cells that write had at first
+    cells: dict[str, list[tuple[str | None, int]]] = field(default_factory=dict)
+    written: dict[str, int] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
@@ -56,13 +63,12 @@ class Commit:
             Field(**{**f, "dtype": T.DataType.fromDDL(f["dtype"]), "spellings": tuple(f["spellings"])})
             for f in s.pop("fields")
         ]
-        cells = {int(v): [(d, b) for d, b in c] for v, c in body.pop("cells").items()}
-        written = {int(v): n for v, n in body.pop("written").items()}
-        return cls(schema=TableSchema(fields, **s), cells=cells, written=written, **body)
+        cells = {v: [(d, b) for d, b in c] for v, c in body.pop("cells").items()}
+        return cls(schema=TableSchema(fields, **s), cells=cells, **body)
 
 
 class Target:
-    """A stored target table. One writer at a time; a second one fails at its commit."""
+    """A stored target table. One writer at a time; a second one fails at its commit and changes nothing."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
@@ -97,7 +103,7 @@ class Target:
 
     def _commit(self, commit: Commit) -> None:
         final = f"{self.path}/commits/{commit.version:012d}.json"
-        fs, draft = self._fs(f"{self.path}/commits/.{commit.version:012d}.draft")
+        fs, draft = self._fs(f"{self.path}/commits/.{commit.version:012d}-{uuid.uuid4().hex}.draft")
         out = fs.create(draft, True)
         try:
             out.write(bytearray(commit.to_json().encode()))
@@ -105,6 +111,7 @@ class Target:
             out.close()
         place = self._fs(final)[1]
         if fs.exists(place) or not fs.rename(draft, place):
+            fs.delete(draft, False)
             raise RuntimeError(f"commit {commit.version} of {self.path} was taken by another writer")
 
     def create(
@@ -152,19 +159,19 @@ class Target:
             struct = struct.add(DELETED, T.BooleanType())
         return struct.add(CELL, T.IntegerType())
 
-    def _rows(self, commit: Commit, cells: dict[int, list[tuple[str | None, int]]], whole: bool) -> DataFrame:
-        """Rows of the given cells. A version that is wholly live is read as one folder."""
+    def _rows(self, commit: Commit, cells: dict[str, list[tuple[str | None, int]]], whole: bool) -> DataFrame:
+        """Rows of the given cells. A write that is wholly live is read as one folder."""
         paths = []
-        for version, live in cells.items():
-            folder = f"{self.path}/data/{VERSION}={version}"
-            if whole and len(live) == commit.written.get(version):
+        for write, live in cells.items():
+            folder = f"{self.path}/data/{VERSION}={write}"
+            if whole and len(live) == commit.written.get(write):
                 paths.append(folder)
             else:
                 paths += [folder + self._cell_path(commit.day, d, b) for d, b in live]
         struct = self._struct(commit)
         if not paths:
             return self.spark.createDataFrame([], struct)
-        reader = self.spark.read.schema(struct.add(VERSION, T.LongType())).option("basePath", f"{self.path}/data")
+        reader = self.spark.read.schema(struct.add(VERSION, T.StringType())).option("basePath", f"{self.path}/data")
         return reader.parquet(*paths).drop(VERSION)
 
     @staticmethod
@@ -191,8 +198,9 @@ class Target:
     ) -> bool:
         """W-01: apply row changes. Rows carry the target's columns, a kind and the log position.
 
-        ``batch`` is (job, number): a batch that is already in does nothing (W-08). ``locate_moves`` is for
-        logs without usable before images: the old day of a key is looked up in the target.
+        ``batch`` is (stream, number): a batch of the stream that is already in does nothing (W-08); without it
+        every call counts. ``locate_moves`` is for logs without usable before images: the old day of a key is
+        looked up in the target. A day that is NULL or cannot name a folder is refused and nothing is committed.
         """
         commit = self.current()
         if batch and commit.batches.get(batch[0], -1) >= batch[1]:
@@ -219,7 +227,7 @@ class Target:
                 changes = changes.unionByName(moved)
             touched = self._touched(commit, changes)
             if not touched:
-                self._commit(self._next(commit, touched, commit.version + 1, [], batch))
+                self._commit(self._next(commit, touched, None, [], batch))
                 return True
             old_cells = {
                 v: hit for v, live in commit.cells.items() if (hit := [c for c in live if tuple(c) in touched])
@@ -237,16 +245,25 @@ class Target:
         self, commit: Commit, merged: DataFrame, touched: set, parallelism: int | None, batch: tuple[str, int] | None
     ) -> None:
         """Write the next version's cells, then commit it."""
-        version = commit.version + 1
+        write = f"{commit.version + 1}-{uuid.uuid4().hex}"
         by = [commit.day, CELL] if commit.day else [CELL]
         out = rebalance(merged.select(*[f.name for f in self._struct(commit).fields]), by, parallelism)
-        out.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/data/{VERSION}={version}")
-        self._commit(self._next(commit, touched, version, self._written(commit, version), batch))
+        out.write.partitionBy(*by).parquet(f"{self.path}/data/{VERSION}={write}")
+        self._commit(self._next(commit, touched, write, self._written(commit, write), batch))
 
     def _touched(self, commit: Commit, changes: DataFrame) -> set[tuple[str | None, int]]:
         """Cells that the changes fall in: at most days times buckets entries."""
         day = F.col(commit.day) if commit.day else F.lit(None).cast("string")
-        return {(r[0], r[1]) for r in changes.select(day, CELL).distinct().collect()}
+        found = {(r[0], r[1]) for r in changes.select(day, CELL).distinct().collect()}
+        if commit.day:
+            self._check_days(d for d, _ in found)
+        return found
+
+    def _check_days(self, days: Iterable[str | None]) -> None:
+        """A day names a folder as it is: what would be written in another form could not be found again."""
+        bad = [d for d in days if not d or not PLAIN_DAY.fullmatch(d) or d == "__HIVE_DEFAULT_PARTITION__"]
+        if bad:
+            raise ValueError(f"{self.path} cannot store rows of the days {bad[:5]}; a day is plain text such as 2024-09-13")
 
     def _merge(
         self, commit: Commit, changes: DataFrame, old_cells: dict[int, list[tuple[str | None, int]]], key: list[str]
@@ -282,28 +299,30 @@ class Target:
             F.lit(DELETE).alias(KIND), *ORDER, CELL,
         )
 
-    def _written(self, commit: Commit, version: int) -> list[tuple[str | None, int]]:
+    def _written(self, commit: Commit, write: str) -> list[tuple[str | None, int]]:
         depth = "/*=*/*=*" if commit.day else "/*=*"
-        fs, path = self._fs(f"{self.path}/data/{VERSION}={version}{depth}")
+        fs, path = self._fs(f"{self.path}/data/{VERSION}={write}{depth}")
         out = []
         for status in fs.globStatus(path) or []:
             at = status.getPath()
             day = at.getParent().getName().partition("=")[2] if commit.day else None
             out.append((day, int(at.getName().partition("=")[2])))
+        if commit.day:
+            self._check_days(d for d, _ in out)
         return out
 
     @staticmethod
     def _next(
-        commit: Commit, touched: Iterable, version: int, written: list, batch: tuple[str, int] | None
+        commit: Commit, touched: Iterable, write: str | None, written: list, batch: tuple[str, int] | None
     ) -> Commit:
         gone = set(touched)
         cells = {v: left for v, live in commit.cells.items() if (left := [c for c in live if tuple(c) not in gone])}
         sizes = {v: n for v, n in commit.written.items() if v in cells}
         if written:
-            cells[version] = written
-            sizes[version] = len(written)
+            cells[write] = written
+            sizes[write] = len(written)
         batches = {**commit.batches, batch[0]: batch[1]} if batch else commit.batches
-        return replace(commit, version=version, cells=cells, written=sizes, batches=batches)
+        return replace(commit, version=commit.version + 1, cells=cells, written=sizes, batches=batches)
 
     def drop_days(self, first_kept: str) -> list[str]:
         """D-04: forget all days before the first one to keep. Metadata only."""
@@ -312,18 +331,18 @@ class Target:
             raise ValueError("the target has no day column")
         old = {tuple(c) for live in commit.cells.values() for c in live if c[0] < first_kept}
         if old:
-            self._commit(self._next(commit, old, commit.version + 1, [], None))
+            self._commit(self._next(commit, old, None, [], None))
         return sorted({d for d, _ in old})
 
     def drop_unused_files(self) -> int:
         """Delete the data folders that the current commit no longer refers to. Run when no reader is on an
-        older commit."""
+        older commit. Folders of the next version belong to a writer at work and stay."""
         commit = self.current()
         fs, path = self._fs(f"{self.path}/data/{VERSION}=*")
         dropped = 0
         for status in fs.globStatus(path) or []:
-            version = int(status.getPath().getName().partition("=")[2])
-            if version <= commit.version and version not in commit.cells:
+            write = status.getPath().getName().partition("=")[2]
+            if int(write.partition("-")[0]) <= commit.version and write not in commit.cells:
                 dropped += bool(fs.delete(status.getPath(), True))
         return dropped
 

@@ -101,7 +101,7 @@ class Pipeline:
         return self
 
 
-def _pair(body: Mapping) -> Pair:
+def _pair(body: Mapping, extended: bool) -> Pair:
     sources = body.get("dtColumns") or []
     names = body.get("targetDtColumnNames") or ["dt"]
     where = f"{body['tgtDatabase']}.{body['tgtTable']}"
@@ -110,7 +110,7 @@ def _pair(body: Mapping) -> Pair:
     return Pair(
         body["srcDatabasePattern"], body["srcTablePattern"], body["tgtDatabase"], body["tgtTable"],
         tuple(body.get("pkList") or ()),
-        DayColumn(sources[0], names[0]) if sources else None,
+        DayColumn(sources[0], names[0], extended=extended) if sources else None,
     )
 
 
@@ -122,7 +122,9 @@ def parse_spec(text: str) -> Pipeline:
     source = dict(body.get("sourceConfig") or {})
     # Fixed rule: tables that appear later are routed by pattern, never through the source's own option.
     source["scan.newly-added-table.enabled"] = "false"
-    pairs = tuple(_pair(p) for p in body.get("dataPairList") or [])
+    # With "day.extended": "true" the day rule also takes dotted fractions of a second.
+    extended = str((body.get("globalConfig") or {}).get("day.extended", "false")).lower() == "true"
+    pairs = tuple(_pair(p, extended) for p in body.get("dataPairList") or [])
     if pairs:
         source["database-name"] = pairs[0].source_database
     return Pipeline(

@@ -5,7 +5,7 @@ Batch and streaming runs share every step here.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
@@ -20,7 +20,7 @@ from tidemark.operators.schema import TableSchema, accept, build_target, changed
 from tidemark.operators.targets import Target
 from tidemark.plans.spec import Pair, Pipeline
 from tidemark.sources.changelog import decode, row_changes, schema_changes, source_filter
-from tidemark.sources.discovery import snapshot_changes
+from tidemark.sources.discovery import normalise_zones, snapshot_changes
 from tidemark.sources.offsets import Start
 
 # Up to this many source tables, a target's rows are picked by exact name; beyond it by its regexes.
@@ -31,7 +31,7 @@ NAMED_TABLES = 1000
 class BatchReport:
     """What one batch did. Sizes follow the catalog, not the rows."""
 
-    batch: int
+    batch: int | None
     written: list[str] = field(default_factory=list)
     evolved: list[str] = field(default_factory=list)
     new_tables: list[tuple[str, str]] = field(default_factory=list)
@@ -56,6 +56,7 @@ class SyncPlan:
     include: str | None = None
     exclude: str | None = None
     seen: set[tuple[str, str]] = field(default_factory=set)
+    start: Start | None = None
 
     @classmethod
     def prepare(
@@ -73,18 +74,21 @@ class SyncPlan:
         """Start-up checks (F-13, C-01, C-04, C-06, C-13..C-15): every pair needs a source, every target must
         exist and fit its merged sources, unless missing ones are to be created."""
         plan = cls(spark, pipeline, {}, **settings)
+        if plan.parallelism is None and (tasks := pipeline.sink_options.get("sink.parallelism")):
+            plan.parallelism = int(tasks)  # W-11
         routed: set[tuple[str, str]] = set()
         for pair, matched in zip(pipeline.pairs, plan.matching(sources)):
             routed |= set(matched)
             if not matched:
                 raise ValueError(f"no source table matches {pair.source}")
-            expected = plan.expected(pair, {k: sources[k] for k in matched}, table_options)
+            options = {**pipeline.sink_options, **(table_options or {})}
+            expected = plan.expected(pair, {k: sources[k] for k in matched}, options)
             target = Target(spark, f"{pipeline.warehouse}/{pair.target_database}/{pair.target_table}")
             if not target.exists():
                 if not create_missing:
                     raise FileNotFoundError(f"target {pair.target} does not exist")
                 day = pair.day.name if pair.day else None
-                given = (table_options or {}).get("bucket", buckets)
+                given = {**pipeline.sink_options, **(table_options or {})}.get("bucket", buckets)
                 key = expected.primary_key
                 if day and day not in key:
                     expected = replace(expected, primary_key=[day, *key])
@@ -121,12 +125,21 @@ class SyncPlan:
     # --- one batch ------------------------------------------------------------------------------
 
     def select(self, log: DataFrame, start: Start | None = None) -> DataFrame:
-        """Decoded entries of the source tables that the spec names, from the start position on."""
+        """Decoded entries of the source tables that the spec names, from the start position on.
+
+        Without ``start`` the spec's own start mode holds (R-07 .. R-11). Modes that depend on the log as it is at
+        the start, ``latest-offset`` and skipped events, have to be resolved first.
+        """
         tables = [p.source_table for p in self.pipeline.pairs]
         decoded = source_filter(decode(log), self.pipeline.database, tables)
         if self.include or self.exclude:
             decoded = routing.include_exclude(decoded, self.include, self.exclude)
-        return decoded if start is None else decoded.where(start.condition())
+        return decoded.where((start or self.start or self.pipeline.start).condition())
+
+    def resolve_start(self, log_at_start: DataFrame) -> Start:
+        """Freeze the spec's start mode against the log as it is now; later batches use it."""
+        self.start = self.pipeline.start.resolve(self.select(log_at_start, Start("earliest-offset")))
+        return self.start
 
     def projection(self, target: str) -> Projection:
         pair = self.pipeline.by_target()[target][0]
@@ -152,10 +165,13 @@ class SyncPlan:
         return current_state(self.rows_for(changes, target), p.schema.primary_key)
 
     def run_batch(
-        self, log: DataFrame, batch: int = 0, job: str = "batch", start: Start | None = None
+        self, log: DataFrame, batch: int | None = None, job: str = "batch", start: Start | None = None
     ) -> BatchReport:
         """W-02: schema changes first, then the rows of every target, from one decoded and cached batch.
 
+        With a ``batch`` number, one of ``job`` that a target already has is skipped there; without it the batch
+        counts whatever came before. Writers are independent: if one fails, the others finish first.
+
         Turn ``cache_batch`` off for a bulk load whose decoded form would not fit the executors' disks; each
         target then decodes the log for itself.
         """
@@ -171,12 +187,14 @@ class SyncPlan:
             def write(item: tuple[str, list[tuple[str, str]]]) -> str | None:
                 target, names = item
                 rows = self.rows_for(changes, target, names)
-                done = self.targets[target].upsert(rows, (job, batch), self.parallelism, self.locate_moves)
+                guard = None if batch is None else (job, batch)
+                done = self.targets[target].upsert(rows, guard, self.parallelism, self.locate_moves)
                 return target if done else None
 
             if self.writers > 1 and len(routed) > 1:
                 with ThreadPoolExecutor(self.writers) as pool:
-                    done = list(pool.map(write, sorted(routed.items())))
+                    running = [pool.submit(write, item) for item in sorted(routed.items())]
+                done = [r.result() for r in running]
             else:
                 done = [write(item) for item in sorted(routed.items())]
             report.written = [t for t in done if t]
@@ -184,12 +202,16 @@ class SyncPlan:
             decoded.unpersist()
         return report
 
-    def load_snapshot(self, table: DataFrame, db: str, tbl: str, job: str = "snapshot") -> list[str]:
+    def load_snapshot(
+        self, table: DataFrame, db: str, tbl: str, job: str = "snapshot", zoned: Sequence[str] | None = None
+    ) -> list[str]:
         """R-07: the snapshot half of start mode ``initial``. The log is synced after it, from its start on.
 
-        Each target takes a table's snapshot once. Wall-clock columns that are instants should be read in the
-        server's zone first (R-16).
+        Each target takes a table's snapshot once. With a ``server-time-zone`` in the spec, wall-clock columns of the
+        snapshot are read as instants in that zone (R-16).
         """
+        if zone := self.pipeline.source_options.get("server-time-zone"):
+            table = normalise_zones(table, zone, zoned)
         rows = snapshot_changes(table, db, tbl)
         hits = zip(self.pipeline.pairs, self.matching([(db, tbl)]))
         done = []
@@ -199,16 +221,6 @@ class SyncPlan:
                 done.append(target)
         return done
 
-    def run_target(self, log: DataFrame, target: str, batch: int, start: Start | None = None) -> bool:
-        """W-03: one batch of one target, with the schema changes that reach it."""
-        decoded = self.select(log, start).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._evolve(decoded, only=target)
-            rows = self.rows_for(row_changes(decoded), target)
-            return self.targets[target].upsert(rows, (target, batch), self.parallelism, self.locate_moves)
-        finally:
-            decoded.unpersist()
-
     def _names(self, changes: DataFrame, report: BatchReport) -> dict[str, list[tuple[str, str]]]:
         """Distinct source tables of the batch and their targets, so regexes run once per table (F-06, F-10)."""
         names = changes.select("db", "tbl").distinct()
@@ -227,7 +239,7 @@ class SyncPlan:
                     routed.setdefault(t, []).append((db, tbl))
         return routed
 
-    def _evolve(self, decoded: DataFrame, only: str | None = None) -> list[str]:
+    def _evolve(self, decoded: DataFrame) -> list[str]:
         """C-08: apply the batch's schema changes to every target of the changed table.
 
         Collected as distinct column definitions: schema changes are rare and bounded by the catalog.
@@ -246,7 +258,7 @@ class SyncPlan:
                 by_target.setdefault(t, []).append(r)
         evolved = []
         for target, rows in by_target.items():
-            if target in self.targets and only in (None, target):
+            if target in self.targets:
                 fields = changed_fields(rows, self.case_sensitive, self.tinyint1_not_bool)
                 if self.targets[target].evolve(fields):
                     evolved.append(target)

@@ -26,12 +26,12 @@ PT_ALL = f"""WITH {LOG}, {LIVE} SELECT k, v1, val FROM live WHERE tbl LIKE 'test
 PT_ALL_DT = f"""WITH {LOG}, {LIVE} SELECT k, v1, val, dt FROM live WHERE tbl LIKE 'test_d_%'"""
 
 
-def spec(warehouse: str) -> str:
+def spec(warehouse: str, start: dict[str, str] | None = None) -> str:
     """A pipeline spec: one table to its own target, all of them to one, and to one by day."""
     pair = {"srcDatabasePattern": "ods_test", "tgtDatabase": "lake", "pkList": ["k"]}
     every = r"test_d_(\d+)$"
     return json.dumps({
-        "sourceConfig": {"scan.startup.mode": "earliest-offset"},
+        "sourceConfig": start or {"scan.startup.mode": "earliest-offset"},
         "catalogConfig": {"warehouse": warehouse},
         "metaColumnTypeToTargetColName": {"FULL_TABLE_NAME": "src_tbl"},
         "dataPairList": [
@@ -42,8 +42,8 @@ def spec(warehouse: str) -> str:
     })
 
 
-def plan(spark: SparkSession, folder: str, **settings) -> SyncPlan:
-    pipeline = parse_spec(spec(f"{folder}/lake"))
+def plan(spark: SparkSession, folder: str, start: dict[str, str] | None = None, **settings) -> SyncPlan:
+    pipeline = parse_spec(spec(f"{folder}/lake", start))
     sources = {("ods_test", t): schema() for t in TABLES}
     return SyncPlan.prepare(spark, pipeline, sources, create_missing=True, buckets=2, **settings)
 
@@ -107,6 +107,26 @@ def w02_fanout_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_target(sync)
 
 
+@query("w01_two_runs", PER_TARGET)
+def w01_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batch runs without numbers: both count."""
+    sync = plan(spark, work_dir(spark, "w01-runs"))
+    for part in slices(event_log(spark, sf_dir, "full"), 2):
+        sync.run_batch(part)
+    return _per_target(sync)
+
+
+@query("r11_spec_timestamp", f"""WITH {LOG}, live AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY event_id DESC) AS rn FROM log WHERE ts_ms >= 1705708800000)
+      WHERE rn = 1 AND NOT gone)
+    SELECT k, v1, val FROM live WHERE tbl LIKE 'test_d_%'""")
+def r11_spec_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The start mode that stands in the spec, without any given to the run."""
+    mode = {"scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": "1705708800000"}
+    sync = plan(spark, work_dir(spark, "r11"), start=mode)
+    return sync.state(event_log(spark, sf_dir, "full"), "lake.pt_all").select("k", "v1", "val")
+
+
 @query("w04_bucket_layout", f"""WITH {LOG}, {LIVE} SELECT 'lake.pt_all_dt' AS target, count(*) AS rows,
       CAST(0 AS BIGINT) AS misplaced FROM live WHERE tbl LIKE 'test_d_%'""")
 def w04_bucket_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,8 +229,7 @@ def w03_one_query_per_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     _write_log([event_log(spark, sf_dir, "full")], f"{folder}/log")
     sync = plan(spark, folder)
     log = read_log_stream(spark, f"{folder}/log")
-    for q in start_divided(sync, log, f"{folder}/checkpoint", interval=None):
-        q.awaitTermination()
+    start_divided(sync, log, f"{folder}/checkpoint", interval=None).awaitTermination()
     return _per_target(sync)
 
 

@@ -10,7 +10,7 @@ from tidemark.functions import dates
 from tidemark.functions.metadata import metadata_columns
 from tidemark.functions.names import fold_columns, spellings
 from tidemark.functions.types import spark_type, typed_value
-from tidemark.operators.row_kinds import Projection, project_image, to_row_kinds
+from tidemark.operators.row_kinds import DayColumn, Projection, project_image, to_row_kinds
 from tidemark.operators.schema import Field, TableSchema
 from tidemark.queries.eventlog import LOG, loose_events, projection
 from tidemark.queries.log import changes
@@ -41,6 +41,36 @@ def s02_lenient_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("s01_typed_days", """SELECT o_orderkey, kind, strftime(o_orderdate, '%Y-%m-%d') AS dt
+    FROM orders, (VALUES ('date'), ('datetime'), ('datetime(6)'), ('timestamp')) t(kind)""")
+def s01_typed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day of a typed source column, late in the evening: its own day, whatever form the log gives it."""
+    o = table(spark, sf_dir, "orders")
+    evening = F.col("o_orderdate").cast("date").cast("timestamp") + F.expr("interval 23 hours 30 minutes")
+    image = F.struct(
+        F.unix_date(F.col("o_orderdate").cast("date")).alias("c0"), F.unix_millis(evening).alias("c1"),
+        F.unix_micros(evening).alias("c2"), F.date_format(evening, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("c3"))
+    c = o.select("o_orderkey", F.inline(F.array(F.struct(F.parse_json(F.to_json(image)).alias("after")))))
+    out = None
+    for i, kind in enumerate(("date", "datetime", "datetime(6)", "timestamp")):
+        fields = [Field(f"c{i}", spark_type(kind), True, kind), Field("dt", T.StringType())]
+        rows = project_image(c, Projection(TableSchema(fields), DayColumn(f"c{i}")), "after", ["o_orderkey"])
+        rows = rows.select("o_orderkey", F.lit(kind).alias("kind"), "dt")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("s16_fractional_clock", """SELECT l_orderkey, l_linenumber,
+      printf('%02d:00:00.%06d', CAST(l_linenumber AS INTEGER), CAST(l_orderkey % 1000000 AS INTEGER)) AS clock FROM lineitem""")
+def s16_fractional_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TIME(6) with its microseconds."""
+    micros = F.col("l_linenumber").cast("bigint") * 3_600_000_000 + F.col("l_orderkey") % 1_000_000
+    li = table(spark, sf_dir, "lineitem")
+    c = li.select("l_orderkey", "l_linenumber", F.parse_json(F.to_json(F.struct(micros.alias("t")))).alias("after"))
+    value = typed_value("after", "t", spark_type("time(6)"), "time(6)")
+    return c.select("l_orderkey", "l_linenumber", value.alias("clock"))
+
+
 @query("s02_loose_timestamp", """SELECT event_id, CASE
       WHEN event_id % 101 = 0 OR event_id % 103 = 0 THEN NULL
       WHEN event_id % 9 IN (0, 2) THEN epoch_us(date_trunc('second', ts))

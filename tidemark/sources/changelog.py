@@ -127,8 +127,7 @@ def source_filter(changes: DataFrame, database: str, tables: Sequence[str] | Non
     database carry no table name and stay."""
     keep = whole_match("db", database)
     if tables:
-        named = F.lit(False)
-        for pattern in tables:
-            named = named | whole_match("tbl", pattern)
-        keep = keep & (F.col("tbl").isNull() | named)
+        # One alternation of the distinct patterns: one match per row, however many pairs there are.
+        named = "|".join(f"(?:{p})" for p in dict.fromkeys(tables))
+        keep = keep & (F.col("tbl").isNull() | whole_match("tbl", named))
     return changes.where(keep)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.sync import BatchReport, SyncPlan
@@ -24,11 +25,15 @@ def start_sync(
 
     ``interval=None`` drains what is there and stops. Micro-batches run one after the other and order rows
     by log position inside, so the last change of a key wins. A batch that is replayed after a failure is
-    skipped by the targets that already have it, so each change counts once.
+    skipped by the targets that already have it, so each change counts once. Batches are told apart by the
+    stream's own id, which its checkpoint keeps: a stream with a new checkpoint never meets old numbers.
     """
+    ids: list[str] = []
 
     def apply(batch: DataFrame, number: int) -> None:
-        report = plan.run_batch(batch, number, job, start)
+        if not ids:
+            ids.append(stream_id(batch.sparkSession, checkpoint))
+        report = plan.run_batch(batch, number, f"{job}:{ids[0]}", start)
         if on_batch:
             on_batch(report)
 
@@ -37,17 +42,14 @@ def start_sync(
     return writer.trigger(**trigger).start()
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint folder when it first started."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def start_divided(
     plan: SyncPlan, log: DataFrame, checkpoint: str, interval: str | None = "10 seconds", start: Start | None = None
-) -> list[StreamingQuery]:
-    """W-03: one query per target, each reading the log for itself."""
-    queries = []
-    for target in plan.targets:
-
-        def apply(batch: DataFrame, number: int, name: str = target) -> None:
-            plan.run_target(batch, name, number, start)
-
-        writer = log.writeStream.foreachBatch(apply).option("checkpointLocation", f"{checkpoint}/{target}")
-        trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-        queries.append(writer.queryName(target).trigger(**trigger).start())
-    return queries
+) -> StreamingQuery:
+    """W-03: a writer for every target, all fed from one read of the log."""
+    plan.writers = max(len(plan.targets), 1)
+    return start_sync(plan, log, checkpoint, "divided", interval, start)
