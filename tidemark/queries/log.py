@@ -56,15 +56,17 @@ def r04_decode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("r04_before_images", f"""WITH {LOG},
     p AS (SELECT *, lag(event_id) OVER w AS pe, lag(gone) OVER w AS pg, lag(v1) OVER w AS pv1, lag(val) OVER w AS pval
           FROM log WINDOW w AS (PARTITION BY k ORDER BY event_id))
-    SELECT k, file_no, pos, row,
+    SELECT CASE WHEN gone AND (pe IS NULL OR pg) THEN NULL ELSE k END AS k, file_no, pos, row,
       CASE WHEN gone THEN 'd' WHEN pe IS NULL OR pg THEN 'c' ELSE 'u' END AS op,
       CASE WHEN pe IS NULL OR pg THEN NULL ELSE pv1 END AS old_v1,
       CASE WHEN pe IS NULL OR pg THEN NULL ELSE pval END AS old_val
-    FROM p WHERE NOT gone""")
+    FROM p""")
 def r04_before_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = changes(spark, sf_dir, "full").where("op <> 'd'")
+    """Before images of updates and deletes. A delete of a row that is not there has no image at all."""
+    c = changes(spark, sf_dir, "full")
+    key = F.coalesce(*[typed_value(image, "k", T.LongType()) for image in ("after", "before")])
     return c.select(
-        typed_value("after", "k", T.LongType()).alias("k"), "file_no", "pos", F.col("row").cast("bigint").alias("row"),
+        key.alias("k"), "file_no", "pos", F.col("row").cast("bigint").alias("row"),
         "op", raw_value("before", "v1").alias("old_v1"),
         typed_value("before", "val", T.DoubleType()).alias("old_val"),
     )

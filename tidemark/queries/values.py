@@ -149,15 +149,14 @@ def s08_fold_image_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("s09_metadata_columns", f"""WITH {LOG} SELECT k, 'ods_test' AS src_db, tbl AS src_tbl, 'ods_test.' || tbl AS src_full,
-      NULL::VARCHAR AS src_schema, strftime(ts, '%Y-%m-%d %H:%M:%S') AS changed_at FROM log WHERE NOT gone""")
+      NULL::VARCHAR AS src_schema, strftime(ts, '%Y-%m-%d %H:%M:%S') AS changed_at FROM log""")
 def s09_metadata_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {
         "DATABASE": "src_db", "TABLE": "src_tbl", "FULL_TABLE_NAME": "src_full", "SCHEMA": "src_schema",
         "BINLOG_TIME": "changed_at",
     }
-    return changes(spark, sf_dir).where("op <> 'd'").select(
-        typed_value("after", "k", T.LongType()).alias("k"), *metadata_columns(kinds)
-    )
+    key = F.coalesce(*[typed_value(image, "k", T.LongType()) for image in ("after", "before")])
+    return changes(spark, sf_dir).select(key.alias("k"), *metadata_columns(kinds))
 
 
 @query("s15_target_rows", f"""WITH {LOG} SELECT k, v1, val, dt FROM log WHERE NOT gone""")
