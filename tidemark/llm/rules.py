@@ -112,9 +112,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
     """Learn from ``labels`` (id and 0 or 1); the caller leaves out what is to be held out."""
     known = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("double").alias("_label"))
     known = known.where("_id is not null and _label in (0, 1)").orderBy(F.xxhash64("_id"), "_id", "_label").limit(SAMPLE)
-    stats = statistics(F.coalesce(docs[text_col], F.lit("")))
+    stats = statistics(F.col("_text"))
     names = list(stats)
-    given = docs.join(F.broadcast(known), docs[id_col] == known["_id"])  # at most SAMPLE rows
+    texts = docs.select(docs[id_col].alias("_doc"), F.coalesce(docs[text_col], F.lit("")).alias("_text"))
+    given = texts.join(F.broadcast(known), F.col("_doc") == F.col("_id"))  # at most SAMPLE rows
     rows = stored(given.select("_label", *[stats[n].cast("double").alias(n) for n in names]), "rules-sample")
     counts = {r["_label"]: r["count"] for r in rows.groupBy("_label").count().collect()}  # two rows
     zero, one = counts.get(0.0, 0), counts.get(1.0, 0)
