@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, small, stored
@@ -17,10 +17,13 @@ class Linking:
 
     ``levels`` lists, per level, the branches, each a tuple of positions in ``sig``. Classes that agree on a branch are in
     one node. Small nodes are compared exhaustively, large ones with their hub. Members of large nodes that are not all
-    connected by then go on to the next level; what the last level leaves is compared exhaustively across components.
+    connected by then go on to the next level. What the last level leaves goes through an exact prefix-filter join on full
+    sets: of two sets that link, each has one of the other's among its rarest items, so nodes of rare items lose no pair.
+    Nodes of this kind that stay large and torn are compared exhaustively across components.
     """
 
     name: str
+    percent: int
     levels: list[list[tuple[int, ...]]]
     classes: DataFrame
     shrink: float | None = None  # sizes ``n`` in a smaller proportion than this never link
@@ -29,8 +32,27 @@ class Linking:
         """The pairs ``a``, ``b`` that link, stored."""
         raise NotImplementedError
 
+    def sets(self, wanted: DataFrame, name: str) -> DataFrame:
+        """The full sets, ``key`` and ``items``, of the classes with the distinct ``key`` of ``wanted``."""
+        raise NotImplementedError
+
+    def prefixes(self, classes: DataFrame) -> DataFrame:
+        """Nodes of the exact join: the items in as many of a set's rarest as no set that links can do without."""
+        sets = stored(self.sets(classes.select("key"), "rest"), f"{self.name}-rest-sets")
+        each = sets.select("key", F.size("items").alias("size"), F.explode("items").alias("path"))
+        counts = stored(each.groupBy("path").agg(F.count("*").alias("often")).where("often > 1"), f"{self.name}-rest-counts")
+        own = Window.partitionBy("key")
+        # Items of one set only come first in the order, but make no node.
+        met = each.join(small(counts), "path").select("key", "size", "path", F.count("*").over(own).alias("met"), F.row_number().over(own.orderBy("often", "path")).alias("at"))
+        walked = met.where(F.expr(f"size - met + at <= size * {100 - self.percent} div 100 + 1")).select("key", "path", "size")
+        walked = walked.join(small(classes.select("key", "component")), "key")
+        nodes = walked.groupBy("path").agg(F.count("*").alias("members"), F.min("key").alias("hub")).where("members > 1")
+        return stored(walked.join(nodes, "path"), f"{self.name}-nodes-rest")
+
     def nodes(self, level: int, classes: DataFrame) -> DataFrame:
         """Members of the nodes of a level that have two classes or more, with the node's number of members and hub."""
+        if level == len(self.levels):
+            return self.prefixes(classes)
         paths = [F.xxhash64(F.lit(b), *[F.col("sig")[k] for k in at]) for b, at in enumerate(self.levels[level])]
         keep = ["key", *[c for c in ("component",) if c in classes.columns]]
         if level and self.shrink:  # sets that can link are in one step of sizes or in neighbouring ones
@@ -47,12 +69,15 @@ class Linking:
 
         They come dealt by the member, ``a``; hubs are in ``b``."""
         known = "component" in nodes.columns
-        keep = ["path", "key", *(["component"] if known else [])]
+        sized = "size" in nodes.columns
+        keep = ["path", "key", *(["component"] if known else []), *(["size"] if sized else [])]
         few = nodes if last else nodes.where(F.col("members") <= SMALL)
         a, b = (few.select(*[F.col(c).alias(f"{c}_{x}") for c in keep]) for x in "ab")
         on = (F.col("path_a") == F.col("path_b")) & (F.col("key_a") > F.col("key_b"))
         if known:
             on &= F.col("component_a") != F.col("component_b")
+        if sized:
+            on &= F.expr(f"100 * least(size_a, size_b) >= {self.percent} * greatest(size_a, size_b)")
         found = a.join(b, on).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
         if not last:
             spokes = nodes.where((F.col("members") > SMALL) & (F.col("key") != F.col("hub")))
@@ -62,12 +87,12 @@ class Linking:
     def run(self) -> DataFrame:
         """``node`` and ``component`` of every class that links with another class, but the smallest of each component."""
         classes, links, known, nodes = self.classes, None, None, None
-        for level in range(len(self.levels)):
+        for level in range(len(self.levels) + 1):
             nodes = self.nodes(level, classes)
             new = self.confirm(self.pairs(nodes, False), str(level))
             links = new if links is None else links.unionByName(new)
             known = components(links, f"{self.name}-components-{level}")
-            large = nodes.where(F.col("members") > SMALL).select("path", "key")
+            large = nodes.where(F.col("members") > SMALL).select(*[c for c in ("path", "key", "size") if c in nodes.columns])
             if large.isEmpty():
                 return known
             large = self.with_component(large, known)
@@ -75,9 +100,11 @@ class Linking:
             torn = stored(torn.select("path"), f"{self.name}-torn-{level}")
             if torn.isEmpty():
                 return known
+            if level == len(self.levels):
+                break
             going = stored(large.join(small(torn), "path", "left_semi").select("key").distinct(), f"{self.name}-going-{level}")
             classes = stored(self.with_component(self.classes.join(small(going), "key", "left_semi"), known), f"{self.name}-open-{level}")
-        rest = self.with_component(nodes.join(small(torn), "path", "left_semi"), known)
+        rest = large.join(small(torn), "path", "left_semi")
         return components(links.unionByName(self.confirm(self.pairs(rest, True), "rest")), f"{self.name}-components-rest")
 
     @staticmethod

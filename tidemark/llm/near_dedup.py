@@ -144,15 +144,21 @@ class Join(Linking):
             F.first("sig").alias("sig"), F.first("brief").alias("brief"))
         self.classes = stored(grouped, "near-classes")
 
+    def sets(self, wanted: DataFrame, name: str) -> DataFrame:
+        return self._sets_of(self.classes.join(small(wanted), "key", "left_semi").select("tid"), name)
+
+    def _sets_of(self, tids: DataFrame, name: str) -> DataFrame:
+        tids = stored(tids.distinct(), f"near-wanted-{name}")
+        data = self.texts.join(small(tids), "tid", "left_semi").select("data")
+        return data.mapInArrow(_sets, "key binary, items array<bigint>").dropDuplicates(["key"])
+
     def confirm(self, pairs: DataFrame, name: str) -> DataFrame:
         """Links among the pairs, on full sets."""
         a, b = (self.classes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "tid", "brief")]) for x in "ab")
         fit = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
         both = pairs.join(a, F.col("a") == F.col("key_a")).join(b, (F.col("b") == F.col("key_b")) & fit)
         likely = stored(both.where(agreement("brief_a", "brief_b") >= AGREE).select("a", "b", "tid_a", "tid_b"), f"near-likely-{name}")
-        tids = stored(likely.select(F.explode(F.array("tid_a", "tid_b")).alias("tid")).distinct(), f"near-wanted-{name}")
-        data = self.texts.join(small(tids), "tid", "left_semi").select("data")
-        sets = data.mapInArrow(_sets, "key binary, items array<bigint>").dropDuplicates(["key"])
+        sets = self._sets_of(likely.select(F.explode(F.array("tid_a", "tid_b")).alias("tid")), name)
         a, b = (sets.select(F.col("key").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab")
         both = likely.select("a", "b").join(a, "a").join(b, "b")
         met = both.select("a", "b", F.size(F.array_intersect("items_a", "items_b")).alias("met"), (F.size("items_a") + F.size("items_b")).alias("sum"))
