@@ -85,3 +85,28 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b c d e f", "x", 1)], DOC)
     assert d.find(none, bench).collect() == [] == d.find(some, bench.limit(0)).collect()
     assert d.clean(some, bench).collect() == []
+
+
+def test_documents_shorter_than_the_item(spark, words):
+    from collections import Counter
+
+    rng = random.Random(9)
+    items = [(k, " ".join(rng.choice(words) for _ in range(rng.choice([8, 20, 59])))) for k in range(30)]
+    docs = []
+    for k, text in items:
+        w = text.split()
+        docs += [(10 * k + cut, " ".join(w[:-cut] if k % 2 else w[cut:])) for cut in (1, 2, 4, 6) if len(w) - cut >= d.WORDS]
+
+    def runs(text):
+        w = d.words(text)
+        return Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+
+    want = {}
+    for i, t in docs:
+        for k, item in items:
+            short = len(d.words(t)) < len(d.words(item))
+            if (s := round(d.similarity(runs(t), runs(item)) if short else brute(t, item), 9)) >= 0.8:
+                want[i, k] = s
+    frame = spark.createDataFrame([(*r, "x", 1) for r in docs], DOC)
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in d.find(frame, spark.createDataFrame([(*r, 1) for r in items], ITEM)).collect()}
+    assert got == want and len(want) > 40

@@ -6,6 +6,8 @@ are cut into eight blocks: two that differ in at most 18 bits differ in at most
 index of the block values of all items, each with every change of up to two bits, finds all items within that radius.
 Candidates are confirmed by the exact weighted Jaccard similarity of their shingles, 0.8 or more.
 
+A document with fewer words than an item is one window as a whole; it may hold the better part of the item.
+
 Ahead of the fingerprints stands a bound that loses nothing: a window at 0.8 shares eight ninths of its shingles with
 the item, so windows in which fewer of the shingles are any item's need no fingerprint.
 
@@ -120,7 +122,17 @@ class Index:
         self.prints = {size: np.array(p, np.uint64) for size, p in prints.items()}
         self.blocks = {size: self._blocks(p) for size, p in self.prints.items()}
         self.need = {size: ceil(2 * least / (1 + least) * (size - WORDS + 1) - 1e-9) for size in prints}
-        self.fewest = min(self.need.values(), default=0)
+        self.widest = max(prints, default=0) - WORDS + 1
+        self.least_shared = min(self.need.values(), default=0)
+
+    def shared(self, size: int, runs: int) -> int:
+        """How many of its runs a window must share with an item of a size: as wide as the item, or all of a shorter text."""
+        width = size - WORDS + 1
+        return self.need[size] if runs >= width else ceil(self.least * (runs + width) / (1 + self.least) - 1e-9)
+
+    def fewest(self, runs: int) -> int:
+        """The least that any item asks of a text of so many runs."""
+        return min(self.shared(size, runs) for size in self.need)
 
     @staticmethod
     def _blocks(prints: np.ndarray) -> np.ndarray:
@@ -150,17 +162,24 @@ class Index:
         known = np.fromiter(map(self.vocabulary.get, found, repeat(0)), np.uint64, len(found))
         inside = np.concatenate([[0], np.cumsum(known > 0)])
         whole = inside[WORDS:] - inside[:-WORDS] == WORDS  # runs of words that items have: few of them are an item's run
-        if whole.sum() < self.fewest or _among(_numbered(known)[whole], self.numbered).sum() < self.fewest:
+        fewest = self.least_shared if len(whole) >= self.widest else self.fewest(len(whole))
+        if whole.sum() < fewest or _among(_numbered(known)[whole], self.numbered).sum() < fewest:
             return out
         hashes = shingles(found)
         hit = _among(hashes, self.runs)
         hits = np.concatenate([[0], np.cumsum(hit)])
         best: dict[object, tuple[float, int]] = {}
-        starts = {}
+        starts, short = {}, []
         for size, need in self.need.items():
             width = size - WORDS + 1
             if width <= len(hashes):
                 starts[size] = np.flatnonzero(hits[width:] - hits[:-width] >= need)
+            elif hits[-1] >= self.shared(size, len(hashes)):
+                short.append(size)
+        if short:
+            own = fingerprints(signs(hashes).sum(0, keepdims=True))
+            for size in short:
+                self._verify(size, hashes, np.zeros(1, np.int64), own, best)
         widest, lo = max(starts, default=0), min((int(s[0]) for s in starts.values() if len(s)), default=None)
         while lo is not None:
             hi = lo + STRETCH
