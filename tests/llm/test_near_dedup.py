@@ -92,3 +92,11 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
     whole = near_dedup.word_hashes(data)
     monkeypatch.setattr(near_dedup, "SEGMENT", 10)
     assert np.array_equal(whole, near_dedup.word_hashes(data)) and len(whole) == 1500
+
+
+def test_no_level_loses_more_than_a_thousandth_at_the_threshold():
+    rng = np.random.default_rng(1)
+    for percent in (80, 85):
+        same = rng.random((100_000, near_dedup.VALUES)) < percent / 100
+        for level in near_dedup.levels(percent):
+            assert (~np.any([same[:, list(at)].all(1) for at in level], axis=0)).mean() < 0.001

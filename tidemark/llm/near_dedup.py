@@ -7,10 +7,10 @@ with its hub and then branches on further tokens. A large node whose classes are
 comparing, so a group of thousands of near copies costs one comparison a member and not one a pair. Every link is
 confirmed on full sets, after bounds on sizes and on the agreement of 96 minwise values have cut what cannot link.
 
-Recall: a pair at the threshold shares a node of the first level in all but 0.15^16 of cases; a pair that only meets in
-large nodes meets again in all but 0.0005 of cases at each further level, where nodes are also split by size into
-overlapping steps. What is still large after the last level is compared exhaustively across components, so nothing is
-capped.
+Recall: a pair at the threshold shares a node of the first level in all but 0.15^16 of cases (at 0.85); a pair that only
+meets in large nodes meets again in all but 0.0005 of cases at the second level, where nodes are also split by size into
+overlapping steps. What is still large after it goes through an exact join on the rarest shingles, which loses no pair;
+what stays large there is compared exhaustively across components, so nothing is capped.
 
 A NULL text counts as empty; without words a document has an empty set and links with nothing. Repeated rows, also with
 one id for different texts, are told apart by their sets. A NULL id is never the smallest of a component with another
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from math import floor, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,7 @@ from tidemark.llm.linking import Linking, agreement
 WORDS = 5
 VALUES = 96
 _rng = np.random.default_rng(85)
-#: The minwise values on each branch of each level: 16 branches of one, 16 of six, 48 of twelve.
-LEVELS = [[tuple(range(b * d, b * d + d)) for b in range(n)] for n, d in ((16, 1), (16, 6))]
-LEVELS.append([tuple(_rng.permutation(VALUES)[:12].tolist()) for _ in range(48)])
-#: Of 96 minwise values, a pair at 0.85 agrees in 81.6 on average; fewer than 64 are five standard deviations below.
-AGREE = 64
+LOSS = 0.001  # of the pairs at the threshold, on one level at most
 SEGMENT = 4 << 20
 
 _MUL = _rng.integers(0, 1 << 32, VALUES, np.uint32) | np.uint32(1)
@@ -48,6 +45,22 @@ _ROLL = _rng.integers(0, 1 << 63, WORDS, np.uint64) | np.uint64(1)
 _BLANK = re.compile(rb"[ \t-\r]")
 
 
+def levels(percent: int) -> list[list[tuple[int, ...]]]:
+    """The minwise values on each branch of each level: 16 branches of one, then disjoint ones as long as LOSS allows.
+
+    At 85 percent these are 16 of six (0.0005 lost), at 80 percent 19 of five (0.0005)."""
+    like = percent / 100
+    fits = [d for d in range(1, VALUES) if (1 - like**d) ** (VALUES // d) <= LOSS]
+    deep = max(fits, default=1)
+    return [[tuple(range(b * d, b * d + d)) for b in range(n)] for n, d in ((16, 1), (VALUES // deep, deep))]
+
+
+def agree(percent: int) -> int:
+    """In how many minwise values a pair must agree: five standard deviations below the mean at the threshold."""
+    like = percent / 100
+    return max(0, floor(VALUES * like - 5 * sqrt(VALUES * like * (1 - like))))
+
+
 def word_hashes(data: bytes) -> np.ndarray:
     """A hash of each word, with A-Z lower-cased; words end at ASCII white space. Long texts are cut between words."""
     found, at = [], 0
@@ -129,10 +142,10 @@ def _lists(keys: list[bytes], items: list[np.ndarray]) -> pa.RecordBatch:
 class Join(Linking):
     """One run of the join over a table."""
 
-    name, levels = "near", LEVELS
+    name = "near"
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, percent: int):
-        self.percent, self.shrink = percent, percent / 100
+        self.percent, self.shrink, self.levels = percent, percent / 100, levels(percent)
         text = F.coalesce(docs[text_col], F.lit(""))
         self.texts = docs.select(F.xxhash64(text).alias("tid"), text.cast("binary").alias("data"))
         kind = docs.schema[id_col].dataType.simpleString()
@@ -157,7 +170,7 @@ class Join(Linking):
         a, b = (self.classes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "tid", "brief")]) for x in "ab")
         fit = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
         both = pairs.join(a, F.col("a") == F.col("key_a")).join(b, (F.col("b") == F.col("key_b")) & fit)
-        likely = stored(both.where(agreement("brief_a", "brief_b") >= AGREE).select("a", "b", "tid_a", "tid_b"), f"near-likely-{name}")
+        likely = stored(both.where(agreement("brief_a", "brief_b") >= agree(self.percent)).select("a", "b", "tid_a", "tid_b"), f"near-likely-{name}")
         sets = self._sets_of(likely.select(F.explode(F.array("tid_a", "tid_b")).alias("tid")), name)
         a, b = (sets.select(F.col("key").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab")
         both = likely.select("a", "b").join(a, "a").join(b, "b")
