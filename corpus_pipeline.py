@@ -25,8 +25,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates."""
-    return near_dedup.dedup(docs)
+    """Keep one document of each group of near duplicates, of 0.8 or more."""
+    return near_dedup.dedup(docs, percent=80)
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,3 +29,12 @@ def test_every_stage_takes_effect(spark, words, tmp_path):
     kept = {i for i, _, _, k in near(left) if k}
     want = {i: len(library().encode_ordinary(t)) for i, t in left if i in kept and all(similarity(t, x) < 0.8 for _, x in items)}
     assert got == want and not any(340 <= i < 345 for i in got)
+
+
+def test_near_copies_count_from_four_fifths(spark, words):
+    rng = random.Random(4)
+    base = [rng.choice(words) for _ in range(104)]  # 100 shingles
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:-18]])), (3, " ".join(base[:-26]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(r.doc_id for r in corpus_pipeline.unlike(spark, docs, "").collect()) == [1]
+    assert sorted(r.doc_id for r in corpus_pipeline.unlike(spark, docs.where("doc_id <> 2"), "").collect()) == [1, 3]
