@@ -1,9 +1,10 @@
-"""MinHash near-dedup by chosen-path set similarity join.
+"""MinHash near-dedup by banding with escalation.
 
 A document's set is its distinct five-word shingles, or its whole word sequence if it has fewer words. Documents of one
-set form a class, and only classes are joined. In each of many independent trees a class walks down a path of minwise
-tokens: classes with the same path are in one node. Small nodes are compared exhaustively; a large node is compared
-with its hub and then branches on further tokens. A large node whose classes are all connected by then needs no more
+set form a class, and only classes are joined. Classes that agree on the minwise values of a band are in one node of it.
+The bands of a level do not extend those of the level before, as the paths of a recursive chosen-path join would.
+Small nodes are compared exhaustively; a large node is compared
+with its hub, and its classes then go on to longer bands. A large node whose classes are all connected by then needs no more
 comparing, so a group of thousands of near copies costs one comparison a member and not one a pair. Every link is
 confirmed on full sets, after bounds on sizes and on the agreement of 96 minwise values have cut what cannot link.
 
