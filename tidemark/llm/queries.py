@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, line_dedup, near_dedup, rules, sharding, site_style, toxicity, urls
+from tidemark.llm import bpe, decontaminate, exact_dedup, line_dedup, near_dedup, rules, sharding, site_style, spelling, toxicity, urls
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), RANKS)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.judge(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_exact_dedup": op2_exact_dedup,
@@ -67,10 +71,12 @@ QUERIES: dict[str, Query] = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_boosted_toxicity": op9_boosted_toxicity,
     "op10_byte_level_bpe": op10_byte_level_bpe,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_reputation": urls.ORACLE,
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op6_minhash_near_dedup": near_dedup.ORACLE,
+    "op13_spelling_variants": spelling.ORACLE,
 }
