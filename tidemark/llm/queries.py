@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, line_dedup, near_dedup, rules, sharding, site_style, spelling, toxicity, urls
+from tidemark.llm import bpe, decontaminate, exact_dedup, line_dedup, near_dedup, packing, prefix_trie, rules, sharding, site_style, spelling, toxicity, urls
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,14 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), RANKS)
 
 
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.judge(read(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.judge(read(spark, sf_dir, "conversations"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.judge(read(spark, sf_dir, "documents"))
 
@@ -71,6 +80,8 @@ QUERIES: dict[str, Query] = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_boosted_toxicity": op9_boosted_toxicity,
     "op10_byte_level_bpe": op10_byte_level_bpe,
+    "op11_vector_packing": op11_vector_packing,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -78,5 +89,6 @@ ORACLES: dict[str, str] = {
     "op1_url_reputation": urls.ORACLE,
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op6_minhash_near_dedup": near_dedup.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
     "op13_spelling_variants": spelling.ORACLE,
 }
