@@ -22,6 +22,7 @@ from tidemark.plans.spec import Pair, Pipeline
 from tidemark.sources.changelog import decode, row_changes, schema_changes, source_filter
 from tidemark.sources.discovery import normalise_zones, snapshot_changes
 from tidemark.sources.offsets import Start
+from tidemark.sources.seek import LogIndex
 
 # Up to this many source tables, a target's rows are picked by exact name; beyond it by its regexes.
 NAMED_TABLES = 1000
@@ -141,6 +142,11 @@ class SyncPlan:
         self.start = self.pipeline.start.resolve(self.select(log_at_start, Start("earliest-offset")))
         return self.start
 
+    def read_from(self, index: LogIndex) -> DataFrame:
+        """The log from the plan's start on, out of the files that can hold it; the start is resolved by the index."""
+        self.start = index.resolve(self.start or self.pipeline.start, lambda log: self.select(log, Start("earliest-offset")))
+        return index.log(self.start)
+
     def projection(self, target: str) -> Projection:
         pair = self.pipeline.by_target()[target][0]
         schema = self.targets[target].current().schema

@@ -96,7 +96,12 @@ def previous_image(images: DataFrame, slice_size: int = SLICE) -> DataFrame:
     return within.unionByName(across).withColumn("before", F.col("_prev.image")).drop("_prev", "_slice", "_last")
 
 
-def event_log(spark: SparkSession, sf_dir: str, before: str = "key", value: str = "value") -> DataFrame:
+def shard(user: Column, shards: int) -> Column:
+    """The database of a user's rows: one, or several that hold tables of the same names."""
+    return F.lit("ods_test") if shards == 1 else F.concat(F.lit("ods_"), (F.floor(user / 5) % shards).cast("string"))
+
+
+def event_log(spark: SparkSession, sf_dir: str, before: str = "key", value: str = "value", shards: int = 1) -> DataFrame:
     """The log as JSON text in ``value``, with ``event_id`` beside it for slicing.
 
     ``before='key'`` puts only the key into before images, ``'full'`` the whole previous row.
@@ -117,17 +122,17 @@ def event_log(spark: SparkSession, sf_dir: str, before: str = "key", value: str
         op.alias("op"),
         F.col("before"),
         F.when(~deletes, F.col("after")).alias("after"),
-        source_struct(F.col("event_id"), F.col("k"), F.col("ts")).alias("source"),
+        source_struct(F.col("event_id"), F.col("k"), F.col("ts"), shards).alias("source"),
     )
     text = F.to_json(F.struct(payload.alias("payload")), {"ignoreNullFields": "false"})
     return images.select("event_id", text.alias(value))
 
 
-def source_struct(event: Column, user: Column, at: Column) -> Column:
+def source_struct(event: Column, user: Column, at: Column, shards: int = 1) -> Column:
     return F.struct(
         F.unix_millis(at.cast("timestamp")).alias("ts_ms"),
         F.lit("false").alias("snapshot"),
-        F.lit("ods_test").alias("db"),
+        shard(user, shards).alias("db"),
         source_table(user).alias("table"),
         F.concat(F.lit(SERVER + ":"), (1 + F.floor(event / 2)).cast("string")).alias("gtid"),
         F.format_string("mysql-bin.%06d", 1 + F.floor(event / EVENTS_PER_FILE)).alias("file"),
@@ -136,7 +141,7 @@ def source_struct(event: Column, user: Column, at: Column) -> Column:
     )
 
 
-def ddl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ddl_log(spark: SparkSession, sf_dir: str, shards: int = 1) -> DataFrame:
     """Schema change entries: each signup alters its table, with a changing length and a new column."""
     ev = table(spark, sf_dir, "events").where("event_type = 'signup'")
     event = F.col("event_id")
@@ -158,14 +163,15 @@ def ddl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         column("add_time", "VARCHAR", 4, F.lit(30)),
         column(F.concat(F.lit("extra_"), (event % 7).cast("string")), "INT", 5),
     )
-    source = source_struct(event, F.col("user_id"), F.col("ts"))
+    source = source_struct(event, F.col("user_id"), F.col("ts"), shards)
+    db = shard(F.col("user_id"), shards)
     name = source_table(F.col("user_id"))
     history = F.struct(
-        F.lit("ods_test").alias("databaseName"),
+        db.alias("databaseName"),
         F.concat(F.lit("ALTER TABLE "), name).alias("ddl"),
         F.array(F.struct(
             F.lit("ALTER").alias("type"),
-            F.concat(F.lit('"ods_test"."'), name, F.lit('"')).alias("id"),
+            F.concat(F.lit('"'), db, F.lit('"."'), name, F.lit('"')).alias("id"),
             F.struct(F.array(F.lit("k")).alias("primaryKeyColumnNames"), columns.alias("columns")).alias("table"),
         )).alias("tableChanges"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from tidemark.operators.schema import Field, TableSchema
 from tidemark.queries.eventlog import LOG, ROUTES, SERVER, ddl_log, event_log
 from tidemark.queries.registry import query, table
 from tidemark.sources.changelog import decode, row_changes, schema_changes, source_filter
+from tidemark.sources.chunks import beyond_high, chunk_bounds, chunk_counts, key_sketch, stitch, up_to_high, with_chunk
 from tidemark.sources.discovery import discover, from_server_zone, snapshot_changes, snapshot_chunks
 from tidemark.sources.offsets import Start, snapshot_then_log
 
@@ -102,6 +103,9 @@ ORDER_FIELDS = [
 ]
 
 
+ORDERS_AS_ROWS = Projection(TableSchema(ORDER_FIELDS, ["k"]))
+
+
 def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as changes of the customer rows: each order updates its customer, some delete it."""
     o = table(spark, sf_dir, "orders")
@@ -177,6 +181,91 @@ def r13_snapshot_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_chunks(table(spark, sf_dir, "orders"), "o_orderkey", 4096)
 
 
+# Keys that are dense, sparse with ever wider gaps, and text.
+KEYS = {"dense": "o_orderkey", "sparse": "o_orderkey * o_orderkey * 1000 + 7", "text": "o_orderpriority || '/' || o_orderkey"}
+
+
+def _chunks_sql(kind: str, key: str) -> str:
+    return f"""SELECT '{kind}' AS kind, chunk, CAST(min(key) AS VARCHAR) AS first_key, CAST(max(key) AS VARCHAR) AS last_key, count(*) AS rows
+      FROM (SELECT k.key, (SELECT count(*) FROM (SELECT DISTINCT key FROM (
+          SELECT key, row_number() OVER (ORDER BY key) - 1 AS place FROM (SELECT {key} AS key FROM orders)
+          WHERE CAST('0x' || substr(md5(CAST(key AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 64) WHERE place % 64 = 0 AND place > 0) cuts
+        WHERE cuts.key <= k.key) AS chunk FROM (SELECT {key} AS key FROM orders) k) GROUP BY chunk"""
+
+
+@query("r13_quantile_chunks", " UNION ALL ".join(_chunks_sql(*k) for k in KEYS.items()))
+def r13_quantile_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of about equal row counts by a sketch of the key, for keys of any spread and type."""
+    out = None
+    for kind, key in KEYS.items():
+        orders = table(spark, sf_dir, "orders").select(F.expr(key).alias("key"))
+        one = chunk_counts(orders, "key", 1000).select(
+            F.lit(kind).alias("kind"), "chunk", F.col("first_key").cast("string"), F.col("last_key").cast("string"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# Chunks of 50 customers, one begun after the other while orders come in; a row is read at some moment between the marks.
+CHUNK = 50
+MARKS = f"""ranked AS (SELECT c_custkey AS k, (row_number() OVER (ORDER BY c_custkey) - 1) // {CHUNK} AS chunk FROM customer),
+    span AS (SELECT max(chunk) + 1 AS chunks, (SELECT max(o_orderkey) FROM orders) AS last FROM ranked),
+    cuts AS (SELECT chunk, CASE WHEN chunk > 0 THEN min(k) ELSE -1 END AS first FROM ranked GROUP BY chunk),
+    marks AS (SELECT chunk, first, 1 + last * chunk // (chunks + 2) AS low, 1 + last * (chunk + 2) // (chunks + 2) AS high FROM cuts, span)"""
+
+
+def _marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = table(spark, sf_dir, "customer")
+    bounds = chunk_bounds(key_sketch(customers, "c_custkey", CHUNK), CHUNK)
+    last = table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("newest"), F.lit(bounds.count()).alias("chunks"))
+
+    def mark(pos: str) -> Column:
+        return F.struct(F.lit(1).cast("bigint").alias("file_no"), F.expr(pos).cast("bigint").alias("pos"), F.lit(0).alias("row"))
+
+    low, high = "1 + newest * chunk div (chunks + 2)", "1 + newest * (chunk + 2) div (chunks + 2)"
+    return bounds.join(F.broadcast(last), F.lit(True)).select("chunk", "first", "last", mark(low).alias("low"), mark(high).alias("high"))
+
+
+def _stitched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers read in chunks, each row as it was at some moment between the marks of its chunk, and the orders as the
+    log, which begins at the least mark."""
+    marks = _marks(spark, sf_dir)
+    log = _order_changes(spark, sf_dir)
+    key = F.coalesce(*[typed_value(image, "k", T.LongType()) for image in ("after", "before")])
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("label"), F.col("c_acctbal").alias("amount"))
+    dated = with_chunk(log.withColumn("k", key), F.col("k"), marks, "low", "high")
+    read_at = F.col("low.pos") + F.col("k") * 7919 % (F.col("high.pos") - F.col("low.pos") + 1)
+    before = dated.where(F.col("pos") <= read_at).drop("k", "chunk", "low", "high")
+    seen = current_state(to_row_kinds(snapshot_changes(customers, "shop", "customer").unionByName(before), ORDERS_AS_ROWS), ["k"])
+    least = marks.agg(F.min("low").alias("least")).first()["least"]
+    tail = log.where(F.col("pos") > least["pos"])
+    return stitch(snapshot_changes(seen, "shop", "customer"), tail, typed_value("after", "k", T.LongType()), key, marks)
+
+
+@query("r07_chunks_at_high", f"""WITH {MARKS}, c AS (
+      SELECT c_custkey AS k, c_mktsegment AS label, c_acctbal AS amount, -1 AS o, false AS gone FROM customer
+      UNION ALL SELECT o_custkey, o_orderpriority, o_totalprice, o_orderkey, o_orderkey % 11 = 0 FROM orders),
+    upto AS (SELECT c.* FROM c JOIN marks m ON m.chunk = (SELECT count(*) - 1 FROM cuts WHERE cuts.first <= c.k) WHERE c.o + 1 <= m.high)
+    SELECT k, label, amount FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY o DESC) AS rn FROM upto) WHERE rn = 1 AND NOT gone""")
+def r07_chunks_at_high(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk as the source was at the chunk's own high mark."""
+    rows = to_row_kinds(up_to_high(_stitched(spark, sf_dir)), ORDERS_AS_ROWS)
+    return current_state(rows, ["k"])
+
+
+@query("r07_stitched_chunks", """WITH c AS (
+      SELECT c_custkey AS k, c_mktsegment AS label, c_acctbal AS amount, -1 AS o, false AS gone FROM customer
+      UNION ALL SELECT o_custkey, o_orderpriority, o_totalprice, o_orderkey, o_orderkey % 11 = 0 FROM orders)
+    SELECT k, label, amount FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY o DESC) AS rn FROM c)
+    WHERE rn = 1 AND NOT gone""")
+def r07_stitched_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks at their high marks first, then for each chunk the log behind its mark: the state of the source now."""
+    stitched = _stitched(spark, sf_dir)
+    chunks = current_state(to_row_kinds(up_to_high(stitched), ORDERS_AS_ROWS), ["k"])
+    both = snapshot_then_log(snapshot_changes(chunks, "shop", "customer"), beyond_high(stitched).drop("chunk", "low", "high"))
+    return current_state(to_row_kinds(both, ORDERS_AS_ROWS), ["k"])
+
+
 @query("r15_discover_tables", f"""WITH {LOG}, names AS (SELECT DISTINCT db, tbl FROM log)
     SELECT db, tbl,
       (CASE WHEN regexp_full_match(tbl, 'test_d_(\\d+)$') THEN 1 ELSE 0 END)

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import typed_value
+from tidemark.operators.history import column_changes, schema_history, with_schema
 from tidemark.operators.schema import (
     Field, TableSchema, build_target, changed_fields, evolve, infer_fields, merge_all, merge_shards, problems, union_shards,
 )
-from tidemark.queries.eventlog import LOG, ddl_log, schema
+from tidemark.queries.eventlog import LOG, ddl_log, event_log, schema
 from tidemark.queries.log import changes
 from tidemark.queries.registry import query, table
-from tidemark.sources.changelog import decode, schema_changes
+from tidemark.session import work_dir
+from tidemark.sources.changelog import decode, row_changes, schema_changes
 
 
 def _schema_of(df: DataFrame, key: list[str]) -> TableSchema:
@@ -98,6 +101,50 @@ def c08_schema_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "column string, type string")
 
 
+# Tables of the same names in three databases. Each signup alters its own table; repeating a definition changes nothing.
+SHARDS = 3
+VERSIONS = f"""WITH {LOG}, named AS (SELECT * REPLACE ('ods_' || ((k // 5) % {SHARDS}) AS db) FROM log),
+    alters AS (SELECT *, 10 + (event_id // 50) % 20 AS length, 'extra_' || (event_id % 7) AS extra FROM named WHERE v1 = 'signup'),
+    changed AS (SELECT *, lag(length) OVER w AS old_length, lag(extra) OVER w AS old_extra FROM alters
+      WINDOW w AS (PARTITION BY db, tbl ORDER BY event_id)),
+    versions AS (SELECT *, row_number() OVER (PARTITION BY db, tbl ORDER BY event_id) AS version FROM changed
+      WHERE old_length IS NULL OR old_length <> length OR old_extra <> extra)"""
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = schema_history(schema_changes(decode(ddl_log(spark, sf_dir, SHARDS))))
+    path = work_dir(spark, "history")
+    history.write.parquet(path)
+    return spark.read.schema(history.schema).parquet(path)
+
+
+@query("c11_as_of_schema", VERSIONS + """
+    SELECT e.db, e.tbl, e.k, e.file_no, e.pos, e.row, coalesce(v.version, 0) AS version, v.length AS v1_length, v.extra
+    FROM named e ASOF LEFT JOIN versions v ON e.db = v.db AND e.tbl = v.tbl AND e.event_id >= v.event_id""")
+def c11_as_of_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each change with the schema that its own table had at its position."""
+    log = row_changes(decode(event_log(spark, sf_dir, shards=SHARDS)))
+    key = F.coalesce(*[typed_value(image, "k", T.LongType()) for image in ("after", "before")])
+    rows = log.select("db", "tbl", key.alias("k"), "file_no", "pos", F.col("row").cast("bigint").alias("row"))
+    dated = with_schema(rows, _history(spark, sf_dir))
+    return dated.select(
+        "db", "tbl", "k", "file_no", "pos", "row", F.col("version").cast("bigint").alias("version"),
+        F.get("columns", F.lit(1))["length"].cast("bigint").alias("v1_length"), F.get("columns", F.lit(4))["column"].alias("extra"))
+
+
+@query("c11_column_changes", VERSIONS + """, each_change AS (
+      SELECT db, tbl, version, event_id, 'v1' AS "column", CASE WHEN old_length IS NULL THEN 'added' ELSE 'altered' END AS change FROM versions
+        WHERE old_length IS NULL OR old_length <> length
+      UNION ALL SELECT db, tbl, version, event_id, extra, 'added' FROM versions WHERE old_extra IS NULL OR old_extra <> extra
+      UNION ALL SELECT db, tbl, version, event_id, old_extra, 'dropped' FROM versions WHERE old_extra <> extra
+      UNION ALL SELECT db, tbl, version, event_id, c."column", 'added' FROM versions, (VALUES ('k'), ('val'), ('add_time')) c("column") WHERE old_length IS NULL)
+    SELECT c.db, c.tbl, c.version, l.file_no, l.pos, c."column", c.change FROM each_change c JOIN log l USING (event_id)""")
+def c11_column_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each schema change did to its own table; shards of one name are kept apart."""
+    found = column_changes(_history(spark, sf_dir))
+    return found.select("db", "tbl", F.col("version").cast("bigint").alias("version"), "since.file_no", "since.pos", "column", "change")
+
+
 @query("c12_inferred_fields", f"""WITH {LOG} SELECT DISTINCT tbl, c."column", c.type FROM log,
       (VALUES ('k', 'BIGINT'), ('v1', 'STRING'), ('add_time', 'STRING'), ('val', 'DECIMAL')) c("column", type)
     WHERE NOT gone""")

@@ -101,18 +101,18 @@ def schema_changes(decoded: DataFrame) -> DataFrame:
     history = F.from_json("history", HISTORY)
     return (
         decoded.where(F.col("history").isNotNull())
-        .select("db", "tbl", "ts_ms", "file_no", "pos", history.alias("h"))
-        .select("db", "tbl", "ts_ms", "file_no", "pos", F.col("h.ddl").alias("ddl"), F.inline("h.tableChanges"))
+        .select("db", "tbl", "ts_ms", "file_no", "pos", "row", history.alias("h"))
+        .select("db", "tbl", "ts_ms", "file_no", "pos", "row", F.col("h.ddl").alias("ddl"), F.inline("h.tableChanges"))
         .select(
             F.coalesce("db", F.regexp_extract("id", r'"([^"]*)"\."', 1)).alias("db"),
             F.coalesce("tbl", F.regexp_extract("id", r'\."([^"]*)"', 1)).alias("tbl"),
-            "ts_ms", "file_no", "pos", "ddl",
+            "ts_ms", "file_no", "pos", "row", "ddl",
             F.col("type").alias("change"),
             F.col("table.primaryKeyColumnNames").alias("primary_key"),
             F.inline("table.columns"),
         )
         .select(
-            "db", "tbl", "ts_ms", "file_no", "pos", "ddl", "change", "primary_key",
+            "db", "tbl", "ts_ms", "file_no", "pos", "row", "ddl", "change", "primary_key",
             F.col("name").alias("column"),
             F.coalesce("typeExpression", "typeName").alias("type"),
             "length", "scale", "position",

@@ -63,19 +63,23 @@ class Start:
                 return replace(self, mode="earliest-offset")
             return replace(self, file_no=last["file_no"], pos=last["pos"], row=last["row"])
         if self.mode == "specific-offset" and self.skip_events:
-            ahead = log_at_start.where(self._from_offset())
-            found = None
             if self.file_no is not None:
                 # The events to skip mostly lie in the first log file, which keeps the search small.
-                found = self._skip_in(ahead.where(F.col("file_no") == self.file_no))
-            if found is None or found["n"] <= self.skip_events:
-                found = self._skip_in(ahead)
-            if not found["n"]:
-                return self
-            beyond = 0 if found["n"] > self.skip_events else 1
-            return replace(self, file_no=found["p"]["file_no"], pos=found["p"]["pos"] + beyond, skip_events=0)
+                start, bound = self.skipped(log_at_start.where(F.col("file_no") == self.file_no))
+                if bound is not None:
+                    return start
+            return self.skipped(log_at_start)[0]
         return self
 
+    def skipped(self, log: DataFrame) -> tuple[Start, tuple[int, int] | None]:
+        """The start behind the events to skip, and its position; no position if the log has too few events."""
+        found = self._skip_in(log.where(self._from_offset()))
+        if not found["n"]:
+            return self, None
+        enough = found["n"] > self.skip_events
+        at = (found["p"]["file_no"], found["p"]["pos"] + (not enough))
+        return replace(self, file_no=at[0], pos=at[1], skip_events=0), at if enough else None
+
     def _skip_in(self, ahead: DataFrame) -> Row:
         """The last of the ``skip_events + 1`` smallest positions, and how many there are."""
         first = ahead.select("file_no", "pos").distinct().orderBy("file_no", "pos").limit(self.skip_events + 1)
@@ -110,6 +114,33 @@ class Start:
             return keep
         return F.lit(True)
 
+    def reaches(self) -> Column:
+        """Can a log file hold an entry from the start on? A filter over the columns of a file index. Events to skip
+        count from the offset, so files behind it are all in reach."""
+        last = F.col("last")
+        if self.mode == "timestamp":
+            return F.col("last_ms") >= self.timestamp_ms
+        if self.mode == "latest-offset":
+            if self.pos is None:
+                raise ValueError("resolve the start against the log first")
+            return last > F.struct(F.lit(self.file_no).cast("bigint").alias("file_no"), F.lit(self.pos).cast("bigint").alias("pos"), F.lit(self.row).alias("row"))
+        if self.mode == "specific-offset":
+            reach = F.lit(True)
+            if self.file_no is not None and self.pos is not None:
+                reach = (last["file_no"] > self.file_no) | ((last["file_no"] == self.file_no) & (last["pos"] >= self.pos))
+            if self.gtid_set:
+                held = [(name, low, high) for name, low, high in gtid_intervals(self.gtid_set)]
+
+                def outside(s: Column) -> Column:
+                    inside = F.lit(False)
+                    for name, low, high in held:
+                        inside = inside | ((s["server"] == name) & (s["first"] >= low) & (s["last"] <= high))
+                    return ~inside
+
+                reach = reach & ((F.col("unnumbered") > 0) | F.exists("servers", outside))
+            return reach
+        return F.lit(True)
+
 
 def gtid_intervals(gtid_set: str) -> list[tuple[str, int, int]]:
     """``uuid:1-5:8,uuid2:3`` to (server, first, last) triples."""
