@@ -11,6 +11,7 @@ from tidemark.operators.schema import Field, IncompatibleSchema, TableSchema
 from tidemark.operators.targets import Target
 from tidemark.plans.spec import connection, load_spec, parse_spec
 from tidemark.plans.sync import SyncPlan
+from tidemark.sources.changelog import read_log_stream
 from tidemark.streaming.job import start_divided, start_sync
 
 INT = T.IntegerType()
@@ -157,9 +158,27 @@ def test_start_checks(spark, tmp_path):
 
 
 def test_unroutable_table_fails_a_strict_plan(spark, tmp_path, log):
+    plan = prepare(spark, spec(tmp_path, (r"t1", "x", None)), {("ods", "t1"): source()}, strict_routes=True)
+    assert plan.run_batch(log.insert("t1", k=1, v1="a").frame(), 0).unrouted == []
+    log.insert("t1", k=2, v1="b").insert("zz", k=1, v1="a").insert("yy", k=1, v1="a").insert("zz", k=2, v1="b")
+    entries = log.entries
+    with pytest.raises(ValueError, match=r"cannot find a target.*'yy'.*'zz'"):
+        plan.run_batch(log.frame(), 1)
+    assert held(plan, "x") == [(1, "a")]
+    log.entries, plan.strict_routes = entries, False
+    assert plan.run_batch(log.frame(), 1).unrouted == [("ods", "yy"), ("ods", "zz")]
+    assert held(plan, "x") == [(1, "a"), (2, "b")]
+    plan.exclude, plan.strict_routes = "zz", True  # what is excluded on purpose is no error
+    assert plan.run_batch(log.insert("zz", k=3, v1="c").frame(), 2).unrouted == []
+
+
+def test_dropped_tables_are_told_by_every_batch_of_a_stream(spark, tmp_path, log):
     plan = prepare(spark, spec(tmp_path, (r"t1", "x", None)), {("ods", "t1"): source()})
-    log.insert("t1", k=1, v1="a").insert("zz", k=1, v1="a")
-    assert plan.run_batch(log.frame(), 0).unrouted == []  # the source filter drops what no pair names
+    for n in range(2):
+        _drop(f"{tmp_path}/log", f"{n}.txt", log.insert("t1", k=n, v1="a").insert(f"z{n}", k=1, v1="a"))
+        reports = []
+        start_sync(plan, read_log_stream(spark, f"{tmp_path}/log"), f"{tmp_path}/cp", interval=None, on_batch=reports.append).awaitTermination()
+        assert [r.unrouted for r in reports] == [[("ods", f"z{n}")]]
 
 
 def test_spec_rules(spark, tmp_path):

@@ -218,30 +218,66 @@ _LADDERS = (
 
 
 def widens(old: T.DataType, new: T.DataType) -> bool:
-    """Can every value of ``old`` be kept in ``new``, within one family of types?"""
+    """Can every value of ``old`` be kept in ``new``?"""
     return widest(old, new) == new
 
 
+# Digits that an integer type needs as a decimal.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+# What a floating point type holds without loss.
+_EXACT = {T.FloatType: (T.ByteType, T.ShortType), T.DoubleType: (T.ByteType, T.ShortType, T.IntegerType)}
+
+
 def widest(old: T.DataType, new: T.DataType) -> T.DataType | None:
-    """The wider of two types of one family; None across families.
+    """C-10: the least type that keeps every value of both; None where there is none.
 
-    Families: integers, floating point, decimals, character types by length.
+    Within families: integers, floating point, decimals, character types by length. Across them: integers to decimals,
+    integers up to 32 bits to DOUBLE and up to 16 bits to FLOAT, dates to times. What would lose digits, such as BIGINT to
+    DOUBLE, has no common type.
     """
     if old == new:
         return old
     for ladder in _LADDERS:
         if isinstance(old, ladder) and isinstance(new, ladder):
             return max(old, new, key=lambda t: ladder.index(type(t)))
-    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
-        scale = max(old.scale, new.scale)
-        precision = max(old.precision - old.scale, new.precision - new.scale) + scale
-        return T.DecimalType(precision, scale) if precision <= 38 else None
     text = (T.CharType, T.VarcharType, T.StringType)
     if isinstance(old, text) and isinstance(new, text):
         return max(old, new, key=_text_rank)
+    for a, b in ((old, new), (new, old)):
+        if isinstance(a, T.DateType) and isinstance(b, (T.TimestampType, T.TimestampNTZType)):
+            return b
+        if type(b) in _EXACT and isinstance(a, _EXACT[type(b)]):
+            return b
+        if isinstance(a, T.IntegerType) and isinstance(b, T.FloatType):
+            return T.DoubleType()
+    sizes = [_decimal(t) for t in (old, new)]
+    if all(sizes):
+        scale = max(s for _, s in sizes)
+        precision = max(p - s for p, s in sizes) + scale
+        return T.DecimalType(precision, scale) if precision <= 38 else None
     return None
 
 
+def _decimal(dtype: T.DataType) -> tuple[int, int] | None:
+    """Precision and scale as a decimal, for exact numbers."""
+    if isinstance(dtype, T.DecimalType):
+        return dtype.precision, dtype.scale
+    return (_DIGITS[type(dtype)], 0) if type(dtype) in _DIGITS else None
+
+
+def same_family(old: T.DataType, new: T.DataType) -> bool:
+    """Is a file of the old type read under the new one by the file reader itself?"""
+    exact = isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType) and old.scale == new.scale
+    ladder = any(isinstance(old, x) and isinstance(new, x) for x in _LADDERS)
+    return exact or ladder or isinstance(storage_type(old), T.StringType) or old == new
+
+
+def same_text(old: T.DataType, new: T.DataType) -> bool:
+    """Is every value of the old type written alike under the new one? Keys are placed by their text."""
+    whole = [isinstance(t, tuple(_DIGITS)) or (isinstance(t, T.DecimalType) and t.scale == 0) for t in (old, new)]
+    return all(whole) or (isinstance(storage_type(old), T.StringType) and isinstance(storage_type(new), T.StringType))
+
+
 def _text_rank(dtype: T.DataType) -> tuple[int, int]:
     length = getattr(dtype, "length", None)
     if length is None:

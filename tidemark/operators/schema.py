@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -231,6 +231,57 @@ def changed_fields(rows: Iterable, case_sensitive: bool = True, tinyint1_not_boo
     return out
 
 
+class TypeRegistry:
+    """C-12: types gathered batch by batch, a stored table that batches are merged into.
+
+    For each ``(db, tbl, column)`` it keeps the distinct types seen, each with one value of it. The merged type is
+    taken over these examples, so it equals one pass over all rows, while the table grows with the catalog only. A batch
+    adds what it has not seen; adding it again does nothing.
+    """
+
+    KEY = ("db", "tbl", "column")
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def seen(self) -> DataFrame:
+        schema = "db STRING, tbl STRING, column STRING, type STRING, example VARIANT"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path)
+
+    def add(self, changes: DataFrame, image: str = "after") -> DataFrame:
+        """Merge a batch in; gives the columns whose merged type it changed, with the type before (NULL if new)."""
+        fields = F.explode(F.try_variant_get(F.col(image), "$", "map<string,variant>")).alias("column", "v")
+        each = changes.select("db", "tbl", fields)
+        found = each.groupBy(*self.KEY, F.schema_of_variant("v").alias("type")).agg(F.any_value("v").alias("example"))
+        seen = self.seen()
+        new = found.join(F.broadcast(seen.select(*self.KEY, "type")), [*self.KEY, "type"], "left_anti")  # of catalog size
+        before = self.types().withColumnRenamed("type", "old_type").collect()
+        new.select(*seen.columns).write.mode("append").parquet(self.path)
+        old = self.spark.createDataFrame(before, "db STRING, tbl STRING, column STRING, old_type STRING")
+        merged = self.types().join(old, list(self.KEY), "left")
+        return merged.where(~F.col("type").eqNullSafe(F.col("old_type")))
+
+    def types(self) -> DataFrame:
+        """The merged type of every column."""
+        return self.seen().groupBy(*self.KEY).agg(F.schema_of_variant_agg("example").alias("type"))
+
+
+#: Type names of row images that differ from those of Spark's schema text.
+VARIANT_TYPES = {"VOID": None, "VARIANT": T.StringType()}
+
+
+def inferred_dtype(text: str) -> T.DataType | None:
+    """A column type for an inferred one; None while only nulls were seen. Mixed and nested values are kept as text."""
+    if text in VARIANT_TYPES:
+        return VARIANT_TYPES[text]
+    if text.startswith(("OBJECT", "ARRAY")):
+        return T.StringType()
+    return T.DataType.fromDDL(text)
+
+
 def infer_fields(changes: DataFrame, image: str = "after") -> DataFrame:
     """C-12: columns and types seen in the row images, one row per ``(db, tbl, column)``.
 

@@ -8,9 +8,12 @@ Layout of a target folder::
 Every write has a folder of its own, which only its commit names. Of two writers of one version the second to
 commit fails, and the rows of the first are untouched.
 
-A cell is one hash bucket of one day. A commit rewrites the cells its keys fall in and keeps the others by
-reference, so the cost of a batch follows the cells touched. Commit files hold one short entry per live
-cell, never per row or file. Readers see a commit once its file has its final name.
+A cell is one hash bucket of one day. Commit files hold one short entry per live cell, never per row or file. Readers see
+a commit once its file has its final name. The option ``merge`` says when a batch meets the rows that are there:
+
+- ``on-read``: a batch writes its own latest row per key, deletes included, beside the others, and reads nothing. Readers
+  take the latest row of each key. ``fold`` merges on demand the cells that have gathered several writes.
+- ``on-write``: a commit rewrites the cells its keys fall in and keeps the others by reference, so reading needs no merge.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
@@ -26,11 +30,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import same_family, same_text, storage_type
 from tidemark.operators.row_kinds import DELETE, KIND, ORDER, UPSERT, latest_per_key
-from tidemark.operators.schema import Field, TableSchema, evolve
+from tidemark.operators.schema import Field, IncompatibleSchema, TableSchema, evolve
 
 VERSION, CELL = "__version", "__cell"
 DELETED = "_deleted"
+# Options of a target.
+MERGE, ON_READ, ON_WRITE = "merge", "on-read", "on-write"
+MERGE_KEY, BUSINESS = "merge-key", "business"  # rows of one key are merged across days
+HORIZON = "horizon"  # file number and position below which changes are too old to be told apart
 #: Text that Spark takes over into a folder name unchanged.
 PLAIN_DAY = re.compile(r"""[^\x00-\x1f\x7f"#%'*/:=?\\{\[\]^]+""")
 ORDER_TYPES = {"_file_no": T.LongType(), "_pos": T.LongType(), "_row": T.IntegerType(), "_seq": T.IntegerType()}
@@ -49,6 +58,39 @@ class Commit:
     cells: dict[str, list[tuple[str | None, int]]] = field(default_factory=dict)
     written: dict[str, int] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
+    # column -> [last version, type] of every type that it was written under before the present one
+    types: dict[str, list[tuple[int, str]]] = field(default_factory=dict)
+
+    def stored_types(self, write: str) -> dict[str, str]:
+        """C-10: columns that a write holds under another type than they have now."""
+        version = int(write.partition("-")[0])
+        found = {}
+        for column, known in self.types.items():
+            for until, kind in reversed(known):
+                if version <= until:
+                    found[column] = kind
+        return found
+
+    @property
+    def on_read(self) -> bool:
+        return self.schema.options.get(MERGE) == ON_READ
+
+    @property
+    def business_key(self) -> list[str]:
+        return [k for k in self.schema.primary_key if k != self.day]
+
+    @property
+    def merge_key(self) -> list[str]:
+        return self.business_key if self.schema.options.get(MERGE_KEY) == BUSINESS else list(self.schema.primary_key)
+
+    @property
+    def horizon(self) -> tuple[int, int] | None:
+        text = self.schema.options.get(HORIZON)
+        return tuple(int(n) for n in text.split(":")) if text else None
+
+    def with_options(self, **options: str) -> Commit:
+        named = {k.replace("_", "-"): v for k, v in options.items()}
+        return replace(self, schema=replace(self.schema, options={**self.schema.options, **named}))
 
     def to_json(self) -> str:
         fields = [{**asdict(f), "dtype": f.dtype.simpleString()} for f in self.schema.fields]
@@ -64,6 +106,7 @@ class Commit:
             for f in s.pop("fields")
         ]
         cells = {v: [(d, b) for d, b in c] for v, c in body.pop("cells").items()}
+        body["types"] = {c: [(v, t) for v, t in known] for c, known in body.get("types", {}).items()}
         return cls(schema=TableSchema(fields, **s), cells=cells, **body)
 
 
@@ -115,9 +158,14 @@ class Target:
             raise RuntimeError(f"commit {commit.version} of {self.path} was taken by another writer")
 
     def create(
-        self, schema: TableSchema, buckets: int, day: str | None = None, keep_positions: bool = False
+        self, schema: TableSchema, buckets: int, day: str | None = None, keep_positions: bool = False, merge: str | None = None
     ) -> Target:
-        """C-14, C-15: a new empty target. The bucket count is fixed and must be positive."""
+        """C-14, C-15: a new empty target. The bucket count is fixed and must be positive. ``merge`` is the option of that
+        name; without either, batches are merged on writing."""
+        merge = merge or schema.options.get(MERGE, ON_WRITE)
+        if merge not in (ON_READ, ON_WRITE):
+            raise ValueError(f"unknown way to merge: {merge}")
+        schema = replace(schema, options={**schema.options, MERGE: merge})
         if buckets is None or int(buckets) <= 0:
             raise ValueError(f"only targets with a fixed number of buckets are supported: {self.path}")
         taken = {VERSION, CELL, DELETED, KIND, *ORDER} & set(schema.names)
@@ -139,40 +187,61 @@ class Target:
     def read(self) -> DataFrame:
         """W-12: the current rows under the current schema; columns newer than a file read as NULL."""
         commit = self.current()
-        rows = self._rows(commit, commit.cells, whole=True)
-        if commit.keep_positions:
+        rows = self._rows(commit, commit.cells, whole=True, versions=commit.on_read)
+        if commit.on_read:
+            rows = _latest_written(commit, rows)
+        if commit.on_read or commit.keep_positions:
             rows = rows.where(~F.col(DELETED))
         return rows.select(*commit.schema.names)
 
+    def deletes(self) -> DataFrame:
+        """T-05: keys of deleted rows that are still remembered, with their positions where these are kept."""
+        commit = self.current()
+        if not (commit.on_read or commit.keep_positions):
+            raise ValueError("this target remembers no deletes")
+        rows = self._rows(commit, commit.cells, whole=True, versions=commit.on_read)
+        rows = _latest_written(commit, rows) if commit.on_read else rows
+        return rows.where(DELETED).select(*commit.merge_key, *(ORDER if commit.keep_positions else ()))
+
     def placement(self) -> DataFrame:
         """W-04: stored rows with their cell, and whether it is the bucket of their key."""
         commit = self.current()
-        business = [k for k in commit.schema.primary_key if k != commit.day]
         rows = self._rows(commit, commit.cells, whole=True)
-        return rows.withColumn("in_place", F.col(CELL) == bucket_of(business, commit.buckets))
+        return rows.withColumn("in_place", F.col(CELL) == bucket_of(commit.business_key, commit.buckets))
 
     def _struct(self, commit: Commit) -> T.StructType:
         struct = T.StructType(list(commit.schema.struct().fields))
         if commit.keep_positions:
             for name, dtype in ORDER_TYPES.items():
                 struct = struct.add(name, dtype)
+        if commit.keep_positions or commit.on_read:
             struct = struct.add(DELETED, T.BooleanType())
         return struct.add(CELL, T.IntegerType())
 
-    def _rows(self, commit: Commit, cells: dict[str, list[tuple[str | None, int]]], whole: bool) -> DataFrame:
-        """Rows of the given cells. A write that is wholly live is read as one folder."""
-        paths = []
+    def _rows(
+        self, commit: Commit, cells: dict[str, list[tuple[str | None, int]]], whole: bool, versions: bool = False
+    ) -> DataFrame:
+        """Rows of the given cells, with the write they are from if ``versions``. A write that is wholly live is read as
+        one folder."""
+        paths: dict[tuple, list[str]] = {}  # by the types that writes hold
         for write, live in cells.items():
             folder = f"{self.path}/data/{VERSION}={write}"
+            mine = paths.setdefault(tuple(sorted(commit.stored_types(write).items())), [])
             if whole and len(live) == commit.written.get(write):
-                paths.append(folder)
+                mine.append(folder)
             else:
-                paths += [folder + self._cell_path(commit.day, d, b) for d, b in live]
-        struct = self._struct(commit)
-        if not paths:
-            return self.spark.createDataFrame([], struct)
-        reader = self.spark.read.schema(struct.add(VERSION, T.StringType())).option("basePath", f"{self.path}/data")
-        return reader.parquet(*paths).drop(VERSION)
+                mine += [folder + self._cell_path(commit.day, d, b) for d, b in live]
+        struct = self._struct(commit).add(VERSION, T.StringType())
+        found = None
+        for kinds, mine in paths.items():
+            old = {c: T.DataType.fromDDL(kind) for c, kind in kinds}
+            stored = T.StructType([T.StructField(f.name, old.get(f.name, f.dataType), f.nullable, f.metadata) for f in struct.fields])
+            part = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*mine)
+            part = part.withColumns({c: F.col(c).cast(struct[c].dataType) for c in old}) if old else part
+            found = part if found is None else found.unionByName(part)
+        if found is None:
+            found = self.spark.createDataFrame([], struct)
+        return found if versions else found.drop(VERSION)
 
     @staticmethod
     def _cell_path(day: str | None, value: str | None, bucket: int) -> str:
@@ -181,12 +250,20 @@ class Target:
     # --- writing --------------------------------------------------------------------------------
 
     def evolve(self, fields: Sequence[Field]) -> bool:
-        """C-08..C-10: take over new columns and wider types. No data is rewritten."""
+        """C-08..C-10: take over new columns and wider types. No data is rewritten: where the file reader cannot read a
+        column under its wider type, the commit keeps the types that older writes hold, and they are cast on reading."""
         commit = self.current()
         schema = evolve(commit.schema, fields)
         if schema.fields == commit.schema.fields:
             return False
-        self._commit(replace(commit, version=commit.version + 1, schema=schema))
+        types = dict(commit.types)
+        for old in commit.schema.fields:
+            new = schema.get(old.name).dtype
+            if old.name in commit.schema.primary_key and new != old.dtype and not same_text(old.dtype, new):
+                raise IncompatibleSchema(f"key column {old.name}: rows are placed by the text of {old.dtype.simpleString()}, which {new.simpleString()} changes")
+            if not same_family(old.dtype, new):
+                types[old.name] = [*types.get(old.name, []), (commit.version, storage_type(old.dtype).simpleString())]
+        self._commit(replace(commit, version=commit.version + 1, schema=schema, types=types))
         return True
 
     def upsert(
@@ -205,14 +282,19 @@ class Target:
         commit = self.current()
         if batch and commit.batches.get(batch[0], -1) >= batch[1]:
             return False
+        if locate_moves and commit.on_read:
+            commit = commit.with_options(merge_key=BUSINESS)  # readers find the one day of a key themselves
         key = list(commit.schema.primary_key)
-        business = [k for k in key if k != commit.day]
-        unique = business if locate_moves else key
+        business = commit.business_key
+        unique = business if locate_moves else commit.merge_key
         columns = commit.schema.names
-        latest = latest_per_key(rows.select(*columns, KIND, *ORDER), unique)
+        rows = rows.select(*columns, KIND, *ORDER)
+        if commit.horizon:
+            rows = rows.where(_order("_file_no", "_pos") >= _literal(commit.horizon))
+        latest = latest_per_key(rows, unique)
         latest = latest.withColumn(CELL, bucket_of(business, commit.buckets))
-        if not commit.cells:
-            # First load: there is nothing to merge with, so the rows stream through once.
+        if commit.on_read or not commit.cells:
+            # Nothing to merge with now: the rows stream through once.
             self._write(commit, self._merge(commit, latest, {}, key), set(), parallelism, batch)
             return True
         cached = [latest.persist(StorageLevel.MEMORY_AND_DISK)]
@@ -269,10 +351,10 @@ class Target:
         self, commit: Commit, changes: DataFrame, old_cells: dict[int, list[tuple[str | None, int]]], key: list[str]
     ) -> DataFrame:
         """Old rows whose key did not change, and the changes. The change side is one row per key."""
-        if commit.keep_positions:
+        if commit.keep_positions or commit.on_read:
             changes = changes.withColumn(DELETED, F.col(KIND) == DELETE)
         if not old_cells:
-            return changes if commit.keep_positions else changes.where(F.col(KIND) == UPSERT)
+            return changes if commit.keep_positions or commit.on_read else changes.where(F.col(KIND) == UPSERT)
         old = self._rows(commit, old_cells, whole=False)
         o, c = old.alias("o"), changes.alias("c")
         kept = o.join(c, _same(key), "left_anti")
@@ -324,6 +406,41 @@ class Target:
         batches = {**commit.batches, batch[0]: batch[1]} if batch else commit.batches
         return replace(commit, version=commit.version + 1, cells=cells, written=sizes, batches=batches)
 
+    def fold(self, horizon: tuple[int, int] | None = None, parallelism: int | None = None, writes: int = 2) -> int:
+        """Merge the cells that hold ``writes`` writes or more into one each; gives the number of cells read.
+
+        Deletes stay as long as an older change of their key may still come. With ``horizon``, a file number and
+        position, none older than that is taken from now on, so older deletes go, and every cell is folded.
+        """
+        commit = self.current()
+        if not commit.on_read and not (horizon and commit.keep_positions):
+            raise ValueError("only targets that merge on reading, or keep positions, are folded")
+        if horizon:
+            if not commit.keep_positions:
+                raise ValueError("a horizon needs positions")
+            if commit.horizon and horizon < commit.horizon:
+                raise ValueError(f"the horizon {commit.horizon} cannot go back to {horizon}")
+            commit = commit.with_options(horizon=f"{horizon[0]}:{horizon[1]}")
+        gathered = Counter(tuple(c) for live in commit.cells.values() for c in live)
+        if not horizon:
+            # Where keys are merged across days, what a bucket holds on any day belongs together.
+            whole = len(commit.merge_key) < len(commit.schema.primary_key)
+            of = (lambda c: c[1]) if whole else (lambda c: c)
+            per = Counter()
+            for c, n in gathered.items():
+                per[of(c)] += n
+            gathered = {c: n for c, n in gathered.items() if per[of(c)] >= writes}
+        if not gathered:
+            return 0
+        cells = {w: hit for w, live in commit.cells.items() if (hit := [c for c in live if tuple(c) in gathered])}
+        rows = self._rows(commit, cells, whole=False, versions=commit.on_read)
+        if commit.on_read:
+            rows = _latest_written(commit, rows)
+        if commit.horizon:
+            rows = rows.where(~F.col(DELETED) | (_order("_file_no", "_pos") >= _literal(commit.horizon)))
+        self._write(commit, rows, set(gathered), parallelism, None)
+        return len(gathered)
+
     def drop_days(self, first_kept: str) -> list[str]:
         """D-04: forget all days before the first one to keep. Metadata only."""
         commit = self.current()
@@ -355,6 +472,21 @@ def _same(key: Sequence[str]) -> Column:
     return same
 
 
+def _latest_written(commit: Commit, rows: DataFrame) -> DataFrame:
+    """The row that holds for each key: by log position where positions are kept, else by the order of commits."""
+    written = F.substring_index(VERSION, "-", 1).cast("bigint")
+    order = (*ORDER, "_written") if commit.keep_positions else ("_written",)
+    return latest_per_key(rows.withColumn("_written", written), commit.merge_key, order).drop("_written", VERSION)
+
+
+def _order(*names: str) -> Column:
+    return F.struct(*[F.col(n).cast("bigint").alias(n) for n in names])
+
+
+def _literal(position: tuple[int, int]) -> Column:
+    return F.struct(*[F.lit(n).cast("bigint").alias(c) for c, n in zip(("_file_no", "_pos"), position)])
+
+
 def _not_older(changes: DataFrame, old: DataFrame, key: Sequence[str]) -> DataFrame:
     """T-05: the changes that no stored row of their key is newer than.
 

@@ -10,22 +10,24 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import routing
 from tidemark.operators.row_kinds import Projection, current_state, to_row_kinds
-from tidemark.operators.schema import TableSchema, accept, build_target, changed_fields, merge_all
-from tidemark.operators.targets import Target
+from tidemark.operators.schema import Field, TableSchema, TypeRegistry, accept, build_target, changed_fields, inferred_dtype, merge_all
+from tidemark.operators.targets import MERGE, ON_READ, Target
 from tidemark.plans.spec import Pair, Pipeline
-from tidemark.sources.changelog import decode, row_changes, schema_changes, source_filter
+from tidemark.sources.changelog import decode, of_sources, row_changes, schema_changes, watched_filter
 from tidemark.sources.discovery import normalise_zones, snapshot_changes
 from tidemark.sources.offsets import Start
 from tidemark.sources.seek import LogIndex
 
 # Up to this many source tables, a target's rows are picked by exact name; beyond it by its regexes.
 NAMED_TABLES = 1000
+# Source type of columns that the rows told of: such a column is read as it is.
+INFERRED = ""
 
 
 @dataclass
@@ -49,7 +51,7 @@ class SyncPlan:
     case_sensitive: bool = True
     tinyint1_not_bool: bool = False
     strict_types: bool = True
-    strict_routes: bool = True
+    strict_routes: bool = False
     locate_moves: bool = False
     parallelism: int | None = None
     cache_batch: bool = True
@@ -58,6 +60,8 @@ class SyncPlan:
     exclude: str | None = None
     seen: set[tuple[str, str]] = field(default_factory=set)
     start: Start | None = None
+    # C-12: where set, columns that no schema change has told of are taken over from the rows.
+    registry: TypeRegistry | None = None
 
     @classmethod
     def prepare(
@@ -82,7 +86,7 @@ class SyncPlan:
             routed |= set(matched)
             if not matched:
                 raise ValueError(f"no source table matches {pair.source}")
-            options = {**pipeline.sink_options, **(table_options or {})}
+            options = {MERGE: ON_READ, **pipeline.sink_options, **(table_options or {})}
             expected = plan.expected(pair, {k: sources[k] for k in matched}, options)
             target = Target(spark, f"{pipeline.warehouse}/{pair.target_database}/{pair.target_table}")
             if not target.exists():
@@ -125,17 +129,19 @@ class SyncPlan:
 
     # --- one batch ------------------------------------------------------------------------------
 
-    def select(self, log: DataFrame, start: Start | None = None) -> DataFrame:
-        """Decoded entries of the source tables that the spec names, from the start position on.
+    def select(self, log: DataFrame, start: Start | None = None, watch: Observation | None = None) -> DataFrame:
+        """Decoded entries of the source tables that the spec names, from the start position on. ``watch`` gets the names
+        of the tables that are left out (F-08).
 
         Without ``start`` the spec's own start mode holds (R-07 .. R-11). Modes that depend on the log as it is at
         the start, ``latest-offset`` and skipped events, have to be resolved first.
         """
         tables = [p.source_table for p in self.pipeline.pairs]
-        decoded = source_filter(decode(log), self.pipeline.database, tables)
-        if self.include or self.exclude:
+        keep = of_sources(self.pipeline.database, tables)
+        decoded = decode(log).where((start or self.start or self.pipeline.start).condition())
+        if self.include or self.exclude:  # tables that are left out on purpose
             decoded = routing.include_exclude(decoded, self.include, self.exclude)
-        return decoded.where((start or self.start or self.pipeline.start).condition())
+        return decoded.where(keep) if watch is None else watched_filter(decoded, keep, watch)
 
     def resolve_start(self, log_at_start: DataFrame) -> Start:
         """Freeze the spec's start mode against the log as it is now; later batches use it."""
@@ -181,13 +187,19 @@ class SyncPlan:
         Turn ``cache_batch`` off for a bulk load whose decoded form would not fit the executors' disks; each
         target then decodes the log for itself.
         """
-        report = BatchReport(batch)
-        decoded = self.select(log, start)
+        report, watch = BatchReport(batch), Observation()
+        decoded = self.select(log, start, watch)
         if self.cache_batch:
             decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            report.evolved = self._evolve(decoded)
+            columns = self._changed_columns(decoded)  # the first pass, which also tells what was left out
+            report.unrouted = sorted((r["db"], r["tbl"]) for r in watch.get["dropped"])
+            if self.strict_routes and report.unrouted:
+                raise ValueError(f"cannot find a target for the tables {report.unrouted}")
+            report.evolved = self._evolve(columns)
             changes = row_changes(decoded)
+            if self.registry:
+                report.evolved = sorted({*report.evolved, *self._evolve_inferred(changes)})
             routed = self._names(changes, report)
 
             def write(item: tuple[str, list[tuple[str, str]]]) -> str | None:
@@ -230,27 +242,35 @@ class SyncPlan:
     def _names(self, changes: DataFrame, report: BatchReport) -> dict[str, list[tuple[str, str]]]:
         """Distinct source tables of the batch and their targets, so regexes run once per table (F-06, F-10)."""
         names = changes.select("db", "tbl").distinct()
-        if self.strict_routes:
-            names = routing.require_routed(names, self.pipeline.routes)
         routed: dict[str, list[tuple[str, str]]] = {}
         found = names.select("db", "tbl", routing.matched_targets(self.pipeline.routes).alias("targets"))
         for db, tbl, targets in found.sort("db", "tbl").collect():
             if (db, tbl) not in self.seen:
                 self.seen.add((db, tbl))
                 report.new_tables.append((db, tbl))
-            if not targets:
-                report.unrouted.append((db, tbl))
             for t in targets:
                 if t in self.targets:
                     routed.setdefault(t, []).append((db, tbl))
         return routed
 
-    def _evolve(self, decoded: DataFrame) -> list[str]:
-        """C-08: apply the batch's schema changes to every target of the changed table.
-
-        Collected as distinct column definitions: schema changes are rare and bounded by the catalog.
-        """
-        columns = (
+    def _evolve_inferred(self, changes: DataFrame) -> list[str]:
+        """C-12: merge the batch into the registry, and add the columns that are new to every target of their table. A
+        column that a target has keeps the type it was given."""
+        found = self.registry.add(changes).withColumn("targets", routing.matched_targets(self.pipeline.routes)).collect()
+        by_target: dict[str, list[Field]] = {}
+        for r in sorted(found, key=lambda r: (r["db"], r["tbl"], r["column"])):
+            name = r["column"] if self.case_sensitive else r["column"].lower()
+            dtype = inferred_dtype(r["type"])
+            for t in r["targets"]:
+                if t in self.targets and dtype is not None:
+                    known = self.targets[t].current().schema.get(name)
+                    if known is None or known.source_type == INFERRED:
+                        by_target.setdefault(t, []).append(Field(name, dtype, True, INFERRED, None, (r["column"],)))
+        return [t for t, fields in by_target.items() if self.targets[t].evolve(fields)]
+
+    def _changed_columns(self, decoded: DataFrame) -> list[Row]:
+        """Collected as distinct column definitions: schema changes are rare and bounded by the catalog."""
+        return (
             schema_changes(decoded)
             .withColumn("targets", routing.matched_targets(self.pipeline.routes))
             .groupBy("targets", "column", "type", "length", "scale")
@@ -258,6 +278,9 @@ class SyncPlan:
             .sort("at")
             .collect()
         )
+
+    def _evolve(self, columns: list[Row]) -> list[str]:
+        """C-08: apply the batch's schema changes to every target of the changed table."""
         by_target: dict[str, list] = {}
         for r in columns:
             for t in r["targets"]:

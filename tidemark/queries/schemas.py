@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.types import typed_value
+from tidemark.functions.types import storage_type, typed_value
 from tidemark.operators.history import column_changes, schema_history, with_schema
 from tidemark.operators.schema import (
-    Field, TableSchema, build_target, changed_fields, evolve, infer_fields, merge_all, merge_shards, problems, union_shards,
+    Field, TableSchema, TypeRegistry, build_target, changed_fields, evolve, infer_fields, inferred_dtype, merge_all, merge_shards,
+    problems, union_shards,
 )
 from tidemark.queries.eventlog import LOG, ddl_log, event_log, schema
 from tidemark.queries.log import changes
@@ -101,6 +104,33 @@ def c08_schema_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "column string, type string")
 
 
+# The exact type of a column of decimals: as many digits before and after the point as any value has.
+EXACT = f"""WITH {LOG}, digits AS (SELECT tbl, regexp_replace(CAST(val AS VARCHAR), '^0\\.', '.') AS t FROM log WHERE NOT gone),
+    sized AS (SELECT tbl, length(split_part(t, '.', 1)) AS whole, length(regexp_replace(split_part(t, '.', 2), '0+$', '')) AS scale FROM digits),
+    types AS (SELECT tbl, 'val' AS "column", 'DECIMAL(' || (max(whole) + max(scale)) || ',' || max(scale) || ')' AS type FROM sized GROUP BY tbl
+      UNION ALL SELECT DISTINCT tbl, c."column", c.type FROM log, (VALUES ('k', 'BIGINT'), ('v1', 'STRING'), ('add_time', 'STRING')) c("column", type) WHERE NOT gone)"""
+
+
+@query("c12_incremental", EXACT + """ SELECT tbl, "column", type FROM types""")
+def c12_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact types, gathered in four batches, one of them twice: the same as in one pass over the log."""
+    registry = TypeRegistry(spark, work_dir(spark, "c12"))
+    images = changes(spark, sf_dir).where("op <> 'd'")
+    for part in (0, 1, 2, 1, 3):
+        registry.add(images.where(F.col("pos") % 4 == part))
+    return registry.types().select("tbl", "column", "type")
+
+
+@query("c04_fit_of_inferred_types", EXACT + """ SELECT tbl, "column", type, "column" = 'val' AS misfit FROM types""")
+def c04_fit_of_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types that rows really have against a target that holds ``val`` with one digit behind the point. Types are of
+    catalog size, so they are compared on the driver."""
+    target = replace(schema(), fields=[replace(f, dtype=T.DecimalType(20, 1)) if f.name == "val" else replace(f, dtype=storage_type(f.dtype)) for f in schema().fields])
+    found = infer_fields(changes(spark, sf_dir).where("op <> 'd'")).collect()
+    rows = [(r["tbl"], r["column"], r["type"], bool(problems([Field(r["column"], inferred_dtype(r["type"]))], target))) for r in found]
+    return spark.createDataFrame(rows, "tbl string, column string, type string, misfit boolean")
+
+
 # Tables of the same names in three databases. Each signup alters its own table; repeating a definition changes nothing.
 SHARDS = 3
 VERSIONS = f"""WITH {LOG}, named AS (SELECT * REPLACE ('ods_' || ((k // 5) % {SHARDS}) AS db) FROM log),

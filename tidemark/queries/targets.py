@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.row_kinds import current_state, to_row_kinds
-from tidemark.operators.schema import Field
-from tidemark.operators.targets import Target
+from tidemark.operators.schema import Field, TableSchema
+from tidemark.operators.targets import ON_READ, ON_WRITE, Target
 from tidemark.plans.spec import parse_spec
 from tidemark.plans.sync import SyncPlan
-from tidemark.queries.eventlog import LIVE, LOG, ROUTES, event_log, projection, schema
+from tidemark.queries.eventlog import EVENTS_PER_FILE, LIVE, LOG, ROUTES, event_log, projection, schema
 from tidemark.queries.log import changes
 from tidemark.queries.registry import query, table
 from tidemark.session import work_dir
 from tidemark.sources.changelog import decode, read_log_stream, row_changes
-from tidemark.streaming.job import start_divided, start_sync
+from tidemark.streaming.job import start_divided, start_new_tables, start_sync
 
 TABLES = ("test_d_0", "test_d_1", "test_d_2", "test_d_3")
 
@@ -93,7 +93,7 @@ def w13_current_state_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w01_upsert_batches", PT_ALL)
 def w01_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = Target(spark, work_dir(spark, "w01")).create(schema(), buckets=8)
+    target = Target(spark, work_dir(spark, "w01")).create(schema(), buckets=8, merge=ON_READ)
     for number, part in enumerate(slices(event_log(spark, sf_dir), 3)):
         target.upsert(to_row_kinds(_only_all(row_changes(decode(part))), projection()), ("w01", number))
     return target.read().select("k", "v1", "val")
@@ -143,7 +143,7 @@ def w04_bucket_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w07_partition_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored by day, in two batches: a row whose time changes leaves its old day."""
     folder = work_dir(spark, "w07")
-    target = Target(spark, f"{folder}/target").create(schema(day=True), buckets=2, day="dt")
+    target = Target(spark, f"{folder}/target").create(schema(day=True), buckets=2, day="dt", merge=ON_READ)
     event_log(spark, sf_dir, "full").write.parquet(f"{folder}/log")
     for number, part in enumerate(slices(spark.read.parquet(f"{folder}/log"), 2)):
         target.upsert(to_row_kinds(_only_all(row_changes(decode(part))), projection(day=True)), ("w07", number))
@@ -152,18 +152,39 @@ def w07_partition_move(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w07_move_without_before_image", PT_ALL_DT)
 def w07_move_without_before_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log has keys only in its before images: old days are looked up in the target."""
-    target = Target(spark, work_dir(spark, "w07k")).create(schema(day=True), buckets=2, day="dt")
+    """The log has keys only in its before images: a key's rows of all days are merged, and the latest one's day holds."""
+    target = Target(spark, work_dir(spark, "w07k")).create(schema(day=True), buckets=2, day="dt", merge=ON_READ)
     for number, part in enumerate(slices(event_log(spark, sf_dir), 2)):
         rows = to_row_kinds(_only_all(row_changes(decode(part))), projection(day=True))
         target.upsert(rows, ("w07k", number), locate_moves=True)
     return target.read().select("k", "v1", "val", "dt")
 
 
+@query("w01_merge_on_write", PT_ALL_DT)
+def w01_merge_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that rewrite the cells they touch, and look up the old day of a key in the target."""
+    target = Target(spark, work_dir(spark, "w01w")).create(schema(day=True), buckets=2, day="dt", merge=ON_WRITE)
+    for number, part in enumerate(slices(event_log(spark, sf_dir), 2)):
+        rows = to_row_kinds(_only_all(row_changes(decode(part))), projection(day=True))
+        target.upsert(rows, ("w01w", number), locate_moves=True)
+    return target.read().select("k", "v1", "val", "dt")
+
+
+@query("w12_folded_read", PT_ALL_DT)
+def w12_folded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, folded into one write after the second: readers see the same rows."""
+    target = Target(spark, work_dir(spark, "w12")).create(schema(day=True), buckets=2, day="dt", merge=ON_READ)
+    for number, part in enumerate(slices(event_log(spark, sf_dir, "full"), 3)):
+        target.upsert(to_row_kinds(_only_all(row_changes(decode(part))), projection(day=True)), ("w12", number))
+        if number == 1:
+            target.fold()
+    return target.read().select("k", "v1", "val", "dt")
+
+
 @query("w08_replayed_batch", PT_ALL)
 def w08_replayed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch that is delivered twice counts once, even when it comes after a later one."""
-    target = Target(spark, work_dir(spark, "w08")).create(schema(), buckets=4)
+    target = Target(spark, work_dir(spark, "w08")).create(schema(), buckets=4, merge=ON_READ)
     first, second = slices(event_log(spark, sf_dir), 2)
     for number, part in ((0, first), (1, second), (0, first)):
         target.upsert(to_row_kinds(_only_all(row_changes(decode(part))), projection()), ("w08", number))
@@ -173,12 +194,36 @@ def w08_replayed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("t05_late_changes", PT_ALL)
 def t05_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches out of order: the target keeps positions and ignores changes older than what it holds."""
-    target = Target(spark, work_dir(spark, "t05")).create(schema(), buckets=4, keep_positions=True)
+    target = Target(spark, work_dir(spark, "t05")).create(schema(), buckets=4, keep_positions=True, merge=ON_READ)
     for part in reversed(slices(event_log(spark, sf_dir), 3)):
         target.upsert(to_row_kinds(_only_all(row_changes(decode(part))), projection()))
     return target.read().select("k", "v1", "val")
 
 
+@query("t05_bounded_memory", f"""WITH {LOG}, cut AS (SELECT max(event_id) AS last FROM log),
+    last_of AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY event_id DESC) AS rn FROM log WHERE tbl LIKE 'test_d_%') WHERE rn = 1)
+    SELECT k, CASE WHEN NOT gone THEN v1 END AS v1, gone AS deleted FROM last_of, cut
+    WHERE NOT gone OR file_no > 1 + (last // 2) // 4000 OR (file_no = 1 + (last // 2) // 4000 AND pos >= 4 + ((last // 2) % 4000) // 2)""")
+def t05_bounded_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A horizon at the middle of the log: deletes older than it are forgotten, and changes older than it that come once
+    more do nothing, so deleted rows stay deleted."""
+    log = event_log(spark, sf_dir)
+    target = Target(spark, work_dir(spark, "t05h")).create(schema(), buckets=4, keep_positions=True, merge=ON_READ)
+    parts = slices(log, 4)
+
+    def apply(part: DataFrame) -> None:
+        target.upsert(to_row_kinds(_only_all(row_changes(decode(part))), projection()))
+
+    for k in (0, 2, 1, 3):
+        apply(parts[k])
+    middle = (log.agg(F.max("event_id")).first()[0] or 0) // 2
+    target.fold(horizon=(1 + middle // EVENTS_PER_FILE, 4 + middle % EVENTS_PER_FILE // 2))
+    apply(parts[0])  # far too late
+    apply(parts[3])  # late but within the horizon
+    alive = target.read().select("k", "v1", F.lit(False).alias("deleted"))
+    return alive.unionByName(target.deletes().select("k", F.lit(None).cast("string").alias("v1"), F.lit(True).alias("deleted")))
+
+
 @query("c09_evolved_read", f"""WITH {LOG}, {LIVE}, cut AS (SELECT max(event_id) * 95 // 100 AS c FROM log)
     SELECT k, v1, val, CASE WHEN event_id > c THEN v1 || '_x' END AS v3, CASE WHEN event_id > c THEN k * 3000000000 END AS n
     FROM live, cut WHERE tbl LIKE 'test_d_%'""")
@@ -191,7 +236,7 @@ def c09_evolved_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.regexp_replace("value", r'"v1":"([a-z]*)"', r'"v1":"$1","v3":"$1_x"')
     k = F.regexp_extract("value", r'"k":(\d+)', 1).cast("bigint")
     text = F.regexp_replace(text, F.lit('"v3"'), F.concat(F.lit('"n":'), (k * 3000000000).cast("string"), F.lit(',"v3"')))
-    target = Target(spark, work_dir(spark, "c09")).create(schema(), buckets=4)
+    target = Target(spark, work_dir(spark, "c09")).create(schema(), buckets=4, merge=ON_READ)
     target.evolve([Field("n", T.IntegerType(), True, "int")])
 
     def apply(part: DataFrame, number: int) -> None:
@@ -205,6 +250,53 @@ def c09_evolved_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read().select("k", "v1", "val", "v3", "n")
 
 
+WIDE = [Field("k", T.LongType(), False), Field("n", T.DecimalType(25, 2)), Field("x", T.DoubleType()), Field("f", T.DoubleType()), Field("at", T.TimestampNTZType())]
+NARROW = [Field("k", T.LongType(), False), Field("n", T.IntegerType()), Field("x", T.IntegerType()), Field("f", T.FloatType()), Field("at", T.DateType())]
+
+
+@query("c10_widen_across_families", """SELECT o_orderkey AS k,
+      CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) || '.00' ELSE CAST(o_custkey::HUGEINT * 1000000000000 AS VARCHAR) || '.25' END AS n,
+      CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS DOUBLE) ELSE o_totalprice END AS x,
+      CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) ELSE o_totalprice END AS f,
+      strftime(CASE WHEN o_orderkey % 2 = 0 THEN date_trunc('day', o_orderdate) ELSE o_orderdate + INTERVAL 90 MINUTE END, '%Y-%m-%d %H:%M:%S') AS at
+    FROM orders""")
+def c10_widen_across_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INT becomes DECIMAL and DOUBLE, FLOAT becomes DOUBLE, DATE becomes a time. Old files stay as they are and are read
+    under the wider types beside new ones."""
+    target = Target(spark, work_dir(spark, "c10")).create(TableSchema(NARROW, ["k"]), buckets=4, merge=ON_READ)
+    orders = table(spark, sf_dir, "orders")
+
+    def apply(part: DataFrame, **columns: str) -> None:
+        rows = part.select(F.col("o_orderkey").alias("k"), *[F.expr(e).alias(c) for c, e in columns.items()], F.lit("U").alias("_kind"),
+                           F.lit(1).cast("bigint").alias("_file_no"), F.col("o_orderkey").alias("_pos"), F.lit(0).alias("_row"), F.lit(1).alias("_seq"))
+        target.upsert(rows)
+
+    apply(orders.where("o_orderkey % 2 = 0"), n="cast(o_custkey as int)", x="cast(o_orderkey as int)", f="cast(o_totalprice as float)", at="cast(o_orderdate as date)")
+    target.evolve(WIDE)
+    apply(orders.where("o_orderkey % 2 = 1"), n="cast(o_custkey * 1000000000000L + 0.25bd as decimal(25,2))", x="o_totalprice", f="o_totalprice",
+          at="cast(o_orderdate as timestamp_ntz) + interval 90 minutes")
+    return target.read().select("k", F.col("n").cast("string"), "x", "f", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query("f08_dropped_by_filter", f"""WITH {LOG} SELECT DISTINCT db, tbl FROM log WHERE tbl LIKE 'other_%'""")
+def f08_dropped_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables whose changes no pair takes, told by the batch that drops them."""
+    report = plan(spark, work_dir(spark, "f08")).run_batch(event_log(spark, sf_dir, "full"))
+    return spark.createDataFrame(report.unrouted, "db string, tbl string")
+
+
+@query("f10_new_tables_of_a_stream", f"""WITH {LOG} SELECT db, tbl, count(DISTINCT db) AS told,
+      (CASE WHEN tbl = 'test_d_1' THEN 1 ELSE 0 END) + (CASE WHEN tbl LIKE 'test_d_%' THEN 2 ELSE 0 END) AS targets FROM log GROUP BY db, tbl""")
+def f10_new_tables_of_a_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source table is told once, though the stream stops and starts again in between."""
+    folder = work_dir(spark, "f10")
+    event_log(spark, sf_dir).write.parquet(f"{folder}/source")
+    for part in slices(spark.read.parquet(f"{folder}/source"), 2):
+        _write_log([part], f"{folder}/log")
+        start_new_tables(read_log_stream(spark, f"{folder}/log"), ROUTES, f"{folder}/checkpoint", f"{folder}/new", None).awaitTermination()
+    return spark.read.parquet(f"{folder}/new").groupBy("db", "tbl").agg(F.count("*").alias("told"), F.max(F.size("targets")).alias("targets"))
+
+
 def _write_log(parts: list[DataFrame], folder: str) -> None:
     for part in parts:
         part.select("value").write.mode("append").text(folder)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.routing import whole_match
@@ -122,12 +122,25 @@ def schema_changes(decoded: DataFrame) -> DataFrame:
     )
 
 
-def source_filter(changes: DataFrame, database: str, tables: Sequence[str] | None = None) -> DataFrame:
-    """R-06: keep entries of the databases and tables that the regexes name. Schema changes of a whole
-    database carry no table name and stay."""
+def of_sources(database: str, tables: Sequence[str] | None = None) -> Column:
+    """R-06: is an entry of the databases and tables that the regexes name? Schema changes of a whole database carry no
+    table name and are."""
     keep = whole_match("db", database)
     if tables:
         # One alternation of the distinct patterns: one match per row, however many pairs there are.
         named = "|".join(f"(?:{p})" for p in dict.fromkeys(tables))
         keep = keep & (F.col("tbl").isNull() | whole_match("tbl", named))
-    return changes.where(keep)
+    return keep
+
+
+def source_filter(changes: DataFrame, database: str, tables: Sequence[str] | None = None) -> DataFrame:
+    """R-06: keep entries of the databases and tables that the regexes name."""
+    return changes.where(of_sources(database, tables))
+
+
+def watched_filter(decoded: DataFrame, keep: Column, watch: Observation) -> DataFrame:
+    """F-08: a filter that tells, from the pass that runs anyway, the names of the tables whose changes it drops."""
+    name = F.struct("db", "tbl")
+    lost = F.when(~F.col("_keep") & F.col("history").isNull(), name)
+    marked = decoded.withColumn("_keep", F.coalesce(keep, F.lit(False))).observe(watch, F.collect_set(lost).alias("dropped"))
+    return marked.where("_keep").drop("_keep")

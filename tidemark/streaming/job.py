@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.routing import Route, matched_targets
 from tidemark.plans.sync import BatchReport, SyncPlan
+from tidemark.sources.changelog import decode, row_changes
 from tidemark.sources.offsets import Start
 
 
@@ -51,5 +54,16 @@ def start_divided(
     plan: SyncPlan, log: DataFrame, checkpoint: str, interval: str | None = "10 seconds", start: Start | None = None
 ) -> StreamingQuery:
     """W-03: a writer for every target, all fed from one read of the log."""
-    plan.writers = max(len(plan.targets), 1)
-    return start_sync(plan, log, checkpoint, "divided", interval, start)
+    return start_sync(replace(plan, writers=max(len(plan.targets), 1)), log, checkpoint, "divided", interval, start)
+
+
+def start_new_tables(
+    log: DataFrame, routes: Sequence[Route], checkpoint: str, path: str, interval: str | None = "10 seconds"
+) -> StreamingQuery:
+    """F-10: a row in the Parquet table at ``path`` for each source table when its first change comes, with the targets it
+    is routed to. The names seen are kept in the stream's state store, so a restart from the checkpoint tells none twice."""
+    names = row_changes(decode(log)).select("db", "tbl", "file_no", "pos", "ts_ms")
+    new = names.dropDuplicates(["db", "tbl"]).withColumn("targets", matched_targets(routes))
+    writer = new.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    return writer.trigger(**trigger).start()
