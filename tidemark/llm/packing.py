@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 POOL = 2048  # examples to choose from
 CHARACTERS = 1 << 20  # of texts that are encoded together
-CACHE = 400_000  # slices kept encoded
+CACHE = 400_000  # slices of a generation
 LONGEST = 64  # characters of a slice that is kept
 END = bytes(4)  # the id 0
 
@@ -138,37 +139,82 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others in order
+    from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts as little-endian unsigned 32-bit integers. Slices that follow a blank are kept in two generations: when
+    the younger one is full it becomes the older, and what is met again moves back."""
 
     AFTER_WHITE = re.compile(r"\s ")
     SAFE_BLANK = re.compile(r"(?<=\S) ")
+    #: Words and marks, of one line or two: letters, marks and a line feed are tokens apart.
+    SIMPLE = re.compile(r"([^\W\d_]+)([.,;:!?]*)(?:\n([^\W\d_]+)([.,;:!?]*))?")
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
-        self.kept: dict[str, bytes] = {}
+        if self.tokenizer.normalizer is not None or not repr(self.tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False"):
+            raise ValueError(f"{path} is no byte-level tokenizer whose pre-tokens can be cut at blanks")
+        self.model = self.tokenizer.model
+        self.young: dict[str | None, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def slices(self, text: str) -> list[str]:
         """The text up to the first blank that follows other than white space, then what follows each of these blanks."""
         return self.SAFE_BLANK.split(text) if self.AFTER_WHITE.search(text) else text.split(" ")
 
-    def encode(self, slices: list[str]) -> Iterator[bytes]:
-        for ids in self.tokenizer.encode_batch(slices, add_special_tokens=False):
-            yield np.array(ids.ids, dtype="<u4").tobytes()
+    def encode(self, slices: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(slices, add_special_tokens=False)]
+
+    def _part(self, key: str, text: str) -> bytes:
+        """Ids of one pre-token, by the tokenizer's merges alone."""
+        if (ids := self.young.get(key)) is None:
+            if (ids := self.old.get(key)) is None:
+                tokens = self.model.tokenize(text.encode().decode("latin1").translate(BYTE_CHARACTERS))
+                ids = array("I", [t.id for t in tokens]).tobytes()
+            self.young[key] = ids
+        return ids
+
+    def _learn(self, new: list[str]) -> None:
+        """Put slices into the younger generation. Keys that begin with a line feed are parts that follow no blank."""
+        rest = []
+        for s in new:
+            if (ids := self.old.get(s)) is not None:
+                self.young[s] = ids
+            elif s.isalpha():
+                self._part(s, " " + s)
+            elif (m := self.SIMPLE.fullmatch(s)) and m[1].isalpha() and (m[3] is None or m[3].isalpha()):
+                ids = self._part(m[1], " " + m[1])
+                for part in m.groups()[1:] if m[3] is None else (m[2], "\n", m[3], m[4]):
+                    ids += self._part("\n" + part, part) if part else b""
+                self.young[s] = ids
+            else:
+                rest.append(s)
+        self.young.update(zip(rest, self.encode([" " + s for s in rest])))
 
     def batch(self, texts: list[str]) -> list[bytes]:
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
         cut = [self.slices(text) for text in texts]
-        distinct = set().union(*(s[1:] for s in cut))
-        new = sorted(distinct.difference(self.kept))
-        if len(self.kept) + len(new) > CACHE:
-            self.kept, new = {}, sorted(distinct)
-        ids = dict(zip(new, self.encode([" " + s for s in new])))
-        long = {s: b for s, b in ids.items() if len(s) > LONGEST}
-        self.kept.update((s, b) for s, b in ids.items() if s not in long)
         heads = self.encode([s[0] for s in cut])
-        if long:
-            return [head + b"".join([long.get(s) or self.kept[s] for s in own[1:]]) for head, own in zip(heads, cut)]
-        return [head + b"".join(map(self.kept.__getitem__, own[1:])) for head, own in zip(heads, cut)]
+        for own in cut:
+            own[0] = None
+        new = set().union(*cut).difference(self.young, (None,))
+        self._learn(list(new))
+        self.young[None] = b""  # in the heads' places
+        ids = [head + b"".join(map(self.young.__getitem__, own)) for head, own in zip(heads, cut)]
+        for s in new:
+            if len(s) > LONGEST:
+                del self.young[s]
+        return ids
 
 
 _encoders: dict[str, Encoder] = {}  # of this worker, with their caches
