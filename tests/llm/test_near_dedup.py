@@ -3,9 +3,11 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import union_find
-from tidemark.llm import linking, near_dedup
+from tidemark.llm import chosen_path, linking, near_dedup
 
 SCHEMA = "doc_id bigint, text string, key int, component string, n int"
 
@@ -62,7 +64,8 @@ def test_judge_equals_brute_force(spark, words):
 
 
 def test_large_nodes_branch_without_losing_links(spark, words, monkeypatch):
-    monkeypatch.setattr(linking, "SMALL", 2)
+    for module in (linking, chosen_path):
+        monkeypatch.setattr(module, "SMALL", 2)
     rows = corpus(words, 7)
     got = [tuple(r)[:4] for r in near_dedup.judge(frame(spark, rows)).collect()]
     assert sorted(got, key=str) == brute(rows)
@@ -94,9 +97,54 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
     assert np.array_equal(whole, near_dedup.word_hashes(data)) and len(whole) == 1500
 
 
-def test_no_level_loses_more_than_a_thousandth_at_the_threshold():
+def test_pairs_at_the_threshold_meet_on_every_level(spark):
+    """Pairs of signatures that agree with probability 0.8, pushed down the trees as if every node were large and torn."""
     rng = np.random.default_rng(1)
-    for percent in (80, 85):
-        same = rng.random((100_000, near_dedup.VALUES)) < percent / 100
-        for level in near_dedup.levels(percent):
-            assert (~np.any([same[:, list(at)].all(1) for at in level], axis=0)).mean() < 0.001
+    pairs, rows = 1500, []
+    for i in range(pairs):
+        a, b = rng.integers(-(1 << 31), 1 << 31, (2, near_dedup.VALUES))
+        b = np.where(rng.random(near_dedup.VALUES) < 0.8, a, b)
+        rows += [(2 * i, 100, a.tolist()), (2 * i + 1, 100, b.tolist())]
+    join = near_dedup.Join.__new__(near_dedup.Join)
+    join.percent, join.classes = 80, spark.createDataFrame(rows, "key bigint, n bigint, sig array<int>")
+
+    def met(nodes):
+        assert nodes.groupBy("path").agg(F.countDistinct(F.floor(F.col("key") / 2)).alias("n")).where("n > 1").count() == 0
+        return nodes.select(F.floor(F.col("key") / 2)).distinct().count() / pairs
+
+    nodes = join.roots()
+    for level in range(len(chosen_path.BRANCHES) + 1):
+        if level:
+            nodes = join.children(level, nodes.withColumn("component", F.col("key")))
+        assert met(nodes) >= 0.998 and chosen_path.recall(0.8, level) > 0.9999
+    assert chosen_path.recall(0.3) < 0.1
+
+
+def test_a_child_extends_its_parents_path(spark):
+    """Classes that agree in everything but are in different nodes never meet below them."""
+    sig = list(range(near_dedup.VALUES))
+    join = near_dedup.Join.__new__(near_dedup.Join)
+    join.percent, join.classes = 85, spark.createDataFrame([(k, 50, sig) for k in (1, 2, 3)], "key bigint, n bigint, sig array<int>")
+    torn = spark.createDataFrame([(1, 1, 7), (2, 2, 7), (2, 2, 8), (3, 3, 8)], "key bigint, component bigint, path bigint")
+    together = join.children(1, torn).groupBy("path").agg(F.sort_array(F.collect_set("key")).alias("keys")).select("keys").distinct()
+    assert sorted(r["keys"] for r in together.collect()) == [[1, 2], [2, 3]]
+
+
+def test_slices_of_sets(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(str(rng.random()) for _ in range(n)) for n in (3, 516, 517, 700, 5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts])], ["data"])
+    rows = [r for b in near_dedup._slices(80, iter([batch])) for r in b.to_pylist()]
+    for t in texts:
+        whole = near_dedup.shingles(t.encode()).view(np.int64)
+        mine = [r for r in rows if r["n"] == len(whole)]
+        for level in {r["level"] for r in mine}:
+            parts = [r["items"] for r in mine if r["level"] == level]
+            assert sorted(sum(parts, [])) == sorted(whole.tolist()) and max(map(len, parts)) <= 1.4 * near_dedup.SLICE
+        assert {r["level"] for r in mine} == {near_dedup.cut_level(len(whole)), near_dedup.cut_level(len(whole) * 100 // 80)}
+
+
+def test_the_cut_is_the_same_in_tasks_and_columns(spark):
+    ns = [1, 2, 511, 512, 513, 1024, 1025, 2048, 2049, 10**6, 10**9]
+    df = spark.createDataFrame([(n,) for n in ns], "n bigint")
+    assert {r.n: r["x"] for r in df.select("n", near_dedup._cut_level(F.col("n")).alias("x")).collect()} == {n: near_dedup.cut_level(n) for n in ns}

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +30,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a :func:`stored` table when its last reader is done."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def give_back() -> None:
+    """Return what a Python worker has freed to the machine: workers wait for later stages with all that they hold."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries keep what they like
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Hint a broadcast where the counted rows of ``df`` are few; give ``df`` as it is otherwise."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
@@ -74,14 +92,18 @@ def components(edges: DataFrame, name: str, a: str = "a", b: str = "b") -> DataF
     """
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     edges = edges.select(u, v).where("u <> v")
-    for turn in range(64):
+    turn = 0
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         large = large.where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), f"{name}-{turn}")
+        before, edges = edges, stored(hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), f"{name}-{turn}")
+        if turn:
+            discard(before)
+        turn += 1
         if _are_stars(edges):
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

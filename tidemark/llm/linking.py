@@ -39,7 +39,8 @@ class Linking:
     def prefixes(self, classes: DataFrame) -> DataFrame:
         """Nodes of the exact join: the items in as many of a set's rarest as no set that links can do without."""
         sets = stored(self.sets(classes.select("key"), "rest"), f"{self.name}-rest-sets")
-        each = sets.select("key", F.size("items").alias("size"), F.explode("items").alias("path"))
+        size = F.col("n") if "n" in sets.columns else F.size("items")  # sets in slices come with their whole size
+        each = sets.select("key", size.cast("int").alias("size"), F.explode("items").alias("path"))
         counts = stored(each.groupBy("path").agg(F.count("*").alias("often")).where("often > 1"), f"{self.name}-rest-counts")
         own = Window.partitionBy("key")
         # Items of one set only come first in the order, but make no node.

@@ -1,17 +1,17 @@
-"""MinHash near-dedup by banding with escalation.
+"""MinHash near-dedup: a chosen-path set similarity join.
 
 A document's set is its distinct five-word shingles, or its whole word sequence if it has fewer words. Documents of one
-set form a class, and only classes are joined. Classes that agree on the minwise values of a band are in one node of it.
-The bands of a level do not extend those of the level before, as the paths of a recursive chosen-path join would.
-Small nodes are compared exhaustively; a large node is compared
-with its hub, and its classes then go on to longer bands. A large node whose classes are all connected by then needs no more
-comparing, so a group of thousands of near copies costs one comparison a member and not one a pair. Every link is
-confirmed on full sets, after bounds on sizes and on the agreement of 96 minwise values have cut what cannot link.
-
-Recall: a pair at the threshold shares a node of the first level in all but 0.15^16 of cases (at 0.85); a pair that only
-meets in large nodes meets again in all but 0.0005 of cases at the second level, where nodes are also split by size into
-overlapping steps. What is still large after it goes through an exact join on the rarest shingles, which loses no pair;
-what stays large there is compared exhaustively across components, so nothing is capped.
+set form a class, and only classes are joined, recursively by chosen minwise tokens in independent trees (see
+``chosen_path``). Small nodes are compared exhaustively; a large one is compared with its hub and branches on only while its
+classes are not all connected, so a group of thousands of near copies costs one comparison a member and not one a pair.
+Every link is confirmed on full sets, after bounds on sizes and on the agreement of 96 minwise values have cut what cannot
+link. Full sets are cut into slices by hash range, and the intersections of slices are summed for each pair, so no row
+grows with a document.
+
+Recall at the threshold: a pair meets in one of eight roots in all but 3e-7 of cases (at 0.85; 3e-6 at 0.8). If all its
+nodes are large and torn on every level, it is lost with 2e-6 (4e-5). The agreement asked for ahead of the exact test is five
+standard deviations below the mean. What is still large below the last level goes through an exact join on the rarest shingles,
+which loses no pair; what stays large there is compared exhaustively across components, so nothing is capped.
 
 A NULL text counts as empty; without words a document has an empty set and links with nothing. Repeated rows, also with
 one id for different texts, are told apart by their sets. A NULL id is never the smallest of a component with another
@@ -23,21 +23,23 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import partial
 from math import floor, sqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_rows, small, stored
-from tidemark.llm.linking import Linking, agreement
+from tidemark.llm.chosen_path import ChosenPaths
+from tidemark.llm.common import discard, drop_rows, give_back, small, stored
+from tidemark.llm.linking import agreement
 
 WORDS = 5
 VALUES = 96
 _rng = np.random.default_rng(85)
-LOSS = 0.001  # of the pairs at the threshold, on one level at most
+SLICE = 512  # items of a slice, about
 SEGMENT = 4 << 20
 
 _MUL = _rng.integers(0, 1 << 32, VALUES, np.uint32) | np.uint32(1)
@@ -46,16 +48,6 @@ _ROLL = _rng.integers(0, 1 << 63, WORDS, np.uint64) | np.uint64(1)
 _BLANK = re.compile(rb"[ \t-\r]")
 
 
-def levels(percent: int) -> list[list[tuple[int, ...]]]:
-    """The minwise values on each branch of each level: 16 branches of one, then disjoint ones as long as LOSS allows.
-
-    At 85 percent these are 16 of six (0.0005 lost), at 80 percent 19 of five (0.0005)."""
-    like = percent / 100
-    fits = [d for d in range(1, VALUES) if (1 - like**d) ** (VALUES // d) <= LOSS]
-    deep = max(fits, default=1)
-    return [[tuple(range(b * d, b * d + d)) for b in range(n)] for n, d in ((16, 1), (VALUES // deep, deep))]
-
-
 def agree(percent: int) -> int:
     """In how many minwise values a pair must agree: five standard deviations below the mean at the threshold."""
     like = percent / 100
@@ -104,8 +96,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(batch), 2000):
             part = batch.slice(at, 2000)
             sizes, keys, sigs = [], [], []
-            for data in part.column(2).to_pylist():
-                hashes = shingles(data)
+            for data in part.column(2):  # one text at a time
+                hashes = shingles(data.as_py())
                 sizes.append(len(hashes))
                 keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
                 sigs.append(minwise(hashes))
@@ -114,69 +106,98 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (values.view(np.int32), (values & 255).astype(np.uint8).view(np.int8))]
             columns = [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), *lists]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tid", "n", "key", "sig", "brief"])
+    give_back()
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """data -> key, items"""
-    for batch in batches:
-        keys, items, size = [], [], 0
-        for data in batch.column(0).to_pylist():
-            hashes = shingles(data)
-            if not len(hashes):
-                continue
-            keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-            items.append(hashes.view(np.int64))
-            size += len(hashes)
-            if size > 1 << 20:
-                yield _lists(keys, items)
-                keys, items, size = [], [], 0
-        if keys:
-            yield _lists(keys, items)
+def cut_level(n: int) -> int:
+    """How often hash ranges are halved for sets of up to ``n`` items, so that a slice has about SLICE of them."""
+    return ((n - 1) // SLICE).bit_length()
+
 
+def _cut_level(n: Column) -> Column:
+    return F.when(n <= SLICE, 0).otherwise(F.length(F.bin(F.floor((n - 1) / SLICE).cast("bigint"))))
 
-def _lists(keys: list[bytes], items: list[np.ndarray]) -> pa.RecordBatch:
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in items])]).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(items)))
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), lists], ["key", "items"])
 
+def _slices(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """data -> key, n, level, slice, items; a set is cut as finely as any set needs that it can link with"""
+    names = ["key", "n", "level", "slice", "items"]
 
-class Join(Linking):
+    def made() -> pa.RecordBatch:
+        offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in items])]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(items)))
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.binary(), pa.int64(), pa.int32(), pa.int64()))]
+        return pa.RecordBatch.from_arrays([*columns, lists], names)
+
+    rows, items, size = [], [], 0
+    for batch in batches:
+        for data in batch.column(0):
+            hashes = shingles(data.as_py())
+            n = len(hashes)
+            if not n:
+                continue
+            key = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+            for level in sorted({cut_level(n), cut_level(n * 100 // percent)}):
+                which = hashes >> np.uint64(64 - level) if level else np.zeros(n, np.uint64)
+                starts = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
+                for a, b in zip(starts.tolist(), [*starts[1:].tolist(), n]):
+                    rows.append((key, n, level, int(which[a])))
+                    items.append(hashes[a:b].view(np.int64))
+                    size += b - a
+                    if size > 1 << 18:
+                        yield made()
+                        rows, items, size = [], [], 0
+    if rows:
+        yield made()
+    give_back()
+
+
+class Join(ChosenPaths):
     """One run of the join over a table."""
 
-    name = "near"
+    name, values = "near", VALUES
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, percent: int):
-        self.percent, self.shrink, self.levels = percent, percent / 100, levels(percent)
+        self.percent = percent
         text = F.coalesce(docs[text_col], F.lit(""))
-        self.texts = docs.select(F.xxhash64(text).alias("tid"), text.cast("binary").alias("data"))
-        kind = docs.schema[id_col].dataType.simpleString()
         given = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("data"))
+        self.texts = given
+        kind = docs.schema[id_col].dataType.simpleString()
         schema = f"doc_id {kind}, tid bigint, n bigint, key binary, sig array<int>, brief array<tinyint>"
         self.rows = stored(given.mapInArrow(_sketch, schema), "near-rows")
         grouped = self.rows.where("key is not null").groupBy("key").agg(
-            F.min("doc_id").alias("least_id"), F.min("tid").alias("tid"), F.first("n").alias("n"),
+            F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "tid")).alias("at"), F.first("n").alias("n"),
             F.first("sig").alias("sig"), F.first("brief").alias("brief"))
         self.classes = stored(grouped, "near-classes")
 
     def sets(self, wanted: DataFrame, name: str) -> DataFrame:
-        return self._sets_of(self.classes.join(small(wanted), "key", "left_semi").select("tid"), name)
-
-    def _sets_of(self, tids: DataFrame, name: str) -> DataFrame:
-        tids = stored(tids.distinct(), f"near-wanted-{name}")
-        data = self.texts.join(small(tids), "tid", "left_semi").select("data")
-        return data.mapInArrow(_sets, "key binary, items array<bigint>").dropDuplicates(["key"])
+        """Whole sets, in slices of one level each: ``key``, ``n``, ``items``."""
+        slices = self.slices(self.classes.join(small(wanted), "key", "left_semi").select("at"), name)
+        return slices.where(F.col("level") == _cut_level(F.col("n"))).select("key", "n", "items")
+
+    def slices(self, places: DataFrame, name: str) -> DataFrame:
+        """The sets of the rows at ``places`` (id and text hash), cut into slices."""
+        places = stored(places.distinct().select(F.col("at.doc_id").alias("id"), F.col("at.tid").alias("hash")), f"near-wanted-{name}")
+        on = self.texts["doc_id"].eqNullSafe(places["id"]) & (self.texts["tid"] == places["hash"])
+        data = self.texts.join(small(places), on, "left_semi").select("data")
+        schema = "key binary, n bigint, level int, slice bigint, items array<bigint>"
+        cut = data.mapInArrow(partial(_slices, self.percent), schema)
+        return cut.dropDuplicates(["key", "level", "slice"])  # of repeated rows
 
     def confirm(self, pairs: DataFrame, name: str) -> DataFrame:
         """Links among the pairs, on full sets."""
-        a, b = (self.classes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "tid", "brief")]) for x in "ab")
+        a, b = (self.classes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "at", "brief")]) for x in "ab")
         fit = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
         both = pairs.join(a, F.col("a") == F.col("key_a")).join(b, (F.col("b") == F.col("key_b")) & fit)
-        likely = stored(both.where(agreement("brief_a", "brief_b") >= agree(self.percent)).select("a", "b", "tid_a", "tid_b"), f"near-likely-{name}")
-        sets = self._sets_of(likely.select(F.explode(F.array("tid_a", "tid_b")).alias("tid")), name)
-        a, b = (sets.select(F.col("key").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab")
-        both = likely.select("a", "b").join(a, "a").join(b, "b")
-        met = both.select("a", "b", F.size(F.array_intersect("items_a", "items_b")).alias("met"), (F.size("items_a") + F.size("items_b")).alias("sum"))
-        return stored(met.where(F.expr(f"100 * met >= {self.percent} * (sum - met)")).select("a", "b"), f"near-links-{name}")
+        level = _cut_level(F.greatest("n_a", "n_b")).alias("level")
+        likely = both.where(agreement("brief_a", "brief_b") >= agree(self.percent)).select("a", "b", "at_a", "at_b", (F.col("n_a") + F.col("n_b")).alias("sum"), level)
+        likely = stored(likely, f"near-likely-{name}")
+        cut = stored(self.slices(likely.select(F.explode(F.array("at_a", "at_b")).alias("at")), name), f"near-slices-{name}")
+        a, b = (cut.select(F.col("key").alias(x), "level", "slice", F.col("items").alias(f"items_{x}")) for x in "ab")
+        both = likely.select("a", "b", "sum", "level").join(a, ["a", "level"]).join(b, ["b", "level", "slice"])
+        met = both.groupBy("a", "b", "sum").agg(F.sum(F.size(F.array_intersect("items_a", "items_b"))).alias("met"))
+        links = stored(met.where(F.expr(f"100 * met >= {self.percent} * (sum - met)")).select("a", "b"), f"near-links-{name}")
+        discard(cut)
+        return links
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
