@@ -65,7 +65,7 @@ def test_small_caches_and_groups_change_nothing(words):
     encoder = packing.Encoder(PATH)
     all_texts = [t or "" for t in texts(words)]
     wanted = [np.array(ids_of(t)[:-1], dtype="<u4").tobytes() for t in all_texts]
-    assert encoder.batch(all_texts) == wanted
+    assert list(encoder.batch(all_texts)) == wanted
     old, packing.CACHE = packing.CACHE, 50
     try:
         encoder = packing.Encoder(PATH)

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-POOL = 2048  # examples to choose from
+POOL = 1024  # examples to choose from
 CHARACTERS = 1 << 20  # of texts that are encoded together
 CACHE = 400_000  # slices of a generation
 LONGEST = 64  # characters of a slice that is kept
@@ -58,10 +58,9 @@ class Packer:
 
     def __init__(self, limits: Limits, cut: bool) -> None:
         self.limits, self.cut = limits, cut
-        self.whole = np.array([limits.tokens, limits.segments, limits.loss], dtype=np.float64)
         self.size = 0
         self.what: list[tuple[object, int]] = [(None, 0)] * (2 * POOL)  # the example, and where its rest starts
-        self.need = np.zeros((2 * POOL, 3), dtype=np.int64)
+        self.tokens, self.loss = np.zeros(2 * POOL), np.zeros(2 * POOL)  # each has one segment
 
     def add(self, example: object, tokens: int, loss: int) -> Iterator[list[tuple[object, int, int]]]:
         self._put(example, 0, tokens, min(loss, tokens))
@@ -76,32 +75,37 @@ class Packer:
     def _put(self, example: object, start: int, tokens: int, loss: int) -> None:
         if self.size == len(self.what):
             self.what += [(None, 0)] * self.size
-            self.need = np.concatenate([self.need, np.zeros_like(self.need)])
+            self.tokens, self.loss = (np.concatenate([x, np.zeros_like(x)]) for x in (self.tokens, self.loss))
         self.what[self.size] = (example, start)
-        self.need[self.size] = tokens, 1, loss
+        self.tokens[self.size], self.loss[self.size] = tokens, loss
         self.size += 1
 
     def _take(self, k: int) -> tuple[object, int, int, int]:
-        (example, start), (tokens, _, loss) = self.what[k], self.need[k].tolist()
+        (example, start), tokens, loss = self.what[k], int(self.tokens[k]), int(self.loss[k])
         self.size -= 1
-        self.what[k], self.need[k] = self.what[self.size], self.need[self.size]
+        for x in (self.what, self.tokens, self.loss):
+            x[k] = x[self.size]
         self.what[self.size] = (None, 0)
         return example, start, tokens, loss
 
     def _sequence(self) -> list[tuple[object, int, int]]:
-        left = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], dtype=np.int64)
-        weights = self.need[:self.size].mean(axis=0) / self.whole ** 2  # of demands and room as shares of the limits
+        limits = self.limits
+        room, segments, loss_room = limits.tokens, limits.segments, limits.loss
+        # Weights: mean demands over the pool. Demands and room count as shares of the limits.
+        by_tokens = self.tokens[:self.size].mean() / limits.tokens**3
+        by_loss = self.loss[:self.size].mean() / limits.loss**3
+        by_segments = 1 / limits.segments**3
         taken: list[tuple[object, int, int, int]] = []
-        while self.size and left[0] > 0 and left[1] > 0:
-            need = self.need[:self.size]
-            product = need @ (weights * left)
-            product[(need > left).any(axis=1)] = -1.0
+        while self.size and room > 0 and segments > 0:
+            need, bears = self.tokens[:self.size], self.loss[:self.size]
+            product = need * (by_tokens * room) + bears * (by_loss * loss_room) + by_segments * segments
+            product[(need > room) | (bears > loss_room)] = -1.0
             k = int(product.argmax())
             if product[k] >= 0:
                 example, start, tokens, loss = self._take(k)
             elif self.cut:
                 # The head that fits: all of the room, or as much as has no more loss-bearing tokens than are left.
-                heads = np.minimum(need[:, 0] - 1, np.minimum(left[0], need[:, 0] - need[:, 2] + left[2]))
+                heads = np.minimum(need - 1, np.minimum(room, need - bears + loss_room))
                 k = int(heads.argmax())
                 head = int(heads[k])
                 if head <= 0:
@@ -115,9 +119,9 @@ class Packer:
             else:  # above a limit by itself
                 example, start, tokens, loss = self._take(0)
             taken.append((example, start, tokens, loss))
-            left -= np.array([tokens, 1, loss])
-        if self.cut and left[0] > 0:
-            over = self.limits.tokens - int(left[0])
+            room, segments, loss_room = room - tokens, segments - 1, loss_room - loss
+        if self.cut and room > 0:
+            over = limits.tokens - room
             over -= 1 << (over.bit_length() - 1)
             while over:
                 example, start, tokens, loss = taken.pop()
@@ -157,63 +161,66 @@ class Encoder:
     AFTER_WHITE = re.compile(r"\s ")
     SAFE_BLANK = re.compile(r"(?<=\S) ")
     #: Words and marks, of one line or two: letters, marks and a line feed are tokens apart.
-    SIMPLE = re.compile(r"([^\W\d_]+)([.,;:!?]*)(?:\n([^\W\d_]+)([.,;:!?]*))?")
+    SIMPLE = re.compile(r"([^\W\d_]+)([^\w\s']*)(?:\n([^\W\d_]+)([^\w\s']*))?")
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
         if self.tokenizer.normalizer is not None or not repr(self.tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False"):
             raise ValueError(f"{path} is no byte-level tokenizer whose pre-tokens can be cut at blanks")
         self.model = self.tokenizer.model
-        self.young: dict[str | None, bytes] = {}
+        self.young = Slices(self)
         self.old: dict[str, bytes] = {}
 
     def slices(self, text: str) -> list[str]:
         """The text up to the first blank that follows other than white space, then what follows each of these blanks."""
         return self.SAFE_BLANK.split(text) if self.AFTER_WHITE.search(text) else text.split(" ")
 
-    def encode(self, slices: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(slices, add_special_tokens=False)]
+    def encode(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _part(self, key: str, text: str) -> bytes:
+    def part(self, key: str, text: str) -> bytes:
         """Ids of one pre-token, by the tokenizer's merges alone."""
-        if (ids := self.young.get(key)) is None:
-            if (ids := self.old.get(key)) is None:
-                tokens = self.model.tokenize(text.encode().decode("latin1").translate(BYTE_CHARACTERS))
-                ids = array("I", [t.id for t in tokens]).tobytes()
-            self.young[key] = ids
+        ids = dict.get(self.young, key) or self.old.get(key)
+        if ids is None:
+            tokens = self.model.tokenize(text.encode().decode("latin1").translate(BYTE_CHARACTERS))
+            ids = array("I", [t.id for t in tokens]).tobytes()
+        self.young[key] = ids
         return ids
 
-    def _learn(self, new: list[str]) -> None:
-        """Put slices into the younger generation. Keys that begin with a line feed are parts that follow no blank."""
-        rest = []
-        for s in new:
-            if (ids := self.old.get(s)) is not None:
-                self.young[s] = ids
-            elif s.isalpha():
-                self._part(s, " " + s)
-            elif (m := self.SIMPLE.fullmatch(s)) and m[1].isalpha() and (m[3] is None or m[3].isalpha()):
-                ids = self._part(m[1], " " + m[1])
-                for part in m.groups()[1:] if m[3] is None else (m[2], "\n", m[3], m[4]):
-                    ids += self._part("\n" + part, part) if part else b""
-                self.young[s] = ids
-            else:
-                rest.append(s)
-        self.young.update(zip(rest, self.encode([" " + s for s in rest])))
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
-        cut = [self.slices(text) for text in texts]
-        heads = self.encode([s[0] for s in cut])
-        for own in cut:
-            own[0] = None
-        new = set().union(*cut).difference(self.young, (None,))
-        self._learn(list(new))
-        self.young[None] = b""  # in the heads' places
-        ids = [head + b"".join(map(self.young.__getitem__, own)) for head, own in zip(heads, cut)]
-        for s in new:
-            if len(s) > LONGEST:
-                del self.young[s]
+    def learn(self, s: str) -> bytes:
+        """Ids of a slice that follows a blank. Keys that begin with a line feed are parts that follow none."""
+        if (ids := self.old.get(s)) is not None:
+            return ids
+        if s.isalpha():
+            return self.part(s, " " + s)
+        if (m := self.SIMPLE.fullmatch(s)) and m[1].isalpha() and (m[3] is None or m[3].isalpha()):
+            ids = self.part(m[1], " " + m[1])
+            for part in (m[2],) if m[3] is None else (m[2], "\n", m[3], m[4]):
+                ids += self.part("\n" + part, part) if part else b""
+            return ids
+        return self.encode(" " + s)
+
+    def batch(self, texts: list[str]) -> Iterator[bytes]:
+        for text in texts:
+            if len(self.young) > CACHE:
+                self.young, self.old = Slices(self), self.young
+            own = self.slices(text)
+            head, own[0] = own[0], None  # in its place the younger generation has no ids
+            first = (self.part("\n" + head, head) if head.isalpha() else self.encode(head)) if head else b""
+            yield first + b"".join(map(self.young.__getitem__, own))
+
+
+class Slices(dict):
+    """Ids of slices, which the encoder finds when they are first asked for."""
+
+    def __init__(self, encoder: Encoder) -> None:
+        super().__init__({None: b""})
+        self.encoder = encoder
+
+    def __missing__(self, s: str) -> bytes:
+        ids = self.encoder.learn(s)
+        if len(s) <= LONGEST:
+            self[s] = ids
         return ids
 
 
