@@ -59,6 +59,16 @@ def test_long_texts_are_cut_without_a_trace(oracle, monkeypatch):
     assert ids(long) == [oracle.encode_ordinary(t) for t in long]
 
 
+def test_one_long_line_is_cut_into_bounded_parts(oracle, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE", 50)
+    rng = random.Random(6)
+    text = "".join(rng.choice(["word ", "it's ", "x1", "9", "a.b", "'s'", " '", "é ", "  ", "(z)", "'", "re", "\t"]) for _ in range(4000))
+    parts = bpe._cuts(text)
+    assert "".join(parts) == text and len(parts) > 100 and max(map(len, parts)) < 50 + 80
+    assert ids([text]) == [oracle.encode_ordinary(text)]
+    assert len(bpe._cuts("é" * 1000)) == 1
+
+
 def test_query_columns_round_trip_and_odd_rows(spark, oracle):
     rows = [(1, "it's  me\n", "x", b"i"), (1, "it's  me\n", "x", b"i"), (None, None, None, None), (3, "", "x", b"i"), (4, "é" * 70000, "", b"")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string, ids binary")

@@ -3,20 +3,21 @@
 Text is turned into code points, code points into classes, and classes into the transition functions of a small
 automaton. Functions compose associatively, so the state ahead of every code point comes from a two-level scan over
 arrays: compose within blocks, compose the blocks, apply. The automaton's flags are the pre-token boundaries; the
-slices between them are merged by rank, with a bounded cache of merged slices. No regular expression is run.
+slices between them are merged by rank, with a bounded cache of merged slices. No regular expression finds pre-tokens.
 
 A NULL text counts as empty; an empty text has no ids. Rows are handled one by one, so repeated rows, ties and extra
-columns make no difference; an empty table gives an empty result. Texts of any length are scanned in pieces of bounded
-size, cut where a boundary is certain.
+columns make no difference; an empty table gives an empty result. Long texts are scanned in pieces, cut at the first place
+behind PIECE code points where a boundary is certain, such as a blank between two words.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import re
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -24,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import give_back
+
 # Classes of code points. A separator stands between texts that are scanned together.
 SEP, BLANK, SPACE, LETTER, NUMBER, OTHER, QUOTE, ONE, TWO = range(9)
 # Letter classes: ONE may follow an apostrophe alone (s, t, m, d); TWO starts a pair (re, ve, ll); LETTER is the rest.
@@ -37,6 +40,7 @@ STATES = 9
 BLOCK = 64
 PIECE = 1 << 18  # code points scanned at a time
 CACHE = 200_000  # slices kept merged
+DECODED = 8 << 20  # bytes of decoded text in a batch made here
 
 
 @lru_cache(1)
@@ -236,25 +240,21 @@ def slice_offsets(texts: list[str], more: bool = False) -> list[np.ndarray]:
     return out
 
 
+#: Places where a pre-token always starts: a letter behind a line feed, a blank behind a letter or digit and ahead of a letter.
+SURE = re.compile(r"\n(?=[A-Za-z])|[0-9A-Za-z](?= [A-Za-z])|[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])|[A-Za-z0-9](?=[!-&(-/:-@])")
+
+
 def _cuts(text: str) -> list[str]:
-    """Parts of a long text, cut ahead of a letter that follows a line feed, where a pre-token always starts."""
+    """Parts of a long text, cut at places where a pre-token always starts: the first one behind each PIECE code points.
+    A stretch without any such place, one pre-token or a run of marks or of letters beyond ASCII, is one part."""
     parts, done = [], 0
-    while len(text) - done > PIECE:
-        at = text.rfind("\n", done, done + PIECE)
-        while at > done and not (text[at + 1].isascii() and text[at + 1].isalpha()):
-            at = text.rfind("\n", done, at)
-        if at <= done:  # no such place: look further ahead
-            at = text.find("\n", done + PIECE)
-            while 0 <= at < len(text) - 1 and not (text[at + 1].isascii() and text[at + 1].isalpha()):
-                at = text.find("\n", at + 1)
-            if not 0 <= at < len(text) - 1:
-                break
-        parts.append(text[done : at + 1])
-        done = at + 1
+    while len(text) - done > PIECE and (m := SURE.search(text, done + PIECE)):
+        parts.append(text[done : m.end()])
+        done = m.end()
     return [*parts, text[done:]]
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
     """Texts to be scanned together."""
     group, size = [], 0
     for text in texts:
@@ -267,7 +267,7 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
         yield group
 
 
-def encode_texts(texts: list[str], path: str) -> Iterator[tuple[bytes, bytes]]:
+def encode_texts(texts: Iterable[str], path: str) -> Iterator[tuple[bytes, bytes]]:
     """Packed ids and packed slice offsets of each text."""
     merger = _merger(path)
     get, merge = merger.cache.get, merger.ids
@@ -296,7 +296,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             ids = batch.column(0)
             done, rows, size = 0, [], 0
-            for row in encode_texts(batch.column(1).to_pylist(), path):
+            for row in encode_texts((v.as_py() for v in batch.column(1)), path):  # a group of texts at a time
                 rows.append(row)
                 size += len(row[0]) + len(row[1])
                 if size > 16 << 20:
@@ -304,6 +304,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     done, rows, size = done + len(rows), [], 0
             if rows:
                 yield _batch(ids.slice(done, len(rows)), rows)
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -321,9 +322,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = _vocabulary(path).__getitem__
         for batch in batches:
-            out = [b"".join(map(token, np.frombuffer(v, "<u4").tolist())) for v in batch.column(1).to_pylist()]
-            columns = [batch.column(0), batch.column(1), pa.array(out, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+            done, out, size = 0, [], 0
+            for k, v in enumerate(batch.column(1), 1):
+                out.append(b"".join(map(token, np.frombuffer(v.as_buffer(), "<u4").tolist())))
+                size += len(out[-1])
+                if size > DECODED or k == batch.num_rows:
+                    part = batch.slice(done, len(out))
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+                    done, out, size = k, [], 0
+        give_back()
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(work, f"doc_id {kind}, ids binary, decoded binary")

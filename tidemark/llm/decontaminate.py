@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_rows, stored
+from tidemark.llm.common import drop_rows, give_back, stored
 
 WORDS = 5
 RADIUS = 18
@@ -240,13 +240,14 @@ def _search(shared, least: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(shared.value, least)
         for batch in batches:
-            rows = [(k, *m) for k, text in enumerate(batch.column(2).to_pylist()) for m in index.matches(text)]
+            rows = [(k, *m) for k, text in enumerate(batch.column(2)) for m in index.matches(text.as_py())]
             if rows:
                 which, items, alike, first = zip(*rows)
                 owners = pa.array(which, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(owners), batch.column(1).take(owners), pa.array(items), pa.array(alike, pa.float64()), pa.array(first, pa.int64())],
                     ["doc_id", "tid", "item_id", "similarity", "first_word"])
+        give_back()
 
     return work
 
