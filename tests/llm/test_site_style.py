@@ -1,3 +1,7 @@
+import random
+import time
+
+from tidemark.llm import site_style
 from tidemark.llm.site_style import Page, extract
 
 SCHEMA = "page_id bigint, url string, html string, text string, nodes string"
@@ -41,3 +45,71 @@ def test_branches_that_repeat_over_a_site_are_cut(spark):
     want = [(i, u, f"Story {i} begins\nand ends {i * 7}" if i < 30 else "same story" if i < 200 else "lone" if i == 200 else "") for i, u, *_ in rows]
     assert got == [(i, u, t, len(t)) for i, u, t in want]
     assert extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def site(n, copies=0):
+    """Pages with an article of a classed body, some of them copies of one page, and boilerplate that no word names."""
+    rows = []
+    for i in range(n):
+        story = 0 if i < copies else i
+        rows.append((i, f"http://big.org/{i}", f"<div class=q1>Welcome</div><article class=x><h1>Title {story}</h1><div class=q2><p>Text {story}</p></div>"
+                     f"<div class=q3>{f'Only {i}' if alone(i, copies) else 'Read more here'}</div></article>", "t", "n"))
+    return rows
+
+
+def alone(i, copies):
+    return i >= copies and i % 10 == 5
+
+
+def texts(spark, rows):
+    return {r.page_id: r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_copies_and_page_counts_do_not_make_bodies_unimportant(spark):
+    few, many = texts(spark, site(40, 30)), texts(spark, site(400, 300))
+    for out, n, copies in ((few, 40, 30), (many, 400, 300)):
+        for i in range(n):
+            story = 0 if i < copies else i
+            # What a page alone holds in an unimportant node stays.
+            assert out[i] == f"Title {story}\nText {story}" + (f"\nOnly {i}" if alone(i, copies) else "")
+    assert few[39] == many[339].replace("339", "39")
+
+
+def brute(rows):
+    """Importance and repeated contents straight from the pages' elements."""
+    pages = [Page(r[2] or "") for r in rows]
+    tree = {}
+    for page in {p.whole: p for p in pages}.values():
+        for node, layout, content in set(page.seen):
+            tree.setdefault(node, ([], []))
+            tree[node][0].append(layout)
+            tree[node][1].append(content)
+    gone = set()
+    for node, kinds in tree.items():
+        importance = max(1 - sum(v.count(x) ** 2 for x in set(v)) / len(v) ** 2 for v in kinds)
+        if importance < site_style.UNIMPORTANT:
+            contents = kinds[1]
+            gone |= {site_style.held(node, c) for c in set(contents) if contents.count(c) >= max(3, 0.1 * len(contents))}
+    return {r[0]: "\n".join(p.main(gone)) for r, p in zip(rows, pages)}, gone
+
+
+def test_equals_a_brute_force_tree(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        parts = [f"<div class=a{rng.randrange(3)}><p>{rng.choice(['same', 'same', 'same', str(i)])}</p><ul><li>x<li>{i % 4}</ul></div>" for _ in range(rng.randint(1, 4))]
+        rows.append((i, "http://one.org/x", f"<body><div class=top>Hello</div>{''.join(parts)}<div class=w><div class=z>end</div>{rng.random()}</div>", "t", "n"))
+    rows += [(100 + k, *rows[k][1:]) for k in range(20)]
+    wanted, gone = brute(rows)
+    assert texts(spark, rows) == wanted and gone
+
+
+def test_parsing_takes_time_in_proportion_to_the_page():
+    def took(n):
+        source = "<div>" * n + "".join(f"<p>{k}" for k in range(n)) + '<a "' * n
+        began = time.process_time()
+        Page(source)
+        return time.process_time() - began
+
+    took(200)
+    assert took(8000) < 40 * max(took(1000), 0.01)

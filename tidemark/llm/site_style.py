@@ -1,15 +1,20 @@
 """HTML extraction with a site style tree.
 
 The pages of a host are merged by the path of styles (tag and class) that leads to an element. For every merged node two
-entropies are measured over all pages: how much its children's layout varies, and how much its content varies. A node
-that looks and reads the same on page after page is of low importance, and its branch is cut from each page. Roles that
-the markup itself states (menus, footers, forms, notices, comments and so on) have importance 0, the article has 1: where
-a page has one, the main text comes from it, and inside it only branches with a style of their own can be cut. If cutting
-would leave nothing, only the stated roles are cut.
+entropies are measured over the host's pages: of the layout of its children, and of its content. They are collision
+entropies, and importance is ``1 - exp(-entropy)`` of the more varied of the two: the chance that two pages differ there. It
+is 0 for what looks and reads the same on page after page, near 1 for what differs, and does not depend on how many pages
+a host has. Pages of equal content count as one, so copies
+of a page do not make its body look like boilerplate. Where a node is of low importance, its branch is cut from every page on
+which it holds what the host's pages repeat there; what a page alone holds is never cut. Inside an article only branches with
+a style of their own can be cut. If cutting would leave nothing, only the stated roles are cut.
+
+Roles that the markup itself states (menus, footers, forms, notices, comments and so on) have importance 0, the article
+has 1: where a page has one, the main text comes from it.
 
 The pages are read twice. The first pass counts per task before anything is shuffled, so a host with a third of all
-pages costs each task one row per distinct node. What the second pass needs of a host is the list of its unimportant
-nodes, at most as many as a page has elements.
+pages costs each task one row per distinct node and page. What the second pass needs of a host is the list of what its
+unimportant nodes repeat, ten contents of a node at most. Parsing takes time in proportion to the page's length.
 
 Inside a block white space becomes one space; blocks are joined by a line feed. NULL or empty pages give an empty text;
 a NULL url is a host of its own. Rows are kept as they are, repeated ones too; extra columns are not read. Broken markup
@@ -32,10 +37,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import small, stored
 from tidemark.llm.urls import split_url
 
-#: Below this share of the greatest entropy both in layout and in content, a node is unimportant.
+#: Below this importance a node's repeated content is cut: one content holds more than about five sixths of its pages.
 UNIMPORTANT = 0.3
-#: Elements of a node, over all pages, from which its entropies tell something.
-ENOUGH = 8
+#: A content is repeated if so many different pages of the host have it, and this share of those that have the node.
+REPEATED, SHARE = 3, 0.1
 
 #: Fixed values of HTML: elements that hold no text of the page, have no end tag, are inside a line, or end each other.
 RAW = {"script", "style", "template", "noscript", "iframe", "textarea", "title", "svg", "math", "object", "xmp", "noembed", "noframes"}
@@ -61,7 +66,8 @@ masthead copyright legal form forms advert adverts advertisement advertising
 NOISE_STARTS = ("advert", "comment", "cookie", "sponsor", "breadcrumb", "sidebar")
 ARTICLE_TAGS, ARTICLE_ROLES = {"article", "main"}, {"main", "article"}
 
-_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|[!?/][^>]*(?:>|\Z))""", re.S)
+_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+|[^>]*)>|[!?/][^>]*(?:>|\Z))""", re.S)
+_CUT_OFF = re.compile(r"<(?:/?[a-zA-Z]|[!?])")
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -73,10 +79,12 @@ class Element:
     path: int  # hash of the styles from the root
     noise: bool  # itself or something around it has importance 0
     article: bool
-    styled: bool
-    chain: tuple[int, ...]  # nodes around a block that may be cut, itself included
+    parent: Element | None
+    may_go: bool  # whether it can be cut for its importance
     children: list[str] = field(default_factory=list)
-    text: list[int] = field(default_factory=list)  # hashes of its blocks
+    text: list[int] = field(default_factory=list)  # hashes of its blocks and of its children's contents, in order
+    content: int = 0
+    gone: bool = False
 
 
 @dataclass
@@ -85,7 +93,7 @@ class Block:
     noise: bool
     article: bool
     linked: float
-    chain: tuple[int, ...]
+    element: Element
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -110,16 +118,17 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[Block] = []
-        self.seen: list[tuple[int, str, int]] = []  # node, layout of its children, its content
-        root = Element("", 0, False, False, False, ())
-        self.stack, self.parts, self.linked, self.size, self.links = [root], [], 0, 0, 0
-        at = 0
+        self.seen: list[tuple[int, int, int]] = []  # node, layout of its children, its content
+        self.elements: list[Element] = []  # parents first
+        root = Element("", 0, False, False, None, False)
+        self.stack, self.open = [root], Counter()  # open elements, and how many of each tag
+        self.parts, self.linked, self.size, self.links = [], 0, 0, 0
+        at, last = 0, source.rfind(">")
         while at < len(source):
-            tag = _TAG.search(source, at)
-            lone = source.find("<", at) if tag is None else -1
-            end = tag.start() if tag else len(source)
-            if tag is None and lone >= 0 and re.match(r"</?[a-zA-Z]", source[lone : lone + 3]):
-                end = lone  # a tag that the page's end cuts off
+            # Behind the last > there is no whole tag: the page's end cuts one off, or there is none.
+            tag = _TAG.search(source, at) if at <= last else None
+            cut = _CUT_OFF.search(source, at) if tag is None else None
+            end = tag.start() if tag else cut.start() if cut else len(source)
             if end > at:
                 self._text(source[at:end])
             if tag is None:
@@ -139,6 +148,8 @@ class Page:
         self._block()
         while len(self.stack) > 1:
             self._pop()
+        #: All that the page's stated roles leave, for telling copies of a page.
+        self.whole = xxhash.xxh3_64_intdigest(repr(root.text)) >> 1
 
     def _text(self, text: str) -> None:
         self.parts.append(text)
@@ -152,11 +163,9 @@ class Page:
             return
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
-            own = xxhash.xxh3_64_intdigest(text)
-            for e in self.stack:
-                e.text.append(own)
             top = self.stack[-1]
-            self.blocks.append(Block(text, top.noise, top.article, self.linked / max(self.size, 1), top.chain))
+            top.text.append(xxhash.xxh3_64_intdigest(text))
+            self.blocks.append(Block(text, top.noise, top.article, self.linked / max(self.size, 1), top))
         self.parts, self.linked, self.size = [], 0, 0
 
     def _start(self, name: str, rest: str) -> None:
@@ -179,95 +188,122 @@ class Page:
         parent.children.append(style)
         if name in VOID:
             return
-        nested = name == "article" and any(e.tag == "article" for e in self.stack)  # a reader's comment
+        nested = name == "article" and self.open["article"] > 0  # a reader's comment
         noise = parent.noise or nested or _is_noise(name, attrs, parent.article)
         article = parent.article or name in ARTICLE_TAGS or attrs.get("role", "").lower() in ARTICLE_ROLES
         styled = bool(attrs.get("class") or attrs.get("id"))
         path = xxhash.xxh3_64_intdigest(f"{parent.path} {style}") >> 1
-        cut = styled if article else name not in ("html", "body")
-        chain = (*parent.chain, path) if cut and name not in ARTICLE_TAGS else parent.chain
-        self.stack.append(Element(name, path, noise, article, styled, chain))
+        may_go = (styled if article else name not in ("html", "body")) and name not in ARTICLE_TAGS
+        self.stack.append(Element(name, path, noise, article, parent, may_go))
+        self.elements.append(self.stack[-1])
+        self.open[name] += 1
 
     def _end(self, name: str) -> None:
-        if name in INLINE and not any(e.tag == name for e in self.stack):
+        if name in INLINE and not self.open[name]:
             self.links = max(0, self.links - (name == "a"))
             return
         self._block()
-        if any(e.tag == name for e in self.stack[1:]):
+        if self.open[name]:
             while self._pop() != name:
                 pass
 
     def _imply(self, names: set[str]) -> None:
+        if not any(self.open[n] for n in names):
+            return
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k].tag in names:
                 while len(self.stack) > k:
                     self._pop()
+                if not any(self.open[n] for n in names):
+                    break
             elif self.stack[k].tag in SCOPE or self.stack[k].tag in ARTICLE_TAGS:
                 break
 
     def _pop(self) -> str:
         e = self.stack.pop()
-        if not e.noise and e.text:
-            content = xxhash.xxh3_64_intdigest(repr(e.text)) >> 1
-            self.seen.append((e.path, xxhash.xxh3_64_intdigest("\n".join(e.children)) >> 1, content))
+        self.open[e.tag] -= 1
+        if e.text:
+            e.content = xxhash.xxh3_64_intdigest(repr(e.text)) >> 1
+            if not e.noise:
+                self.seen.append((e.path, xxhash.xxh3_64_intdigest("\n".join(e.children)) >> 1, e.content))
+                e.parent.text.append(e.content)
         return e.tag
 
-    def main(self, unimportant: set[int]) -> list[str]:
-        """The blocks of the main text."""
+    def main(self, repeated: set[int]) -> list[str]:
+        """The blocks of the main text, without what unimportant nodes repeat."""
         told = [b for b in self.blocks if not b.noise]
         if any(b.article for b in told):
             told = [b for b in told if b.article]
         else:
             told = [b for b in told if b.linked < 0.8] or told
-        kept = [b for b in told if unimportant.isdisjoint(b.chain)] if unimportant else told
-        return [b.text for b in kept or told]
+        if not repeated:
+            return [b.text for b in told]
+        for e in self.elements:
+            e.gone = e.parent.gone or (e.may_go and held(e.path, e.content) in repeated)
+        return [b.text for b in told if not b.element.gone] or [b.text for b in told]
+
+
+def held(node: int, content: int) -> int:
+    """One number for a node with a content."""
+    return xxhash.xxh3_64_intdigest(f"{node} {content}") >> 1
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, html -> host, node, kind, value, n: counted over a batch."""
+    """host, html -> host, node, layout, content, held, whole: distinct in a part of a batch"""
+    kinds = [pa.string(), *[pa.int64()] * 5]
     for batch in batches:
-        counts: Counter = Counter()
-        for host, source in zip(*(c.to_pylist() for c in batch.columns)):
-            for node, layout, content in Page(source).seen:
-                counts[host, node, 0, layout] += 1
-                counts[host, node, 1, content] += 1
-        if counts:
-            columns = list(zip(*counts))
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts.values(), pa.int64())], ["host", "node", "kind", "value", "n"])
+        for at in range(0, len(batch), 500):
+            part = batch.slice(at, 500)
+            rows = set()
+            for host, source in zip(part.column(0).to_pylist(), part.column(1)):
+                page = Page(source.as_py())
+                rows.update((host, node, layout, content, held(node, content), page.whole) for node, layout, content in page.seen)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["host", "node", "layout", "content", "held", "whole"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """page_id, url, html, nodes -> page_id, url, text"""
+    """page_id, url, html, repeated -> page_id, url, text"""
     for batch in batches:
         for at in range(0, len(batch), 500):
             part = batch.slice(at, 500)
-            texts = ["\n".join(Page(s).main(set(n or ()))) for s, n in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
+            texts = ["\n".join(Page(s.as_py()).main(set(n or ()))) for s, n in zip(part.column(2), part.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
-def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per merged node: ``host``, ``node``, ``elements``, ``layout`` and ``content``, entropies from 0 to 1."""
+def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> tuple[DataFrame, DataFrame]:
+    """The merged tree: on how many different pages a ``node`` of a ``host`` has a content (``held``, ``n``), and for each node
+    its ``elements`` and ``importance``. Both are stored."""
     host, _ = split_url(pages[url_col])
     given = pages.select(host.alias("host"), F.coalesce(pages[html_col], F.lit("")).alias("html"))
-    counted = given.mapInArrow(_measure, "host string, node bigint, kind int, value bigint, n bigint")
-    each = counted.groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"))
-    per = each.groupBy("host", "node", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nn"))
-    even = F.when(F.col("m") > 1, (F.log("m") - F.col("nn") / F.col("m")) / F.log("m")).otherwise(1.0)
-    both = [F.max(F.when(F.col("kind") == k, even)).alias(n) for k, n in ((0, "layout"), (1, "content"))]
-    return per.groupBy("host", "node").agg(F.max("m").alias("elements"), *both)
+    measured = given.mapInArrow(_measure, "host string, node bigint, layout bigint, content bigint, held bigint, whole bigint")
+    once = measured.distinct()  # pages of equal content are one page
+    each = once.select("host", "node", F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("layout").alias("value"), F.lit(None).cast("bigint").alias("held")),
+        F.struct(F.lit(1).alias("kind"), F.col("content").alias("value"), F.col("held").alias("held")))).alias("v")).select("host", "node", "v.*")
+    counts = each.groupBy("host", "node", "kind", "value", "held").agg(F.count("*").alias("n"))
+    square = F.sum(F.col("n") * F.col("n").cast("double"))
+    per = counts.groupBy("host", "node", "kind").agg(F.sum("n").alias("m"), square.alias("square"))
+    importance = F.max(1 - F.col("square") / (F.col("m").cast("double") * F.col("m")))
+    return stored(counts.where("kind = 1"), "style-counts"), stored(
+        per.groupBy("host", "node").agg(F.max("m").alias("elements"), importance.alias("importance")), "style-nodes")
+
+
+def repeated(counts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``host`` and ``repeated``, what its unimportant nodes hold on many pages: at most ``1 / SHARE`` contents of a node."""
+    low = nodes.where(F.col("importance") < UNIMPORTANT).select("host", "node", "elements")
+    many = counts.where(F.col("n") >= REPEATED).join(small(low), ["host", "node"])
+    return many.where(F.col("n") >= SHARE * F.col("elements")).groupBy("host").agg(F.collect_list("held").alias("repeated"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: ``page_id``, ``url``, ``text``, ``n_chars``."""
-    low = (F.col("elements") >= ENOUGH) & (F.greatest("layout", "content") < UNIMPORTANT)
-    cut = style_tree(pages, url_col, html_col).where(low).groupBy("host").agg(F.collect_list("node").alias("nodes"))
-    cut = stored(cut, "style-cut")
+    cut = stored(repeated(*style_tree(pages, url_col, html_col)), "style-cut")
+    contents = cut.agg(F.coalesce(F.sum(F.size("repeated") + 8), F.lit(0))).first()[0]  # what a broadcast would hold
     host, _ = split_url(pages[url_col])
     given = pages.select(
         pages[id_col].alias("page_id"), pages[url_col].alias("url"), F.coalesce(pages[html_col], F.lit("")).alias("html"), host.alias("host"))
     kind = pages.schema[id_col].dataType.simpleString()
-    rows = given.join(small(cut), "host", "left").select("page_id", "url", "html", "nodes")
+    rows = given.join(small(cut, contents), "host", "left").select("page_id", "url", "html", "repeated")
     texts = rows.mapInArrow(_extract, f"page_id {kind}, url string, text string")
     return texts.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
