@@ -108,7 +108,10 @@ def test_pairs_at_the_threshold_meet_on_every_level(spark):
     join = near_dedup.Join.__new__(near_dedup.Join)
     join.percent, join.classes = 80, spark.createDataFrame(rows, "key bigint, n bigint, sig array<int>")
 
+    join.counted = lambda walked, level: walked  # also nodes that are connected or lone
+
     def met(nodes):
+        nodes = nodes.join(nodes.groupBy("path").agg(F.countDistinct("key").alias("members")).where("members > 1"), "path")
         assert nodes.groupBy("path").agg(F.countDistinct(F.floor(F.col("key") / 2)).alias("n")).where("n > 1").count() == 0
         return nodes.select(F.floor(F.col("key") / 2)).distinct().count() / pairs
 
@@ -125,7 +128,7 @@ def test_a_child_extends_its_parents_path(spark):
     sig = list(range(near_dedup.VALUES))
     join = near_dedup.Join.__new__(near_dedup.Join)
     join.percent, join.classes = 85, spark.createDataFrame([(k, 50, sig) for k in (1, 2, 3)], "key bigint, n bigint, sig array<int>")
-    torn = spark.createDataFrame([(1, 1, 7), (2, 2, 7), (2, 2, 8), (3, 3, 8)], "key bigint, component bigint, path bigint")
+    torn = spark.createDataFrame([(1, 1, 7), (2, 2, 7), (2, 2, 8), (3, 3, 8), (1, 1, 9), (3, 1, 9)], "key bigint, component bigint, path bigint")
     together = join.children(1, torn).groupBy("path").agg(F.sort_array(F.collect_set("key")).alias("keys")).select("keys").distinct()
     assert sorted(r["keys"] for r in together.collect()) == [[1, 2], [2, 3]]
 

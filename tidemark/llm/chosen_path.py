@@ -14,8 +14,6 @@ on rare items (see ``linking``), which loses nothing, so recall does not sink fu
 
 from __future__ import annotations
 
-from math import log
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,31 +45,31 @@ class ChosenPaths(Linking):
     def children(self, level: int, torn: DataFrame) -> DataFrame:
         """The children of torn nodes, given as rows of ``path``, ``key`` and ``component``."""
         branches, tokens = BRANCHES[level - 1]
-        rows = torn.join(self.classes.select("key", "n", "sig"), "key")
-        rows = rows.select("key", "component", "path", "n", "sig", F.explode(F.array(*map(F.lit, range(branches)))).alias("branch"))
+        rows = torn.join(self.classes.select("key", "sig"), "key")
+        rows = rows.select("key", "component", "path", "sig", F.explode(F.array(*map(F.lit, range(branches)))).alias("branch"))
         # Positions behind those of the roots, by the path: the same for all classes of a node.
         chosen = [F.get("sig", (F.lit(TREES) + F.pmod(F.xxhash64("path", "branch", F.lit(j)), F.lit(self.values - TREES))).cast("int")) for j in range(tokens)]
-        rows = rows.select("key", "component", "n", F.xxhash64("path", "branch", *chosen).alias("path"))
-        # Sets that can link are in one step of sizes or in neighbouring ones.
-        step = F.floor(F.log("n") / -log(0.99 * self.percent / 100)).cast("long")
-        rows = rows.select("key", "component", "path", F.explode(F.array(step, step + 1)).alias("step"))
-        return self.counted(rows.select("key", "component", F.xxhash64("path", "step").alias("path")), level)
+        return self.counted(rows.select("key", "component", F.xxhash64("path", "branch", *chosen).alias("path")), level)
 
     def counted(self, walked: DataFrame, level: int) -> DataFrame:
-        """Rows of the nodes of two classes or more, with the node's number of classes and its hub. Stored."""
-        sizes = walked.groupBy("path").agg(F.count("*").alias("members"), F.min("key").alias("hub")).where("members > 1")
+        """Rows of the nodes of two classes or more that are not all connected, with the node's number of classes and its hub.
+        Stored."""
+        known = "component" in walked.columns
+        ends = [f("component").alias(c) for f, c in ((F.min, "_x"), (F.max, "_y"))] if known else []
+        sizes = walked.groupBy("path").agg(F.count("*").alias("members"), F.min("key").alias("hub"), *ends).where("members > 1")
+        sizes = sizes.where("_x <> _y").drop("_x", "_y") if known else sizes
         return stored(walked.join(sizes, "path"), f"{self.name}-nodes-{level}")
 
     def run(self) -> DataFrame:
-        links, nodes = None, self.roots()
+        known, nodes = None, self.roots()
         for level in range(len(BRANCHES) + 2):
             rest = level == len(BRANCHES) + 1
             if rest:
                 going = stored(torn.select("key", "component").distinct(), f"{self.name}-going")  # noqa: F821
                 nodes = self.prefixes(going)
             new = self.confirm(self.pairs(nodes, False), str(level))
-            links = new if links is None else links.unionByName(new)
-            known = components(links, f"{self.name}-components-{level}")
+            stars = new if known is None else known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)
+            known = components(stars, f"{self.name}-components-{level}")
             large = nodes.where(F.col("members") > SMALL)
             if large.isEmpty():
                 return known
@@ -86,4 +84,5 @@ class ChosenPaths(Linking):
             above, nodes = nodes, self.children(level + 1, torn) if level < len(BRANCHES) else nodes
             if nodes is not above:
                 discard(above)
-        return components(links.unionByName(self.confirm(self.pairs(torn, True), "last")), f"{self.name}-components-last")
+        last = self.confirm(self.pairs(torn, True), "last")
+        return components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(last), f"{self.name}-components-last")
