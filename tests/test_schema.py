@@ -112,3 +112,21 @@ def test_source_options():
     with pytest.raises(ValueError):
         jdbc_properties({"jdbc.properties.tinyInt1isBit": "true"}, True)
     assert snapshot_options(1, 100, 30, "id")["numPartitions"] == "4"
+
+
+def test_types_gathered_batch_by_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tidemark.operators.schema import TypeRegistry, infer_fields, inferred_dtype
+
+    images = ['{"a":1,"b":null}', '{"a":2.5,"c":"x"}', '{"a":123456,"b":[1]}', '{"c":7}', '{"a":0.125,"d":{"e":1}}', '{"b":true}']
+    rows = spark.createDataFrame([("s1" if k % 2 else "s2", "t", v) for k, v in enumerate(images * 3)], "db string, tbl string, v string")
+    rows = rows.select("db", "tbl", F.parse_json("v").alias("after")).cache()
+    registry = TypeRegistry(spark, str(tmp_path / "types"))
+    assert registry.types().count() == 0
+    parts = [rows.where(F.to_json("after") == v) for v in images]
+    told = [sorted((r.db, r.column, r.old_type, r.type) for r in registry.add(p).collect()) for p in parts + parts]
+    once = sorted(map(tuple, infer_fields(rows).collect()))
+    assert sorted(map(tuple, registry.types().collect())) == once
+    assert told[0] == [("s2", "a", None, "BIGINT"), ("s2", "b", None, "VOID")] and told[len(parts):] == [[]] * len(parts)
+    assert [inferred_dtype(t) and inferred_dtype(t).simpleString() for t in ("VOID", "BIGINT", "DECIMAL(9,3)", "ARRAY<BIGINT>", "VARIANT", "STRING")] == [
+        None, "bigint", "decimal(9,3)", "string", "string", "string"]

@@ -343,3 +343,14 @@ def test_many_pairs_are_one_match_per_row(spark):
     kept = source_filter(df, "ods", [f"t{i}" for i in range(500)])
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 2
     assert sorted(map(str, kept.collect())) == ["Row(db='ods', tbl='t7')", "Row(db='ods', tbl=None)"]
+
+
+def test_columns_that_only_rows_tell_of(spark, tmp_path, log):
+    from tidemark.operators.schema import TypeRegistry
+
+    plan = prepare(spark, spec(tmp_path, (r"t\d", "x", None)), {("ods", "t1"): source()})
+    plan.registry = TypeRegistry(spark, f"{tmp_path}/types")
+    assert plan.run_batch(log.insert("t1", k=1, v1="a", extra=5).frame(), 0).evolved == ["lake.x"]
+    assert plan.run_batch(log.insert("t1", k=2, v1="b", extra=2.25).frame(), 1).evolved == ["lake.x"]
+    assert plan.run_batch(log.insert("t2", k=3, v1="c", extra=7).frame(), 2).evolved == []
+    assert [(r.k, r.v1, float(r.extra)) for r in plan.targets["lake.x"].read().sort("k").collect()] == [(1, "a", 5.0), (2, "b", 2.25), (3, "c", 7.0)]

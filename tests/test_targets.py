@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 
 from tests.conftest import rows
 from tidemark.operators.row_kinds import DayColumn, Projection, current_state, to_row_kinds
-from tidemark.operators.schema import Field, TableSchema
-from tidemark.operators.targets import Commit, Target
+from tidemark.operators.schema import Field, IncompatibleSchema, TableSchema
+from tidemark.operators.targets import ON_READ, ON_WRITE, Commit, Target
 from tidemark.sources.changelog import decode, row_changes
 
 SCHEMA = TableSchema([Field("k", T.LongType(), False, "bigint"), Field("v", T.StringType(), True, "text")], ["k"])
@@ -39,9 +39,10 @@ def random_history(log, steps, seed, full=True):
 
 @pytest.mark.parametrize("keep_positions, order", [(False, (0, 1, 2)), (True, (0, 1, 2)), (True, (2, 0, 1))])
 @pytest.mark.parametrize("locate", [False, True])
-def test_random_histories_in_batches(spark, tmp_path, new_log, keep_positions, order, locate):
+@pytest.mark.parametrize("merge", [ON_READ, ON_WRITE])
+def test_random_histories_in_batches(spark, tmp_path, new_log, keep_positions, order, locate, merge):
     log = new_log()
-    target = Target(spark, str(tmp_path)).create(DAY_SCHEMA, 3, "dt", keep_positions)
+    target = Target(spark, str(tmp_path)).create(DAY_SCHEMA, 3, "dt", keep_positions, merge)
     want = random_history(log, 60, seed=7, full=not locate)
     entries = log.entries
     for number in order:
@@ -49,6 +50,79 @@ def test_random_histories_in_batches(spark, tmp_path, new_log, keep_positions, o
         target.upsert(changes(log, BY_DAY), locate_moves=locate)
         assert target.placement().where("not in_place").count() == 0
     assert rows(target.read()) == sorted(want, key=str)
+    if merge == ON_READ:
+        assert target.fold() > 0 and target.fold() == 0
+        assert rows(target.read()) == sorted(want, key=str)
+        target.drop_unused_files()
+        assert rows(target.read()) == sorted(want, key=str)
+
+
+def files_of(path):
+    return {str(p): p.stat().st_size for p in path.rglob("*.parquet")}
+
+
+def test_a_batch_writes_what_it_holds_and_reads_nothing_stored(spark, tmp_path, log):
+    target = Target(spark, str(tmp_path)).create(SCHEMA, 4, merge=ON_READ)
+    for k in range(2000):
+        log.insert("t", k=k, v="x" * 50 + str(k))
+    target.upsert(changes(log))
+    before = files_of(tmp_path)
+    log.update("t", {"k": 1, "v": "a"}, {"k": 1, "v": "new"}).delete("t", k=2, v="b")
+    latest = changes(log)
+    target.upsert(latest)
+    new = {p: n for p, n in files_of(tmp_path).items() if p not in before}
+    assert set(before) <= set(files_of(tmp_path)) and sum(new.values()) < sum(before.values()) / 5
+    assert spark.read.parquet(*new).count() == 2
+    assert target.read().count() == 1999 and target.read().where("k = 1").first().v == "new"
+    assert target.fold() == 2 and target.read().count() == 1999  # the two cells that hold two writes
+
+
+def test_a_horizon_bounds_what_is_remembered(spark, tmp_path, log):
+    target = Target(spark, str(tmp_path)).create(SCHEMA, 2, keep_positions=True, merge=ON_READ)
+    for k in range(5):
+        log.insert("t", k=k, v="a")  # positions 1 to 5
+    entries = list(log.entries)
+    target.upsert(changes(log))
+    target.upsert(changes(log.delete("t", k=0, v="a").delete("t", k=1, v="a")))  # 6 and 7
+    assert rows(target.deletes(), "k", "_pos") == [(0, 6), (1, 7)]
+    target.fold(horizon=(1, 7))
+    assert rows(target.deletes(), "k") == [(1,)] and rows(target.read(), "k") == [(2,), (3,), (4,)]
+    log.entries = entries
+    target.upsert(changes(log))  # older than the horizon: the forgotten delete cannot be undone
+    assert rows(target.read(), "k") == [(2,), (3,), (4,)]
+    with pytest.raises(ValueError, match="cannot go back"):
+        target.fold(horizon=(1, 6))
+    with pytest.raises(ValueError, match="needs positions"):
+        Target(spark, f"{tmp_path}/b").create(SCHEMA, 1, merge=ON_READ).fold(horizon=(1, 1))
+    with pytest.raises(ValueError, match="unknown way"):
+        Target(spark, f"{tmp_path}/c").create(SCHEMA, 1, merge="sometimes")
+
+
+@pytest.mark.parametrize("merge", [ON_READ, ON_WRITE])
+def test_old_files_under_wider_types(spark, tmp_path, merge):
+    kinds = [("a", "int", "bigint", "decimal(25,3)"), ("b", "int", "double", "double"), ("c", "float", "float", "double"),
+             ("d", "date", "timestamp_ntz", "timestamp_ntz"), ("e", "decimal(5,2)", "decimal(8,2)", "decimal(9,4)"), ("f", "varchar(3)", "varchar(9)", "string")]
+
+    def fields(at):
+        return [Field("k", T.IntegerType() if at < 2 else T.DecimalType(20, 0), False), *[Field(k[0], T.DataType.fromDDL(k[1 + at]) if "char" not in k[1 + at] else T.VarcharType(int(k[1 + at][8:-1]))) for k in kinds]]
+
+    target = Target(spark, str(tmp_path)).create(TableSchema(fields(0), ["k"]), 3, merge=merge)
+    values = {"a": "7", "b": "8", "c": "1.5", "d": "date'2024-02-29'", "e": "1.25", "f": "'abc'"}
+    for at in range(3):
+        if at:
+            assert target.evolve(fields(at)) and not target.evolve(fields(at))
+        given = [F.expr(f"cast({v} as {kind})").alias(c) for (c, *types), v in zip(kinds, values.values()) for kind in [types[at] if "char" not in types[at] else "string"]]
+        ids = spark.range(at * 20, at * 20 + 40)
+        target.upsert(ids.select(F.col("id").cast("int" if at < 2 else "decimal(20,0)").alias("k"), *given, F.lit("U").alias("_kind"),
+                                 F.lit(1).cast("bigint").alias("_file_no"), F.lit(at).cast("bigint").alias("_pos"), F.lit(0).alias("_row"), F.lit(0).alias("_seq")))
+    out = target.read()
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["decimal(20,0)", "decimal(25,3)", "double", "double", "timestamp_ntz", "decimal(10,4)", "string"]
+    assert out.count() == 80 and out.select([c for c in out.columns if c != "k"]).distinct().count() == 1
+    assert sorted(int(r.k) for r in out.collect()) == list(range(80))
+    with pytest.raises(IncompatibleSchema, match="key column k"):
+        target.evolve([Field("k", T.DecimalType(24, 2), False)])
+    commit = target.current()
+    assert Commit.from_json(commit.to_json()) == commit
 
 
 def test_state_from_log_equals_stored_target(spark, tmp_path, log):

@@ -82,3 +82,19 @@ def test_clock_keeps_the_fraction_of_its_type(spark):
     for kind, want in [("time", ["10:13:23", "-00:00:01"]), ("time(3)", ["10:13:23.012", "-00:00:01.000"]), ("time(6)", ["10:13:23.012345", "-00:00:01.000001"])]:
         got = text.select(decode_text(F.col("t"), spark_type(kind), kind).alias("c"))
         assert [r.c for r in got.collect()] == want
+
+
+def test_common_types_across_families():
+    i8, i16, i32, i64, f, d, dec = T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType(), T.DecimalType
+    for a, b, c in [
+        (i32, d, d), (i16, f, f), (i32, f, d), (i8, dec(4, 2), dec(5, 2)), (i32, dec(5, 2), dec(12, 2)), (i64, dec(5, 2), dec(22, 2)),
+        (i64, dec(20, 0), dec(20, 0)), (T.DateType(), T.TimestampNTZType(), T.TimestampNTZType()), (T.DateType(), T.TimestampType(), T.TimestampType()),
+        (i64, d, None), (i64, f, None), (dec(5, 2), d, None), (i32, T.BooleanType(), None), (i64, dec(38, 30), None), (T.DateType(), T.StringType(), None),
+        (T.TimestampType(), T.TimestampNTZType(), None),
+    ]:
+        assert widest(a, b) == c == widest(b, a), (a, b)
+    every = [i8, i16, i32, i64, f, d, dec(4, 2), dec(20, 0), dec(30, 10), T.DateType(), T.TimestampNTZType(), T.StringType(), T.VarcharType(5)]
+    for a in every:  # a lattice: the common type keeps both, in whatever order more come
+        for b in every:
+            ab = widest(a, b)
+            assert ab is None or (widens(a, ab) and widens(b, ab))

@@ -21,7 +21,6 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
@@ -421,15 +420,14 @@ class Target:
             if commit.horizon and horizon < commit.horizon:
                 raise ValueError(f"the horizon {commit.horizon} cannot go back to {horizon}")
             commit = commit.with_options(horizon=f"{horizon[0]}:{horizon[1]}")
-        gathered = Counter(tuple(c) for live in commit.cells.values() for c in live)
-        if not horizon:
-            # Where keys are merged across days, what a bucket holds on any day belongs together.
-            whole = len(commit.merge_key) < len(commit.schema.primary_key)
-            of = (lambda c: c[1]) if whole else (lambda c: c)
-            per = Counter()
-            for c, n in gathered.items():
-                per[of(c)] += n
-            gathered = {c: n for c, n in gathered.items() if per[of(c)] >= writes}
+        # Where keys are merged across days, what a bucket holds on any day belongs together.
+        across = len(commit.merge_key) < len(commit.schema.primary_key)
+        held: dict[object, set[str]] = {}
+        for write, live in commit.cells.items():
+            for c in live:
+                held.setdefault(c[1] if across else tuple(c), set()).add(write)
+        every = {tuple(c) for live in commit.cells.values() for c in live}
+        gathered = every if horizon else {c for c in every if len(held[c[1] if across else c]) >= writes}
         if not gathered:
             return 0
         cells = {w: hit for w, live in commit.cells.items() if (hit := [c for c in live if tuple(c) in gathered])}
@@ -438,7 +436,7 @@ class Target:
             rows = _latest_written(commit, rows)
         if commit.horizon:
             rows = rows.where(~F.col(DELETED) | (_order("_file_no", "_pos") >= _literal(commit.horizon)))
-        self._write(commit, rows, set(gathered), parallelism, None)
+        self._write(commit, rows, gathered, parallelism, None)
         return len(gathered)
 
     def drop_days(self, first_kept: str) -> list[str]:

@@ -26,8 +26,8 @@ from tidemark.sources.seek import LogIndex
 
 # Up to this many source tables, a target's rows are picked by exact name; beyond it by its regexes.
 NAMED_TABLES = 1000
-# Source type of columns that the rows told of: such a column is read as it is.
-INFERRED = ""
+# Source type of columns that the rows told of.
+INFERRED = "inferred"
 
 
 @dataclass
