@@ -16,7 +16,7 @@ SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DEFAULT_DAY = "1970-01-01"
 DAY_MS = 86_400_000
 
-# Accepted text forms. Epoch text is seconds at length 10 and milliseconds at length 13.
+# Accepted text forms. Epoch text is seconds at length 10 and milliseconds at length 13.
 _EPOCH = r"\A[+-]?\d+\z"
 _COMPACT = r"\A\d{8}\z"
 _DASHED = (

@@ -15,7 +15,7 @@ def change_time() -> Column:
     return epoch_ms_text(F.col("ts_ms"))
 
 
-# Kind in the pipeline spec -> column expression over decoded changes (S-09 .. S-13).
+# Kind in the pipeline spec -> column expression over decoded changes (S-09 .. S-13).
 METADATA_KINDS: Mapping[str, Callable[[], Column]] = {
     "DATABASE": lambda: F.col("db"),
     "TABLE": lambda: F.col("tbl"),

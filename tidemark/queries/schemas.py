@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from tidemark.functions.types import storage_type, typed_value
 from tidemark.operators.history import column_changes, schema_history, with_schema
 from tidemark.operators.schema import (
-    Field, TableSchema, TypeRegistry, build_target, changed_fields, evolve, infer_fields, inferred_dtype, merge_all, merge_shards,
-    problems, union_shards,
+    Field, TableSchema, TypeRegistry, build_target, changed_fields, evolve, infer_fields, inferred_dtype, merge_all, merge_keyed, merge_shards,
+    problems, union_shards, with_primary_key,
 )
 from tidemark.queries.eventlog import LOG, ddl_log, event_log, schema
 from tidemark.queries.log import changes
@@ -54,6 +54,21 @@ def c01_merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_shards(parts, merged)
 
 
+@query("c02_merge_keyed", """SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS v1,
+      CASE WHEN o_orderstatus = 'O' THEN o_totalprice END AS v2 FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+def c02_merge_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables that have a primary key as one; a table without one is left out, with its columns."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    parts = {
+        ("s1", "a"): orders.where("o_orderstatus = 'F'").select(key.cast("int").alias("k"), F.col("o_orderpriority").alias("v1")),
+        ("s1", "b"): orders.where("o_orderstatus = 'O'").select(key.alias("k"), F.col("o_totalprice").alias("v2")),
+        ("s2", "a"): orders.where("o_orderstatus = 'P'").select(key.alias("k"), F.col("o_custkey").alias("v3")),
+    }
+    schemas = {name: _schema_of(df, ["k"] if name[0] == "s1" else []) for name, df in parts.items()}
+    return union_shards([parts[name] for name in with_primary_key(schemas)], merge_keyed(schemas))
+
+
 @query("c03_merge_shards", """SELECT CAST(o_orderkey AS BIGINT) AS k, o_orderpriority AS v1,
       CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS v2 FROM orders""")
 def c03_merge_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.routing import whole_match
 from tidemark.operators.row_kinds import current_state, to_row_kinds
 from tidemark.operators.schema import Field, TableSchema
 from tidemark.operators.targets import ON_READ, ON_WRITE, Target
@@ -285,6 +286,20 @@ def f08_dropped_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(report.unrouted, "db string, tbl string")
 
 
+@query("f04_targets_by_pattern", f"""WITH {LOG}
+    SELECT 'test_d_1' AS pattern, 'lake.pt1' AS target, count(*) AS changes FROM log WHERE tbl = 'test_d_1'
+    UNION ALL SELECT 'test_d_(\\d+)$', t, count(*) FROM log, (VALUES ('lake.pt_all'), ('lake.pt_all_dt')) v(t) WHERE tbl LIKE 'test_d_%' GROUP BY t""")
+def f04_targets_by_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of a spec grouped by source pattern, and how many changes each pattern brings to each target."""
+    out = None
+    c = changes(spark, sf_dir)
+    for (database, pattern), targets in parse_spec(spec("/lake")).by_pattern().items():
+        mine = c.where(whole_match("db", database) & whole_match("tbl", pattern)).agg(F.count(F.lit(1)).alias("changes"))
+        one = mine.select(F.lit(pattern).alias("pattern"), F.explode(F.array(*map(F.lit, targets))).alias("target"), "changes")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("f10_new_tables_of_a_stream", f"""WITH {LOG} SELECT db, tbl, count(DISTINCT db) AS told,
       (CASE WHEN tbl = 'test_d_1' THEN 1 ELSE 0 END) + (CASE WHEN tbl LIKE 'test_d_%' THEN 2 ELSE 0 END) AS targets FROM log GROUP BY db, tbl""")
 def f10_new_tables_of_a_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
