@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.search import count_not_above
+from tidemark.functions.search import count_not_above, with_count_not_above
 from tidemark.operators.row_kinds import Projection, current_state, to_row_kinds
 from tidemark.operators.schema import Field, TableSchema
 from tidemark.sources import chunks
@@ -30,6 +30,29 @@ def test_search_counts_elements_not_above(spark):
     assert df.where(~count_not_above(F.col("a"), F.col("v")).eqNullSafe(F.col("n"))).count() == 0
 
 
+def test_search_by_projections_counts_the_same(spark):
+    rng = random.Random(2)
+    rows = []
+    for n in (0, 1, 2, 3, 7, 8, 9, 100):
+        a = sorted(rng.choices(range(50), k=n))
+        rows += [(a, v, sum(x <= v for x in a)) for v in range(-1, 52, 3)] + [(a, None, None), (None, 3, 0)]
+    df = spark.createDataFrame(rows, "a array<int>, v int, n int")
+    found = with_count_not_above(df, "a", "v", 100, "found")
+    assert found.columns == ["a", "v", "n", "found"] and found.where(~F.col("found").eqNullSafe(F.col("n"))).count() == 0
+
+
+def test_dealing_rows_to_chunks_copies_no_bounds(spark):
+    """The search and the join that brings the bounds are compiled together, also below a filter on what it finds."""
+    bounds = spark.range(3000).select(F.col("id").alias("chunk"), F.expr("case when id > 0 then id * 10 end").alias("first"), F.col("id").alias("low"))
+    dealt = chunks.with_chunk(spark.range(35000).toDF("key"), F.col("key"), bounds.cache(), "low")
+    late = dealt.where((F.col("low") > 5) & (F.col("chunk") % 2 == 0) & (F.col("low") * 10 <= F.col("key")))
+    plan = late._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and plan.count("lambdafunction") <= 1 and len(plan) < 20000
+    found = {r.key: (r.chunk, r.low) for r in dealt.collect()}
+    assert found == {k: (min(k // 10, 2999),) * 2 for k in range(35000)}
+    assert late.count() == 10 * 1497
+
+
 @pytest.mark.parametrize("key", [
     "id", "id * id * id", "cast(exp(id / 2500.0) * 1000 as bigint) * 20000 + id", "concat('k', sha2(cast(id as string), 256))",
     "concat(repeat('a', cast(id % 7 as int)), id)", "timestamp_micros(id * id)", "cast(id as decimal(30,5)) / 7", "cast(cast(id as string) as binary)"])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.search import count_not_above
+from tidemark.functions.search import with_count_not_above
 from tidemark.session import work_dir
 
 SAMPLES = 64  # expected sample keys of a chunk: sizes then vary by an eighth, and hardly ever double
@@ -69,21 +69,24 @@ def _one_chunk(sketch: DataFrame) -> DataFrame:
     return sketch.sparkSession.createDataFrame([(0, None, None)], schema)
 
 
-def _few(bounds: DataFrame) -> DataFrame:
+def _few(bounds: DataFrame) -> int:
+    """The number of bounds, which must not be too many."""
     if (n := bounds.count()) > MOST_CHUNKS:
         raise ValueError(f"{n} chunks; choose a larger split size, for {MOST_CHUNKS} chunks at most")
-    return bounds
+    return n
 
 
 def with_chunk(rows: DataFrame, key: Column, bounds: DataFrame, *others: str) -> DataFrame:
     """Add ``chunk`` and other columns of ``bounds`` to rows, by binary search in the sorted first keys."""
+    n = _few(bounds)
     entry = F.struct("chunk", "first", *others)
-    table = F.broadcast(_few(bounds).agg(F.sort_array(F.collect_list(entry)).alias("_bounds")))  # one row
+    table = bounds.agg(F.sort_array(F.collect_list(entry)).alias("_bounds"))  # one row
     firsts = F.transform(F.slice("_bounds", 2, F.greatest(F.size("_bounds") - 1, F.lit(0))), lambda b: b["first"])
-    found = rows.join(table, F.lit(True)).withColumn("_firsts", firsts).withColumn("_key", key)
-    found = found.withColumn("chunk", F.coalesce(count_not_above(F.col("_firsts"), F.col("_key")), F.lit(0)).cast("bigint"))
-    hit = F.get("_bounds", F.col("chunk").cast("int"))
-    return found.select(*rows.columns, "chunk", *[hit[c].alias(c) for c in others])
+    table = F.broadcast(table.select("_bounds", firsts.alias("_firsts")))
+    found = with_count_not_above(rows.withColumn("_key", key).join(table, F.lit(True)), "_firsts", "_key", n, "_place")
+    found = found.withColumn("_place", F.coalesce("_place", F.lit(0)))
+    hit = F.get("_bounds", F.col("_place"))
+    return found.select(*rows.columns, F.col("_place").cast("bigint").alias("chunk"), *[hit[c].alias(c) for c in others])
 
 
 def literal(value: object) -> str:
@@ -99,7 +102,8 @@ def predicates(bounds: DataFrame, key: str) -> list[str]:
     """A condition per chunk, which together take every row once. ``key`` is the column as the database compares it in
     the order that Spark has, such as ``BINARY name`` for text under a collation that ignores case."""
     out = []
-    for r in _few(bounds).sort("chunk").collect():
+    _few(bounds)
+    for r in bounds.sort("chunk").collect():
         terms = [f"{key} >= {literal(r['first'])}"] * (r["first"] is not None) + [f"{key} < {literal(r['last'])}"] * (r["last"] is not None)
         text = " AND ".join(terms) or "1 = 1"
         out.append(f"({text}) OR {key} IS NULL" if r["first"] is None and terms else text)
@@ -143,7 +147,8 @@ def read_waves(
     written below ``folder`` ahead of the second look at the position. A wave that is written and marked is not read
     again after a restart. Gives the marks: ``bounds`` with ``low`` and ``high``; :func:`wave_rows` has the rows.
     """
-    chunks = [(r["chunk"], r["first"], r["last"]) for r in _few(bounds).sort("chunk").collect()]
+    _few(bounds)
+    chunks = [(r["chunk"], r["first"], r["last"]) for r in bounds.sort("chunk").collect()]
     done = _marks(spark, folder)
     known = {r["chunk"] for r in done.select("chunk").collect()}
     schema = f"chunk BIGINT, low {POSITION}, high {POSITION}"
