@@ -44,3 +44,23 @@ def test_changes_of_columns(spark, new_log):
         ("s2", 1, "k", "added"), ("s2", 1, "v", "added"), ("s2", 1, "w", "added"),
         ("s2", 2, "v", "dropped"), ("s2", 3, "v", "added"), ("s2", 3, "w", "dropped")]
     assert column_changes(versions.limit(0)).count() == 0
+
+
+def test_versions_in_many_blocks(spark, monkeypatch):
+    """No row brings all versions of a table to a change; ahead of the first, with NULL names and behind the last as before."""
+    monkeypatch.setattr(history, "BLOCK", 4)
+    since = {("a", "t"): range(10, 200, 3), ("b", "t"): [7], (None, "t"): range(0, 100, 50)}
+    at = lambda n: (1, n, 0)
+    rows = [(db, t, v, at(p)) for (db, t), ps in since.items() for v, p in enumerate(ps, 1)]
+    versions = spark.createDataFrame(rows, "db string, tbl string, version int, since struct<file_no: bigint, pos: bigint, row: int>").cache()
+    given = [(db, t, 1, p, 0) for db, t in [*since, ("c", "t")] for p in range(0, 210)]
+    changes = spark.createDataFrame(given, "db string, tbl string, file_no bigint, pos bigint, row int")
+    for limit in (history.BROADCAST_VERSIONS, 0):
+        monkeypatch.setattr(history, "BROADCAST_VERSIONS", limit)
+        dated = with_version(changes, versions)
+        assert dated.schema["version"].dataType.simpleString() == "int" and dated.columns[:-1] == changes.columns
+        found = dated.collect()
+        assert len(found) == len(given)
+        assert all(r.version == sum(s <= r.pos for s in since.get((r.db, r.tbl), ())) for r in found)
+        plan = dated._jdf.queryExecution().optimizedPlan().toString()
+        assert "aggregate(" not in plan and "lambdafunction" not in plan  # would copy the array for every change

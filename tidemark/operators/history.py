@@ -1,8 +1,9 @@
 """C-11: the schema of every source table over time, and the one that was valid at a change.
 
 A history is kept per ``(db, table)``, so shards of one name do not mix. Versions are intervals of log positions. A change
-finds its version by binary search in its table's array of positions, which holds numbers only; the columns of a version
-are joined where they are asked for. So no task has to hold all changes of a table.
+finds its version by binary search in arrays of positions, first among blocks of its table's versions, then in the block;
+the columns of a version are joined where they are asked for. So no task has to hold all changes of a table, and no row
+all of its versions.
 """
 
 from __future__ import annotations
@@ -10,11 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.search import count_not_above
+from tidemark.functions.search import with_count_not_above
 
-#: Versions up to which histories go to every task: some tens of MB. Beyond it they are joined by table.
+#: Versions up to which histories go to every task: some tens of MB. Beyond it they are joined by block.
 BROADCAST_VERSIONS = 500_000
 
+#: Versions whose positions are kept in one array.
+BLOCK = 1024
+
 DEFINITION = ("column", "type", "length", "scale", "position", "nullable", "comment")
 
 
@@ -37,14 +41,27 @@ def schema_history(schema_changes: DataFrame) -> DataFrame:
 
 
 def with_version(changes: DataFrame, history: DataFrame, at: Column | None = None) -> DataFrame:
-    """Add the ``version`` valid at each change, 0 ahead of the first one. ``history`` should be stored: it is counted."""
-    per = history.groupBy("db", "tbl").agg(F.sort_array(F.collect_list("since")).alias("_since"))
-    per = per.select(F.col("db").alias("_db"), F.col("tbl").alias("_tbl"), "_since")
-    if history.count() <= BROADCAST_VERSIONS:
-        per = F.broadcast(per)
-    joined = changes.join(per, F.col("db").eqNullSafe(F.col("_db")) & F.col("tbl").eqNullSafe(F.col("_tbl")), "left")
-    found = count_not_above(F.col("_since"), position() if at is None else at)
-    return joined.select(*changes.columns, F.coalesce(found, F.lit(0)).alias("version"))
+    """Add the ``version`` valid at each change, 0 ahead of the first one. ``history`` should be stored: it is counted.
+
+    A change finds its block of BLOCK versions among the first positions of its table's blocks, then its version in it."""
+    n = history.count()
+    own = history.select(F.col("db").alias("_db"), F.col("tbl").alias("_tbl"), F.expr(f"(version - 1) div {BLOCK} + 1").alias("_own"), "since")
+    blocks = own.groupBy("_db", "_tbl", "_own").agg(F.sort_array(F.collect_list("since")).alias("_since"))
+    least = own.groupBy("_db", "_tbl", "_own").agg(F.min("since").alias("since"))
+    firsts = least.groupBy("_db", "_tbl").agg(F.sort_array(F.collect_list("since")).alias("_firsts"))
+
+    def of_table() -> Column:
+        return F.col("db").eqNullSafe(F.col("_db")) & F.col("tbl").eqNullSafe(F.col("_tbl"))
+
+    placed = changes.withColumn("_at", position() if at is None else at).join(F.broadcast(firsts), of_table(), "left").drop("_db", "_tbl")
+    placed = with_count_not_above(placed, "_firsts", "_at", n // BLOCK + 1, "_block").drop("_firsts")
+    # Changes ahead of all versions meet no block; they are dealt by their position, since a table may have no others.
+    key = F.when(F.col("_block") > 0, F.col("_block")).otherwise(-1 - F.pmod(F.xxhash64("_at"), F.lit(1 << 16)))
+    placed = placed.withColumn("_key", key)
+    joined = placed.join(F.broadcast(blocks) if n <= BROADCAST_VERSIONS else blocks, of_table() & (F.col("_key") == F.col("_own")), "left")
+    found = with_count_not_above(joined, "_since", "_at", BLOCK, "_place")
+    version = F.when(F.col("_block") > 0, (F.col("_block") - 1) * BLOCK + F.col("_place")).otherwise(0)
+    return found.select(*changes.columns, version.alias("version"))
 
 
 def with_schema(changes: DataFrame, history: DataFrame) -> DataFrame:
