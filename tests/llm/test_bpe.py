@@ -89,3 +89,15 @@ def test_offsets_cut_the_text_at_the_slices(spark):
     spots = np.frombuffer(row.offsets, "<u4").tolist()
     data = "ab's  é\n".encode()
     assert [data[a:b].decode() for a, b in zip(spots, spots[1:])] == ["ab", "'s", " ", " é", "\n"]
+
+
+def test_slices_of_the_generation_before_are_not_merged_again(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 3)
+    merger = bpe.Merger({**{bytes([b]): b for b in range(256)}, b"ab": 256, b"abc": 257, b"cd": 258})
+    merged = []
+    short = merger._short
+    merger._short = lambda piece: merged.append(piece) or short(piece)
+    found = {p: merger.ids(p) for p in (b"abcd", b"cdab", b"xabc")}  # ab and abc before cd, by rank
+    assert [list(np.frombuffer(v, "<u4")) for v in found.values()] == [[257, 100], [258, 256], [120, 257]]
+    merger.ids(b"yab")  # a new generation begins
+    assert all(merger.ids(p) == v for p, v in found.items()) and merged == [*found, b"yab"]

@@ -39,7 +39,8 @@ START, IN_L, IN_N, IN_O, AFTER_BLANK, AFTER_SPACE, OPEN_QUOTE, HALF, CLOSED = ra
 STATES = 9
 BLOCK = 64
 PIECE = 1 << 18  # code points scanned at a time
-CACHE = 200_000  # slices kept merged
+CACHE = 200_000  # slices of a generation kept merged
+NONE = 1 << 40  # ahead of no rank
 DECODED = 8 << 20  # bytes of decoded text in a batch made here
 
 
@@ -151,22 +152,28 @@ class Merger:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.cache = ranks, {}
+        self.old: dict[bytes, bytes] = {}  # the generation before; what is met again moves back
+        one = [bytes([b]) for b in range(256)]
+        self.first = [[ranks.get(a + b, NONE) for b in one] for a in one]  # ranks of two bytes
 
     def ids(self, piece: bytes) -> bytes:
         """Ids of a slice, packed as little-endian 32-bit integers."""
-        rank = self.ranks.get(piece)
-        found = [rank] if rank is not None else self._long(piece) if len(piece) > 100 else self._short(piece)
-        packed = struct.pack(f"<{len(found)}I", *found)
+        packed = self.old.get(piece)
+        if packed is None:
+            rank = self.ranks.get(piece)
+            found = [rank] if rank is not None else self._long(piece) if len(piece) > 100 else self._short(piece)
+            packed = struct.pack(f"<{len(found)}I", *found)
         if len(self.cache) >= CACHE:
+            self.old = dict(self.cache)
             self.cache.clear()
         if len(piece) <= 100:
             self.cache[piece] = packed
         return packed
 
     def _short(self, piece: bytes) -> list[int]:
-        get, none = self.ranks.get, 1 << 40
+        get, none, first = self.ranks.get, NONE, self.first
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        pairs = [first[a][b] for a, b in zip(piece, piece[1:])]
         while pairs:
             best = min(pairs)
             if best == none:
