@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, discard, small, stored
-from tidemark.llm.linking import SMALL, Linking
+from tidemark.llm.linking import SMALL, Linking, hubs
 
 TREES = 8
 #: Children of a node and tokens that choose each, level by level below the roots.
@@ -56,7 +56,7 @@ class ChosenPaths(Linking):
         Stored."""
         known = "component" in walked.columns
         ends = [f("component").alias(c) for f, c in ((F.min, "_x"), (F.max, "_y"))] if known else []
-        sizes = walked.groupBy("path").agg(F.count("*").alias("members"), F.min("key").alias("hub"), *ends).where("members > 1")
+        sizes = walked.groupBy("path").agg(F.count("*").alias("members"), *hubs(known), *ends).where("members > 1")
         sizes = sizes.where("_x <> _y").drop("_x", "_y") if known else sizes
         return stored(walked.join(sizes, "path"), f"{self.name}-nodes-{level}")
 
@@ -73,7 +73,7 @@ class ChosenPaths(Linking):
             large = nodes.where(F.col("members") > SMALL)
             if large.isEmpty():
                 return known
-            large = self.with_component(large.select(*[c for c in ("path", "key", "size") if c in nodes.columns]), known)
+            large = self.with_component(large.select(*[c for c in ("path", "key", "size", "pos") if c in nodes.columns]), known)
             split = large.groupBy("path").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
             split = stored(split.select("path"), f"{self.name}-torn-{level}")
             if split.isEmpty():
