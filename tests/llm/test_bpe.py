@@ -4,6 +4,7 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -101,3 +102,24 @@ def test_slices_of_the_generation_before_are_not_merged_again(monkeypatch):
     assert [list(np.frombuffer(v, "<u4")) for v in found.values()] == [[257, 100], [258, 256], [120, 257]]
     merger.ids(b"yab")  # a new generation begins
     assert all(merger.ids(p) == v for p, v in found.items()) and merged == [*found, b"yab"]
+
+
+def test_a_worker_encodes_and_decodes_in_small_batches(spark, oracle):
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    plan = bpe.digests(docs, RANKS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # one worker a task
+    texts = [f"text {k} " + "word it's " * 3000 for k in range(300)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": texts})
+    largest = max(len(t) for t in texts) * 8
+    made = list(bpe._encoded(RANKS, [batch]))
+    assert len(made) > 10 and all(b.nbytes < (1 << 20) + largest for b in made)
+    back = list(bpe._decoded(RANKS, made))
+    assert sum((b.column(0).to_pylist() for b in back), []) == list(range(300))
+    assert b"".join(v for b in back for v in b.column(2).to_pylist()) == "".join(texts).encode()
+
+
+def test_round_trip_equals_decode_of_encode(spark):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(HARD)] + [(None, None)], "doc_id bigint, text string")
+    want = bpe.decode(bpe.encode(docs, RANKS), RANKS)
+    got = bpe.round_trip(docs, RANKS)
+    assert got.schema == want.schema and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

@@ -41,7 +41,7 @@ BLOCK = 64
 PIECE = 1 << 18  # code points scanned at a time
 CACHE = 200_000  # slices of a generation kept merged
 NONE = 1 << 40  # ahead of no rank
-DECODED = 8 << 20  # bytes of decoded text in a batch made here
+MADE = 1 << 20  # bytes of ids and offsets, or of decoded text, in a batch made here
 
 
 @lru_cache(1)
@@ -216,7 +216,7 @@ def _merger(path: str) -> Merger:
 
 @lru_cache(2)
 def _vocabulary(path: str) -> list[bytes]:
-    ranks = load_ranks(path)
+    ranks = _merger(path).ranks
     out = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         out[rank] = token
@@ -295,27 +295,49 @@ def encode_texts(texts: Iterable[str], path: str) -> Iterator[tuple[bytes, bytes
             yield packed, at.astype("<u4" if len(data) < 1 << 32 else "<u8").tobytes()
 
 
+def _encoded(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, text -> doc_id, ids, offsets; in batches of about MADE bytes"""
+    for batch in batches:
+        ids = batch.column(0)
+        done, rows, size = 0, [], 0
+        for row in encode_texts((v.as_py() for v in batch.column(1)), path):  # a group of texts at a time
+            rows.append(row)
+            size += len(row[0]) + len(row[1])
+            if size > MADE:
+                yield _batch(ids.slice(done, len(rows)), rows)
+                done, rows, size = done + len(rows), [], 0
+        if rows:
+            yield _batch(ids.slice(done, len(rows)), rows)
+
+
+def _decoded(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, ids -> doc_id, ids, decoded; in batches of about MADE bytes"""
+    token = _vocabulary(path).__getitem__
+    for batch in batches:
+        done, out, size = 0, [], 0
+        for k, v in enumerate(batch.column(1), 1):
+            out.append(b"".join(map(token, np.frombuffer(v.as_buffer(), "<u4").tolist())))
+            size += len(out[-1])
+            if size > MADE or k == batch.num_rows:
+                part = batch.slice(done, len(out))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+                done, out, size = k, [], 0
+
+
+def _given(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``ids`` (packed little-endian 32-bit), ``offsets`` (packed byte offsets of the
     pre-token slices, closed by the text's length). ``path`` is a rank file that every executor can open."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0)
-            done, rows, size = 0, [], 0
-            for row in encode_texts((v.as_py() for v in batch.column(1)), path):  # a group of texts at a time
-                rows.append(row)
-                size += len(row[0]) + len(row[1])
-                if size > 16 << 20:
-                    yield _batch(ids.slice(done, len(rows)), rows)
-                    done, rows, size = done + len(rows), [], 0
-            if rows:
-                yield _batch(ids.slice(done, len(rows)), rows)
+        yield from _encoded(path, batches)
         give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return given.mapInArrow(work, f"doc_id {kind}, ids binary, offsets binary")
+    return _given(docs, id_col, text_col).mapInArrow(work, f"doc_id {kind}, ids binary, offsets binary")
 
 
 def _batch(ids: pa.Array, rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -327,25 +349,28 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``ids`` and ``decoded`` (bytes) of rows that :func:`encode` made."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _vocabulary(path).__getitem__
-        for batch in batches:
-            done, out, size = 0, [], 0
-            for k, v in enumerate(batch.column(1), 1):
-                out.append(b"".join(map(token, np.frombuffer(v.as_buffer(), "<u4").tolist())))
-                size += len(out[-1])
-                if size > DECODED or k == batch.num_rows:
-                    part = batch.slice(done, len(out))
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
-                    done, out, size = k, [], 0
+        yield from _decoded(path, batches)
         give_back()
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(work, f"doc_id {kind}, ids binary, decoded binary")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What :func:`decode` gives for the rows of :func:`encode`, without a second worker that ids are sent to: Spark would
+    gather those of up to 10,000 texts in a batch."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _decoded(path, _encoded(path, batches))
+        give_back()
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return _given(docs, id_col, text_col).mapInArrow(work, f"doc_id {kind}, ids binary, decoded binary")
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Encode, decode, and reduce both to digests."""
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
