@@ -151,3 +151,27 @@ def test_the_cut_is_the_same_in_tasks_and_columns(spark):
     ns = [1, 2, 511, 512, 513, 1024, 1025, 2048, 2049, 10**6, 10**9]
     df = spark.createDataFrame([(n,) for n in ns], "n bigint")
     assert {r.n: r["x"] for r in df.select("n", near_dedup._cut_level(F.col("n")).alias("x")).collect()} == {n: near_dedup.cut_level(n) for n in ns}
+
+
+def test_copies_in_most_nodes_of_the_last_level_go_on_once(spark, words, monkeypatch):
+    rng = random.Random(11)
+    base = [rng.choice(words) for _ in range(200)]
+    rows = [(k, edited(rng, words, " ".join(base), 4)) for k in range(60)]
+    kind, made, prefixes = type(frame(spark, rows)), [], near_dedup.Join.prefixes
+    plain = kind.join
+
+    def join(self, other, on=None, how=None):
+        out = plain(self, other, on, how)
+        if how == "left_semi" and isinstance(on, str) and on == "path":
+            made.append(out.count())
+        return out
+
+    def going(self, classes):
+        assert classes.count() == classes.select("key").distinct().count() > 40
+        assert sum(made[2:]) < 0.5 * made[1]  # below the two levels that branch
+        return prefixes(self, classes)
+
+    monkeypatch.setattr(kind, "join", join)
+    monkeypatch.setattr(near_dedup.Join, "prefixes", going)
+    got = [tuple(r)[:4] for r in near_dedup.judge(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == brute(rows) and len(made) >= 4

@@ -60,13 +60,22 @@ class ChosenPaths(Linking):
         sizes = sizes.where("_x <> _y").drop("_x", "_y") if known else sizes
         return stored(walked.join(sizes, "path"), f"{self.name}-nodes-{level}")
 
+    def members(self, nodes: DataFrame, torn: DataFrame) -> DataFrame:
+        """The ``key`` of the classes in torn nodes, given as ``path``. Stored.
+
+        A copy among many is in most nodes of the last level, and one of them is enough: the classes that a part of the nodes
+        gives are left out of the others."""
+        part = F.pmod("path", F.lit(TREES)) == 0
+        found = stored(nodes.where(part).join(small(torn), "path", "left_semi").select("key").distinct(), f"{self.name}-members-part")
+        others = nodes.where(~part).join(small(found), "key", "left_anti").join(small(torn), "path", "left_semi")
+        return stored(found.unionByName(others.select("key").distinct()), f"{self.name}-members")
+
     def run(self) -> DataFrame:
         known, nodes = None, self.roots()
         for level in range(len(BRANCHES) + 2):
             rest = level == len(BRANCHES) + 1
             if rest:
-                going = stored(torn.select("key", "component").distinct(), f"{self.name}-going")  # noqa: F821
-                nodes = self.prefixes(going)
+                nodes = self.prefixes(going)  # noqa: F821
             new = self.confirm(self.pairs(nodes, False), str(level))
             stars = new if known is None else known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)
             known = components(stars, f"{self.name}-components-{level}")
@@ -78,11 +87,13 @@ class ChosenPaths(Linking):
             split = stored(split.select("path"), f"{self.name}-torn-{level}")
             if split.isEmpty():
                 return known
+            if level == len(BRANCHES):
+                going = stored(self.with_component(self.members(large.select("path", "key"), split), known), f"{self.name}-going")
+                continue
             torn = large.join(small(split), "path", "left_semi")
             if rest:
                 break
-            above, nodes = nodes, self.children(level + 1, torn) if level < len(BRANCHES) else nodes
-            if nodes is not above:
-                discard(above)
+            above, nodes = nodes, self.children(level + 1, torn)
+            discard(above)
         last = self.confirm(self.pairs(torn, True), "last")
         return components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(last), f"{self.name}-components-last")
