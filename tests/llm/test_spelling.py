@@ -101,3 +101,20 @@ def test_words_that_share_a_bigram_alone_do_not_meet(spark):
     x, y = spelling._keyed(sets, "pivots"), spelling._keyed(sets, "prefix")
     met = x.alias("x").join(y.alias("y"), "key").where("x.word <> y.word").count()
     assert met < len(words) * 60
+
+
+def test_only_the_bigrams_are_broadcast(spark, monkeypatch):
+    plans, stored = {}, spelling.stored
+
+    def told(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name)
+
+    monkeypatch.setattr(spelling, "stored", told)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in corpus(5, "abcdef", (5, 11))], SCHEMA)
+    told(spelling.judge(df), "result")
+    assert "BroadcastHashJoin" in plans.pop("spelling-sets")
+    assert {"spelling-pairs", "spelling-forms", "spelling-steps-1", "result"} < plans.keys()
+    for name, plan in plans.items():
+        assert "Broadcast" not in plan, name
+        assert "SortMergeJoin" in plan or name not in ("spelling-pairs", "spelling-forms", "spelling-steps-1", "result")

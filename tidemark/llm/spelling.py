@@ -10,7 +10,9 @@ too. All of these are in the join key, so a group holds only words that agree in
 many words share a bigram. What meets is verified by edit distance.
 
 Counts are aggregated before the shuffle, so a word with a third of all occurrences costs each task one row. Only the
-bigrams are broadcast: there are 8,100 at most, of 90 letters. All of it is built-in functions.
+bigrams are broadcast: there are 8,100 at most, of 90 letters. All other joins shuffle, whatever sizes Spark expects: it
+takes stored files for as small as they are compressed and does not see that keys are several dozen times as many as words.
+All of it is built-in functions.
 
 A NULL text has no words; a NULL id counts as empty in what decides deletions. Rows are read one by one: repeated rows
 count twice, ties and other columns do not matter, and an empty table gives an empty result.
@@ -106,7 +108,7 @@ def near_words(words: DataFrame) -> DataFrame:
     x, y = _keyed(sets, "pivots").alias("x"), _keyed(sets, "prefix").alias("y")
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.last") <= F.col("y.last")) & (F.col("x.word") != F.col("y.word"))
     on &= (F.col("x.m") == F.col("x.shorter")) | (F.col("y.m") == F.col("x.shorter"))
-    met = x.join(y, on).where(F.levenshtein(F.col("x.word"), F.col("y.word"), 1) == 1)
+    met = x.join(y.hint("merge"), on).where(F.levenshtein(F.col("x.word"), F.col("y.word"), 1) == 1)
     one, two = F.struct("x.word", "x.n"), F.struct("y.word", "y.n")
     pairs = met.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
     return pairs.select(F.col("a.word").alias("a"), F.col("a.n").alias("na"), F.col("b.word").alias("b"), F.col("b.n").alias("nb")).distinct()
@@ -117,7 +119,7 @@ def forms(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     pairs = stored(near_words(words), "spelling-pairs")
     both = pairs.select(F.col("a").alias("word"), "b", "nb").unionByName(pairs.select(F.col("b").alias("word"), F.col("a").alias("b"), F.col("na").alias("nb")))
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("nb")).alias("less"), F.col("b"))).alias("best"))
-    met = words.join(best, "word", "left").withColumn("form_n", -F.col("best.less"))
+    met = words.join(best.hint("merge"), "word", "left").withColumn("form_n", -F.col("best.less"))
     goes = F.col("form_n") >= ratio * F.col("n")
     return met.select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
@@ -133,12 +135,12 @@ def roots(formed: DataFrame) -> DataFrame:
     while True:
         turn += 1
         onward = steps.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        onward = steps.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        onward = steps.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
         onward = stored(onward, f"spelling-steps-{turn}")
         steps = onward.select("word", "root")
         if onward.where("moved").isEmpty():
             break
-    return formed.join(steps, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return formed.join(steps.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
